@@ -13,6 +13,7 @@ no pairs of documents.  The items are broadcast in blocks of a fixed bound.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -273,13 +274,13 @@ def find_leaks(
     for block in range(blocks):
         own = bodies.where(F.pmod(F.xxhash64("body"), F.lit(blocks)) == block) if blocks > 1 else bodies
         rows = sorted(((r["key"], r["body"]) for r in own.collect()), key=repr)
-        shared = documents.sparkSession.sparkContext.broadcast((rows, search))
+        shared = documents.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, rows, search))
         part = texts.mapInArrow(searcher(shared, kinds), kinds)
         found = part if found is None else found.unionAll(part)
     return found
 
 
-_INDEXES: dict[object, Index] = {}
+_INDEXES: dict[str, Index] = {}
 
 
 def searcher(shared, kinds: T.StructType):
@@ -290,11 +291,11 @@ def searcher(shared, kinds: T.StructType):
     names = kinds.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = shared.id
-        if number not in _INDEXES:
+        name, items, search = shared.value
+        if name not in _INDEXES:
             _INDEXES.clear()
-            _INDEXES[number] = Index(*shared.value)
-        index = _INDEXES[number]
+            _INDEXES[name] = Index(items, search)
+        index = _INDEXES[name]
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
             row = 0
@@ -306,8 +307,8 @@ def searcher(shared, kinds: T.StructType):
                 found = index.search_joined(*fold_joined(texts[row:end]))
                 if found:
                     docs = keys.take(pa.array([row + i for i, _ in found]))
-                    items = pa.array([index.keys[i] for _, i in found], types[1])
-                    yield pa.RecordBatch.from_arrays([docs, items], names=names)
+                    own = pa.array([index.keys[i] for _, i in found], types[1])
+                    yield pa.RecordBatch.from_arrays([docs, own], names=names)
                 row = end
 
     return run
