@@ -7,10 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import bpe, chunking, leakage
+from loomline.llm import bpe, chunking, leakage, lookalike
 from loomline.sources.tables import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Values that are not in the consistent form."""
+    found = None
+    for name, key, columns in (("segments", "segment_id", ["zh-CN", "ko"]), ("glossary", "term_id", ["zh-CN"])):
+        cases = lookalike.find_inconsistent(table(spark, folder, name, [key, *columns]), key, columns)
+        part = cases.select(F.lit(name).alias("table_name"), "record_id", "field")
+        found = part if found is None else found.unionAll(part)
+    return found
+
+
+def p1_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """All segments with both texts in the consistent form."""
+    return lookalike.normalize_columns(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"]), ["zh-CN", "ko"])
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document."""
     return bpe.encode_documents(table(spark, folder, "documents", ["doc_id", "text"]))
@@ -33,6 +48,8 @@ def p9_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_segments": p1_segments,
     "p7_ids": p7_ids,
     "p8_found": p8_found,
     "p9_found": p9_found,
