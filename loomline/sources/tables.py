@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomline.session import ship
+
 
 def table(spark: SparkSession, folder: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """The table ``name`` of a folder; with ``columns``, those only (pruned at the scan)."""
+    ship(spark)
     df = spark.read.parquet(f"{folder}/{name}.parquet")
     return df.select(*(f"`{c}`" for c in columns)) if columns else df
