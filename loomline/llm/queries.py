@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import bpe, chunking, leakage, lookalike
+from loomline.llm import bpe, chunking, duplicates, leakage, lookalike
 from loomline.sources.tables import table
 
 
@@ -26,6 +26,16 @@ def p1_segments(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.normalize_columns(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"]), ["zh-CN", "ko"])
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Segments that are copies of another one but for formatting."""
+    return duplicates.list_copies(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"]), "segment_id", ["zh-CN", "ko"])
+
+
+def p6_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Every distinct segment with the number of its copies."""
+    return duplicates.count_copies(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"]), "segment_id", ["zh-CN", "ko"])
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document."""
     return bpe.encode_documents(table(spark, folder, "documents", ["doc_id", "text"]))
@@ -50,6 +60,8 @@ def p9_pieces(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_segments": p1_segments,
+    "p6_found": p6_found,
+    "p6_copies": p6_copies,
     "p7_ids": p7_ids,
     "p8_found": p8_found,
     "p9_found": p9_found,
