@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from loomline.plans import packed
 
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**packed.QUERIES}
+
+SQL: dict[str, str] = {**packed.SQL}
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
