@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import bpe, chunking, duplicates, leakage, lookalike
+from loomline.llm import bpe, chunking, duplicates, leakage, lookalike, pairs, truncation
 from loomline.sources.tables import table
 
 
@@ -26,6 +26,41 @@ def p1_segments(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.normalize_columns(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"]), ["zh-CN", "ko"])
 
 
+def _cut_off(spark: SparkSession, folder: str) -> list[tuple[str, str, str, str, DataFrame]]:
+    """(table, key, text, source, result of find_cut_off) of both tables."""
+    results = table(spark, folder, "evaluation_translation_result", ["row_number", "source", "candidates", "system"])
+    decisions = table(spark, folder, "decisions", ["decision_id", "segment_id", "corrected_ko", "model"]).where(F.col("corrected_ko").rlike(r"\S"))
+    segments = table(spark, folder, "segments", ["segment_id", "zh-CN"])
+    rewritten = decisions.join(segments, "segment_id", "left")
+    return [
+        ("evaluation_translation_result", "row_number", "candidates", "system", truncation.find_cut_off(results, "candidates", "source", "system")),
+        ("decisions", "decision_id", "corrected_ko", "model", truncation.find_cut_off(rewritten, "corrected_ko", "zh-CN", "model")),
+    ]
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts that were cut off."""
+    found = None
+    for name, key, _, _, result in _cut_off(spark, folder):
+        part = result.where("cut_off").select(F.lit(name).alias("table_name"), F.col(key).alias("record_id"))
+        found = part if found is None else found.unionAll(part)
+    return found
+
+
+def p2_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Share of cut texts of each system and each model."""
+    rates = None
+    for name, _, text, source, result in _cut_off(spark, folder):
+        part = truncation.cut_off_rates(result, text, source).select(F.lit(name).alias("table_name"), "source", "texts", "cut", "share")
+        rates = part if rates is None else rates.unionAll(part)
+    return rates
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Segments whose answer is unfit for training, with the defect."""
+    return pairs.find_defects(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"]), "segment_id", "zh-CN", "ko")
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Segments that are copies of another one but for formatting."""
     return duplicates.list_copies(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"]), "segment_id", ["zh-CN", "ko"])
@@ -60,6 +95,9 @@ def p9_pieces(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_segments": p1_segments,
+    "p2_found": p2_found,
+    "p2_rates": p2_rates,
+    "p4_found": p4_found,
     "p6_found": p6_found,
     "p6_copies": p6_copies,
     "p7_ids": p7_ids,
