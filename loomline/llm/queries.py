@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import bpe, chunking, duplicates, leakage, lookalike, pairs, truncation
+from loomline.llm import bpe, chunking, duplicates, leakage, lookalike, pairs, splits, truncation
 from loomline.sources.tables import table
 
 
@@ -61,6 +61,26 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.find_defects(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"]), "segment_id", "zh-CN", "ko")
 
 
+def _overlaps(spark: SparkSession, folder: str) -> DataFrame:
+    evaluation = table(spark, folder, "segment_rows", ["segment_id", "zh", "ko"])
+    training = table(spark, folder, "training_examples", ["segment_id", "source_text", "target_text"])
+    return splits.find_overlaps(evaluation, training, "segment_id", "segment_id", ["zh", "ko"], ["source_text", "target_text"])
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Evaluation records that come again, the same or nearly so, in training."""
+    return _overlaps(spark, folder).select("eval_id", "train_id")
+
+
+def p5_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbers of overlapping pairs and records for each split and source."""
+    rows = table(spark, folder, "segment_rows", ["segment_id", "split", "source"]).withColumnRenamed("segment_id", "eval_id")
+    pairs_of = _overlaps(spark, folder).join(rows, "eval_id")
+    return pairs_of.groupBy("split", "source").agg(
+        F.count("*").alias("pairs"), F.countDistinct("eval_id").alias("records"), F.sum((F.col("distance") == 0).cast("long")).alias("equal_pairs"), F.avg("coverage").alias("mean_coverage")
+    )
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Segments that are copies of another one but for formatting."""
     return duplicates.list_copies(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"]), "segment_id", ["zh-CN", "ko"])
@@ -98,6 +118,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_rates": p2_rates,
     "p4_found": p4_found,
+    "p5_found": p5_found,
+    "p5_report": p5_report,
     "p6_found": p6_found,
     "p6_copies": p6_copies,
     "p7_ids": p7_ids,
