@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomline.functions.lineage import checkpointed
+
 #: Full-width forms of characters that matter here.
 WIDE = dict(zip(map(ord, "｜；，／：＝＂＇＃＼［］｛｝＆＊～＾＠！？％＋－．　"), "|;,/:=\"'#\\[]{}&*~^@!?%+-. "))
 
@@ -37,7 +39,8 @@ def separator_class() -> str:
 
 #: What may separate values: an escaped or real line break or tab, or one to
 #: three times the same sign.
-SEPARATOR = re.compile(rf"[ \xa0]*(?:(\\[nrt])|(\r?\n|\t)|([{separator_class()}])\3{{0,2}})[ \xa0]*")
+SEPARATOR = re.compile(rf"(\\[nrt])|(\r?\n|\t)|([{separator_class()}])\3{{0,2}}")
+_BLANKS = re.compile(r"[ \xa0]*")
 
 #: Separators that running text uses too: they need a piece of a strong type.
 WEAK = frozenset({",", "/", "\n", "\t", "&", "~", "*"})
@@ -71,12 +74,8 @@ class Cut:
 
 
 def separator_name(match: re.Match) -> str:
-    """The separator without the blanks around it."""
-    if match.group(1):
-        return match.group(1)
-    if match.group(2):
-        return "\n" if match.group(2).endswith("\n") else "\t"
-    return match.group().strip(" \xa0")
+    """The separator; a line break has one name."""
+    return "\n" if match.group(2) and match.group(2) != "\t" else match.group()
 
 
 def cut(text: str, allowed: frozenset[str] | None = None) -> Cut:
@@ -94,32 +93,32 @@ def cut(text: str, allowed: frozenset[str] | None = None) -> Cut:
             begin = flat.index(inner[0], begin + 1)
             end = flat.rindex(inner[0], begin, end - 1) + 1
     out = Cut([])
-    at = start = begin
-    piece: Piece | None = None
-    while at < end:
-        if piece is None and at == start and flat[at] in "\"'":
-            stop = closing(flat, at, end)
-            if stop > 0:
-                quote = flat[at]
-                inner = text[at + 1 : stop].replace(quote * 2, quote).replace("\\" + quote, quote)
-                piece, at = Piece(inner, True), stop + 1
-                continue
-        match = SEPARATOR.match(flat, at, end)
-        if match and match.end() > at and (match.group(1) or match.group(2) or match.group(3)):
-            name = separator_name(match)
-            if allowed is None or name in allowed:
-                out.pieces.append(piece or Piece(text[start:at].strip(), False))
-                out.separators.append(name)
-                at = start = match.end()
-                piece = None
+    start = at = begin
+    while True:
+        if at == start and flat[start : start + 1] in ('"', "'") and start < end:
+            stop = closing(flat, start, end)
+            after = _BLANKS.match(flat, stop + 1, end).end() if stop else 0
+            match = SEPARATOR.match(flat, after, end) if stop else None
+            if stop and (after >= end or match and (allowed is None or separator_name(match) in allowed)):
+                quote = flat[start]
+                inner = text[start + 1 : stop].replace(quote * 2, quote).replace("\\" + quote, quote)
+                out.pieces.append(Piece(inner, True))
+                if after >= end:
+                    return out
+                out.separators.append(separator_name(match))
+                start = at = _BLANKS.match(flat, match.end(), end).end()
                 continue
-            at = max(at + 1, match.start() + len(match.group().rstrip(" \xa0")))
-            continue
-        if piece is not None and not flat[at].isspace():
-            piece = None  # something follows the quote: an ordinary piece
-        at += 1
-    out.pieces.append(piece or Piece(text[start:end].strip(), False))
-    return out
+        match = SEPARATOR.search(flat, at, end)
+        if match is None:
+            out.pieces.append(Piece(text[start:end].strip(), False))
+            return out
+        name = separator_name(match)
+        if allowed is None or name in allowed:
+            out.pieces.append(Piece(text[start : match.start()].strip(), False))
+            out.separators.append(name)
+            start = at = _BLANKS.match(flat, match.end(), end).end()
+        else:
+            at = match.end()
 
 
 def closing(flat: str, at: int, end: int) -> int:
@@ -190,9 +189,8 @@ def may_be_packed(column: Column) -> Column:
     Strong separators, quotes, or a comma beside a code.
     """
     text = F.coalesce(column, F.lit(""))
-    return text.rlike(
-        r"[\"＂\n\t|｜;；/／#＃\\、&*~^@•※→♦]|[^\p{L}\p{N}\p{P}\s]|'.*[^\p{L}\p{N}\s].*'|(?s)(?=.*[,，])(?=.*[A-Z0-9][A-Za-z0-9]{3})"
-    )
+    signs = text.rlike(r"[\p{S}\"＂'＇\n\t;；/／#＃\\＼、&＆*＊@＠•※‧†‡§¶¦]")
+    return signs | (text.rlike("[,，]") & text.rlike(r"[0-9A-Za-z]{4}\s*(?:[,，]|$)"))
 
 
 STATS = T.StructType([
@@ -277,7 +275,7 @@ def split_packed(df: DataFrame, key: str, columns: list[str], source: str) -> Da
     row gives its rows again; a null source is a source of its own.  Fields are
     decided one by one, but equal piece counts of two fields count as evidence.
     """
-    inferred = infer_delimiters(df, columns, source)
+    inferred = checkpointed(infer_delimiters(df, columns, source))
     per_source = inferred.groupBy("source").agg(F.collect_set(F.struct("field", "delimiter", "accepted")).alias("__delimiters"))
     # Bounded: one row for each field and sign that may separate.  A source that
     # says nothing of a separator follows the others.
