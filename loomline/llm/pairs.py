@@ -15,12 +15,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomline.functions.fold import fold_text
-from loomline.llm.truncation import Judge, closing_words, is_korean, renders_sentence
+from loomline.llm.truncation import FINAL_ENDINGS, Judge, closing_words, is_korean, renders_sentence
 from loomline.operators.packed import cut, is_list
 
 #: Fillers that stand for a missing text, folded.
@@ -67,7 +67,12 @@ REFUSALS = (
 VOICED = re.compile(r"抱歉|对不起|不好意思|遗憾|无法|不能为|拒绝")
 
 #: What a refusal talks about, and a translated apology does not.
-ABOUT_TASK = re.compile(r"번역|요청|언어 ?모델|인공지능|정책|translat|request|language model|assist|policy|翻译|请求|语言模型|作答|翻訳|リクエスト|モデル", re.I)
+_TASK = r"번역|요청|언어 ?모델|인공지능|정책|translat|request|language model|assist|policy|翻译|请求|语言模型|作答|翻訳|リクエスト|モデル"
+ABOUT_TASK = re.compile(_TASK, re.I)
+
+#: A refusal has one of these, or of the words about the task.
+TRIGGER = _TASK + r"|도와|죄송|sorry|unable|cannot|can't|抱歉|对不起|無法|无法|できません"
+_TRIGGER = re.compile(TRIGGER, re.I)
 
 DEFECTS = ("empty", "refusal", "copied", "other_language", "truncated")
 
@@ -183,7 +188,7 @@ class Examiner:
         return common >= self.alignment.prompt_share * len(a) and common >= self.alignment.response_share * len(b)
 
     def is_refusal(self, prompt: str, answer: str) -> bool:
-        if not ABOUT_TASK.search(answer) and not re.search(r"도와|죄송|sorry|unable|cannot|can't|抱歉|对不起|無法|无法|できません", answer, re.I):
+        if not _TRIGGER.search(answer):
             return False
         own = tokens(answer)
         if len(own) > self.alignment.excess * max(map(len, self.templates)) + 16:
@@ -203,6 +208,20 @@ class Examiner:
         return False
 
 
+def may_be_defective(answer: Column, sentence: Column) -> Column:
+    """A test in the JVM that holds for every pair that has a defect.
+
+    Left out are Korean answers without Chinese characters and words of a
+    refusal that close their last sentence, or render no sentence and do not
+    end inside a token.
+    """
+    text = F.coalesce(answer, F.lit(""))
+    plain = text.rlike("[가-힣]") & ~text.rlike(r"[\u2E80-\u2FDF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF]|(?i:" + TRIGGER + ")")
+    closed = text.rlike("(?:" + "|".join(FINAL_ENDINGS) + r")[\s.!?。！？…~\"'”’」』】》〉)\]}）］]*$")
+    open_end = text.rlike(r"[\uFFFD,，、\\%\u1100-\u115F][\s.…]*$|[&<${][/\w{]*$")
+    return ~(plain & (closed | (~sentence & ~open_end)))
+
+
 def find_defects(df: DataFrame, key: str, prompt: str, answer: str, alignment: Alignment = Alignment()) -> DataFrame:
     """(key, ``defect``) of every pair with an unfit answer, one defect at most.
 
@@ -225,4 +244,5 @@ def find_defects(df: DataFrame, key: str, prompt: str, answer: str, alignment: A
 
     sentence = F.coalesce(renders_sentence(F.col(f"`{prompt}`")), F.lit(False))
     rows = df.select(F.col(f"`{key}`"), F.col(f"`{prompt}`").alias("__prompt"), F.col(f"`{answer}`").alias("__answer"), sentence.alias("__sentence"))
+    rows = rows.where(may_be_defective(F.col("__answer"), F.col("__sentence")))
     return rows.mapInArrow(examine, schema)
