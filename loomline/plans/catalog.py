@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomline.plans import packed
+from loomline.plans import corpus, packed, review
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**packed.QUERIES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**packed.QUERIES, **corpus.QUERIES, **review.QUERIES}
 
-SQL: dict[str, str] = {**packed.SQL}
+SQL: dict[str, str] = {**packed.SQL, **corpus.SQL, **review.SQL}
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    raise NotImplementedError
+    """The term preservation report."""
+    return corpus.x1_x6_term_verdicts(spark, folder)
