@@ -2,8 +2,7 @@
 
 Candidates come from a join of texts and terms; the greedy choice among them is
 a fold over an array in each row's group, ordered by length and rank.  The
-glossary is broadcast only while its number of terms is within a checked bound;
-beyond, texts and terms meet by equal character runs of the terms' lengths.
+glossary is broadcast only while its number of terms is within a checked bound.
 """
 
 from __future__ import annotations
@@ -13,8 +12,8 @@ from pyspark.sql import functions as F
 
 from loomline.functions.text import preserves
 
-#: Terms that are broadcast to every text; more of them are joined by hash.
-MAX_BROADCAST = 4096
+#: Terms that are broadcast to every task; more of them are shuffled.
+MAX_BROADCAST = 100_000
 
 MARKED = r"<start>.*?<end>"
 
@@ -33,18 +32,20 @@ def ranked(terms: DataFrame) -> DataFrame:
 def candidates(texts: DataFrame, terms: DataFrame, text: str = "src", bound: int = MAX_BROADCAST) -> DataFrame:
     """Each text with each term that it contains.
 
-    Within the bound the terms are broadcast and tested; beyond, the runs of the
-    text with a term's length are joined with the terms and found pairs made
-    distinct.
+    Texts meet terms by equal first characters: the distinct pairs of
+    neighbouring characters of a text are joined with the first two of a term,
+    and what meets is tested whole.  The terms are broadcast within the bound;
+    beyond, the same join shuffles.
     """
-    if terms.limit(bound + 1).count() <= bound:
-        return texts.join(F.broadcast(terms), F.contains(F.col(text), F.col("term_src")))
-    lengths = [r["n"] for r in terms.select("n").distinct().collect()]  # at most as many as a term has characters
-    runs = F.flatten(F.transform(F.array(*map(F.lit, lengths)), lambda n: F.when(
-        F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda p: F.substring(F.col(text), p, n))
-    ).otherwise(F.array().cast("array<string>"))))
-    exploded = texts.withColumn("__run", F.explode(F.array_distinct(runs)))
-    return exploded.join(terms, F.col("__run") == F.col("term_src")).drop("__run")
+    shape = terms.limit(bound + 1).agg(F.count("*").alias("n"), F.min(F.length("term_src")).alias("least")).first()
+    keyed = terms.withColumn("__key", F.substring("term_src", 1, 2))
+    size = F.length(text)
+    keys = F.transform(F.sequence(F.lit(1), size), lambda p: F.substring(F.col(text), p, 2))
+    if shape["least"] == 1 or shape["n"] > bound:  # terms of one character, or perhaps some
+        keys = F.concat(keys, F.transform(F.sequence(F.lit(1), size), lambda p: F.substring(F.col(text), p, 1)))
+    met = texts.where(size > 0).withColumn("__key", F.explode(F.array_distinct(keys)))
+    small = F.broadcast(keyed) if shape["n"] <= bound else keyed
+    return met.join(small, "__key").where(F.contains(F.col(text), F.col("term_src"))).drop("__key")
 
 
 def positions(text: Column, term: Column, size: Column) -> Column:

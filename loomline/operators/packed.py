@@ -129,7 +129,7 @@ def closing(flat: str, at: int, end: int) -> int:
         if flat[i] == "\\" and i + 1 < end and flat[i + 1] == quote:
             i += 2
         elif flat[i] == quote:
-            if i + 1 < end and flat[i + 1] == quote and not (i == at + 1 and _CLOSE.match(flat, i + 2, end)):
+            if i + 1 < end and flat[i + 1] == quote:
                 i += 2
             elif _CLOSE.match(flat, i + 1, end):
                 return i
@@ -228,11 +228,11 @@ def delimiter_statistics(df: DataFrame, columns: list[str], source: str) -> Data
                     agrees = any(n == len(parts.pieces) for j, n in enumerate(good) if j != i)
                     strong = any(piece_type(p) in STRONG for p in parts.pieces)
                     for s in set(parts.separators):
-                        if s in WEAK and not strong:  # running text says nothing of a list's separator
+                        if s in WEAK and not strong and not agrees:  # running text says nothing of a list's separator
                             continue
                         entry = sums.setdefault((name, columns[i], s), [0, 0, 0])
                         entry[0] += 1
-                        entry[1] += good[i] > 0
+                        entry[1] += good[i] > 0 or agrees and is_list(parts, len(parts.pieces))
                         entry[2] += agrees
             if sums:
                 rows = [(*k, *v) for k, v in sums.items()]

@@ -210,9 +210,9 @@ def parse_responses(responses: DataFrame, expected: DataFrame, content: str = "c
             yield values.map(recover_prefix, na_action=None)
 
     text = F.col(content)
-    whole = F.coalesce(F.from_json(text, RESULT), F.from_json(F.regexp_extract(text, r"(?s)\{.*\}", 0), RESULT))
-    parsed = responses.withColumn("__whole", whole).withColumn("__cut", F.col("__whole.results").isNull())
-    parsed = parsed.withColumn("__all", F.coalesce("__whole.results", F.from_json(recovered(F.when(F.col("__cut"), text)), RESULT)["results"]))
+    whole = F.coalesce(F.from_json(text, RESULT)["results"], F.from_json(F.regexp_extract(text, r"(?s)\{.*\}", 0), RESULT)["results"])
+    parsed = responses.withColumn("__whole", whole).withColumn("__cut", F.col("__whole").isNull())
+    parsed = parsed.withColumn("__all", F.coalesce("__whole", F.from_json(recovered(F.when(F.col("__cut"), text)), RESULT)["results"]))
     each = parsed.select(batch, "__cut", F.posexplode("__all").alias("at", "r")).select(batch, "__cut", "at", "r.*")
     known = ["KEEP_SEGMENT", "REWRITE_KO", "REVIEW_UNCERTAIN", "REMOVE_NON_SEGMENT", "REMOVE_BAD_PAIR", "REMOVE_TARGET_CONTAMINATION"]
     valid = F.col("action").isin(*known) & (filled(F.col("reason")) != "")
