@@ -162,19 +162,7 @@ class Transducer:
         keys = [self.state[i] for i in used.tolist()]
         self.rebuilt += 1
         self.reset()
-        numbers = []
-        for key in keys:
-            if key not in self.number:
-                self.number[key] = len(self.state)
-                self.state.append(key)
-            numbers.append(self.number[key])
-        while len(self.state) > len(self.last):
-            self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
-            self.last = np.concatenate([self.last, np.full_like(self.last, -1)])
-        self.grown = len(self.last)
-        for key, i in self.number.items():
-            self.last[i] = key[-1][1]
-        return np.array(numbers, np.int32)[which]
+        return np.array([self.number_of(key) for key in keys], np.int32)[which]
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a short byte string by plain rank-ordered merging."""
@@ -215,19 +203,22 @@ class Transducer:
         if token < 0:
             raise ValueError(f"byte {byte} has no token: the vocabulary lacks single bytes")
         open_nodes.append((0, token))
-        key = tuple(open_nodes)
+        found = self.number_of(tuple(open_nodes))
+        self.table[state, byte] = found
+        return found
+
+    def number_of(self, key: tuple) -> int:
+        """The number of a state, which is added where it is new."""
         found = self.number.get(key)
         if found is None:
             found = len(self.state)
             if found >= len(self.last):
-                self.grown *= 2
-                more = self.grown - len(self.last)
-                self.table = np.concatenate([self.table, np.full((more, 256), -1, np.int32)])
-                self.last = np.concatenate([self.last, np.full(more, -1, np.int32)])
+                self.grown = 2 * len(self.last)
+                self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
+                self.last = np.concatenate([self.last, np.full_like(self.last, -1)])
             self.number[key] = found
             self.state.append(key)
-            self.last[found] = token
-        self.table[state, byte] = found
+            self.last[found] = key[-1][1]
         return found
 
     def ends(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -272,8 +263,9 @@ class Transducer:
 
     def _finish(self, data, last, at, sizes, states) -> None:
         """The few longest pre-tokens, byte by byte."""
-        for begin, size, state in zip(at.tolist(), sizes.tolist(), states.tolist()):
-            state = int(state)
+        keys = [self.state[i] for i in states.tolist()]  # numbers do not outlive a renewal
+        for begin, size, key in zip(at.tolist(), sizes.tolist(), keys):
+            state = self.number_of(key)
             out = np.empty(size, np.int32)
             for i, byte in enumerate(data[begin : begin + size].tolist()):
                 after = self.table[state, byte]

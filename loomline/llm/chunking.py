@@ -36,7 +36,8 @@ def boundaries(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(positions, levels) of the natural boundaries, as code points from 0."""
     level: dict[int, int] = {}
     for m in _SENTENCE_END.finditer(text):
-        level[m.end()] = SENTENCE
+        if text[m.end() : m.end() + 1] not in ("\n", "\r"):  # else the line ends there
+            level[m.end()] = SENTENCE
     for m in _LINE_END.finditer(text):
         rest = m.group(1)
         kind = PARAGRAPH if "\n" in rest or "\r" in rest else LINE
