@@ -200,6 +200,19 @@ def with_verdicts(df: DataFrame) -> DataFrame:
     return out.drop("__hard", "__phrase", "__low", "__noun", "__raw", "__compound")
 
 
+def review_terms(verdicts: DataFrame) -> DataFrame:
+    """(term_id, kind) of terms that are kept but look general or ordinary.
+
+    Fixed values: general words from 0.8 with a domain signal under 0.8, ordinary
+    nouns from 0.7 with a domain score under 0.75.
+    """
+    kinds = F.array_compact(F.array(
+        F.when((F.col("general") >= 0.8) & (F.col("game") < 0.8), F.lit("common_word")),
+        F.when((F.col("common") >= 0.7) & (F.col("domain") < 0.75), F.lit("common_noun")),
+    ))
+    return verdicts.where("action <> 'AUTO_REMOVE'").select("term_id", F.explode(kinds).alias("kind"))
+
+
 def merge_pairs(terms: DataFrame, order: str = "term_id", languages: Sequence[str] = ()) -> DataFrame:
     """Adds ``pair_action``: the first row of each exact pair stays (KEEP), later
     ones are MERGED_DUPLICATE, or AUTO_REMOVE where another language differs.

@@ -169,7 +169,25 @@ def m2_marked_pairs(spark, folder):
     return matching.mark_pairs(_segments(spark, folder), _terms(spark, folder))
 
 
-@query()
+_MARKED = f"""cand3 AS (SELECT s.segment_id, s.src, t.rk, t.n, list_transform({S.places('s.src', 't.term_src', 't.n')}, lambda q: CAST(q AS BIGINT)) AS all_ps FROM seg s JOIN term t ON contains(s.src, t.term_src)),
+thin3 AS (SELECT segment_id, src, rk, n, list_reduce(all_ps, lambda acc, q: CASE WHEN len(acc) = 0 OR q >= acc[len(acc)] + n THEN list_append(acc, q) ELSE acc END, CAST([] AS BIGINT[])) AS ps FROM (SELECT *, all_ps FROM cand3)),
+g3 AS (SELECT segment_id, src, list({{'rk': rk, 'n': n, 'ps': ps, 'p': CAST(0 AS BIGINT)}} ORDER BY rk) AS es FROM thin3 GROUP BY ALL),
+f3 AS (SELECT segment_id, src, list_reduce(es, lambda acc, x: list_concat(acc, list_transform(
+  list_filter(x.ps, lambda q: len(list_filter(acc, lambda o: q < o.p + o.n AND o.p < q + x.n)) = 0), lambda q: {{'rk': x.rk, 'n': x.n, 'ps': x.ps, 'p': q}})), es[1:0]) AS ts FROM g3),
+o3 AS (SELECT segment_id, src, len(ts) AS n_marked, list_sort(list_transform(ts, lambda x: {{'p': CAST(x.p AS BIGINT), 'n': CAST(x.n AS BIGINT), 'out': ''}})) AS ss FROM f3),
+b3 AS (SELECT segment_id, src, n_marked, list_reduce(ss, lambda acc, x: {{'p': x.p + x.n, 'n': CAST(0 AS BIGINT), 'out': acc.out || substr(src, acc.p, x.p - acc.p) || '<start>' || substr(src, x.p, x.n) || '<end>'}},
+  {{'p': CAST(1 AS BIGINT), 'n': CAST(0 AS BIGINT), 'out': ''}}) AS r FROM o3),
+marked3 AS (SELECT s.segment_id, CASE WHEN b.segment_id IS NULL THEN s.src ELSE b.r.out || substr(s.src, b.r.p) END AS marked, CAST(coalesce(b.n_marked, 0) AS INTEGER) AS n_marked FROM seg s LEFT JOIN b3 b USING (segment_id))"""
+
+
+@query(f"WITH {S.SEGMENTS}, {S.TERMS}, {_MARKED} SELECT count(*) FILTER (WHERE n_marked > 0) AS rows_marked, CAST(sum(n_marked) AS BIGINT) AS terms_marked FROM marked3")
+def a23_marker_statistics(spark, folder):
+    """Rows and occurrences that marking touches."""
+    rows = m3_marked_sources(spark, folder)
+    return rows.agg(F.count_if(F.col("n_marked") > 0).alias("rows_marked"), F.sum("n_marked").alias("terms_marked"))
+
+
+@query(f"WITH {S.SEGMENTS}, {S.TERMS}, {_MARKED} SELECT * FROM marked3")
 def m3_marked_sources(spark, folder):
     """Sources with all free terms marked."""
     return matching.mark_sources(_segments(spark, folder), _terms(spark, folder)).select("segment_id", "marked", "n_marked")
@@ -243,19 +261,23 @@ def x1_x6_term_verdicts(spark, folder):
     return verdicts.withColumns({"missing_rate": F.round("missing_rate", 6), "preserved_rate": F.round("preserved_rate", 6)})
 
 
-@query(f"""WITH {S.SEGMENTS}, {S.TERMS}, {S.MATCHES}, {_VERDICTS}, k AS (SELECT m.segment_id, m.start, m.term_id, NOT m.preserved AS miss, v.term_action, v.strict_action FROM each_match m JOIN verdicts v USING (term_id)),
+_ROWS = f"""k AS (SELECT m.segment_id, m.start, m.term_id, NOT m.preserved AS miss, v.term_action, v.strict_action FROM each_match m JOIN verdicts v USING (term_id)),
 g AS (SELECT segment_id, string_agg(term_id, '|' ORDER BY start) AS matched_terms, coalesce(string_agg(term_id, '|' ORDER BY start) FILTER (WHERE miss), '') AS missing_terms,
   count(*) FILTER (WHERE miss) AS n, count(*) FILTER (WHERE miss AND term_action = 'STRONG_GLOSSARY_TERM') AS strong, count(*) FILTER (WHERE miss AND term_action = 'AUTO_REMOVE_GLOSSARY_NOISE') AS noise,
-  count(*) FILTER (WHERE miss AND strict_action <> 'AUTO_REMOVE_GLOSSARY_UNENFORCEABLE') AS strict FROM k GROUP BY segment_id)
-SELECT s.segment_id, CASE WHEN strong > 0 THEN 'AUTO_REMOVE_SEGMENT_CONFLICT' WHEN n > 0 AND n = noise THEN 'KEEP_AFTER_GLOSSARY_NOISE_REMOVAL' WHEN n > 0 THEN 'ROW_NEEDS_REVIEW' ELSE 'KEEP' END AS row_action,
+  count(*) FILTER (WHERE miss AND strict_action <> 'AUTO_REMOVE_GLOSSARY_UNENFORCEABLE') AS strict FROM k GROUP BY segment_id),
+rows7 AS (SELECT s.segment_id, CASE WHEN strong > 0 THEN 'AUTO_REMOVE_SEGMENT_CONFLICT' WHEN n > 0 AND n = noise THEN 'KEEP_AFTER_GLOSSARY_NOISE_REMOVAL' WHEN n > 0 THEN 'ROW_NEEDS_REVIEW' ELSE 'KEEP' END AS row_action,
   CASE WHEN strict > 0 THEN 'STRICT_REMOVE_SEGMENT_MISMATCH' WHEN n > 0 THEN 'STRICT_KEEP_AFTER_GLOSSARY_REMOVAL' ELSE 'STRICT_KEEP' END AS strict_row_action,
-  coalesce(matched_terms, '') AS matched_terms, coalesce(missing_terms, '') AS missing_terms FROM seg s LEFT JOIN g USING (segment_id)""")
+  coalesce(matched_terms, '') AS matched_terms, coalesce(missing_terms, '') AS missing_terms FROM seg s LEFT JOIN g USING (segment_id))"""
+
+
+@query(f"WITH {S.SEGMENTS}, {S.TERMS}, {S.MATCHES}, {_VERDICTS}, {_ROWS} SELECT * FROM rows7")
 def x7_row_verdicts(spark, folder):
     """Normal and strict verdict on every segment."""
     return crossclean.cross_check(_segments(spark, folder), _terms(spark, folder))[1]
 
 
-@query()
+@query(f"""WITH {S.SEGMENTS}, {S.TERMS}, {S.MATCHES}, {_VERDICTS}, {_ROWS} SELECT s.segment_id AS original_id, row_number() OVER (ORDER BY s.segment_id) AS new_id, s.src, s.tgt
+FROM seg s JOIN rows7 r USING (segment_id) WHERE r.strict_row_action <> 'STRICT_REMOVE_SEGMENT_MISMATCH'""")
 def x9_corpus_after_strict_check(spark, folder):
     """Segments that remain after the strict check, renumbered from 1."""
     from loomline.operators.review import with_ordinal
@@ -303,10 +325,17 @@ def a3_bleu_by_system(spark, folder):
     return scored.withColumns({"bleu": F.round("bleu", 6), "brevity_penalty": F.round("brevity_penalty", 6)})
 
 
-@query()
+_COMMON_CHARS = "list_filter(string_split(regexp_replace(@, '" + X.BLANK + "+', '', 'g'), ''), lambda t: t <> '')"
+
+
+@query(f"""WITH {S.TRANSLATIONS}, {_counts_sql(4, _COMMON_CHARS)}, lens AS (SELECT sum(len(r)) AS rl, sum(len(c)) AS cl FROM toks),
+tot AS (SELECT o, sum(m) AS m, sum(c) AS c FROM sums GROUP BY o), logs AS (SELECT avg(ln(CASE WHEN m = 0 THEN 0.1 / (c + 0.1) ELSE m / c END)) AS a FROM tot WHERE c > 0)
+SELECT round(CASE WHEN a IS NULL THEN 0 ELSE exp(a) END * CASE WHEN cl = 0 THEN 0 WHEN cl > rl THEN 1 ELSE exp(1 - rl / cl) END, 6) AS bleu,
+  round(CASE WHEN cl = 0 THEN 0 WHEN cl > rl THEN 1 ELSE exp(1 - rl / cl) END, 6) AS brevity_penalty, CAST(rl AS BIGINT) AS reference_length, CAST(cl AS BIGINT) AS candidate_length FROM lens, logs""")
 def a3_bleu_characters(spark, folder):
     """Corpus BLEU over characters, all systems together."""
-    return metrics.bleu(_translations(spark, folder), tokenization="char")
+    scored = metrics.bleu(_translations(spark, folder), tokenization="char")
+    return scored.withColumns({"bleu": F.round("bleu", 6), "brevity_penalty": F.round("brevity_penalty", 6)})
 
 
 @query(f"""WITH {S.TRANSLATIONS}, {_counts_sql(6, _CHARS)}, pr AS (SELECT system, avg(CASE WHEN c > 0 THEN m / c ELSE 0 END) AS p, avg(CASE WHEN r > 0 THEN m / r ELSE 0 END) AS q FROM sums WHERE c > 0 OR r > 0 GROUP BY system)
@@ -393,8 +422,7 @@ def g3_g4_corpus_evidence(spark, folder):
     return glossary.evidence_score(terms, glossary.corpus_counts(rows, terms), glossary.acronyms_present(rows))
 
 
-@query()
-def g10_g19_term_verdicts(spark, folder):
+def _judged_terms(spark: SparkSession, folder: str) -> DataFrame:
     """The verdict ladder; without taggers and encoders their columns are neutral."""
     rows, terms = _segments(spark, folder, "keep"), _terms(spark, folder)
     evidence = glossary.evidence_score(terms, glossary.corpus_counts(rows, terms), glossary.acronyms_present(rows))
@@ -409,7 +437,20 @@ def g10_g19_term_verdicts(spark, folder):
         "domain": glossary.domain_specificity(src, F.lit(""), none, game),
     })
     scored = scored.withColumn("common", glossary.common_noun_score(src, tgt, F.col("src_noun"), F.col("tgt_noun"), none, none, F.lit(0.0)))
-    return glossary.with_verdicts(scored).select("term_id", "action", F.array_join("reasons", ";").alias("reasons"), F.round("term_score", 6).alias("term_score"))
+    return glossary.with_verdicts(scored)
+
+
+@query()
+def g10_g19_term_verdicts(spark, folder):
+    """Verdict and reasons of every glossary term."""
+    judged = _judged_terms(spark, folder)
+    return judged.select("term_id", "action", F.array_join("reasons", ";").alias("reasons"), F.round("term_score", 6).alias("term_score"))
+
+
+@query()
+def g22_review_terms(spark, folder):
+    """Kept terms that look general or ordinary."""
+    return glossary.review_terms(_judged_terms(spark, folder))
 
 
 @query(f"""WITH {S.TERMS} SELECT term_id, CASE WHEN row_number() OVER (PARTITION BY term_src, term_tgt ORDER BY term_id) = 1 THEN 'KEEP' ELSE 'MERGED_DUPLICATE' END AS pair_action FROM term""")

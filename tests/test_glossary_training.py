@@ -20,6 +20,37 @@ def test_pairs_merge_and_conflict(spark):
     assert {r["term_id"] for r in glossary.one_to_one(pairs).where("conflict").collect()} == {"1", "2", "3", "4"}
 
 
+def test_verdict_ladder(spark):
+    terms = spark.createDataFrame([
+        ("1", "BOSS层", "보스층", 1.0), ("2", "请确认", "확인하세요", 1.0), ("3", "宝石", "", 1.0), ("4", "月亮", "달", 1.0), ("5", "神兵", "신병기", 0.0), ("6", "《书》", "책", 1.0), ("7", "战士", "전사", 1.0),
+    ], "term_id string, term_src string, term_tgt string, product_score double")
+    src, tgt, none = F.col("term_src"), F.col("term_tgt"), F.lit(-1.0)
+    tags = F.array(F.lit("n"))
+    game = glossary.game_score(src, tgt, F.lit(0.0))
+    scored = terms.withColumns({
+        "family": F.lit(0), "bilingual": F.lit(0.9), "game": game, "general": glossary.general_score(src, tgt, F.lit("")), "domain": glossary.domain_specificity(src, F.lit(""), none, game),
+        "src_noun": glossary.source_noun_score(src, tags, F.array(F.lit("NOUN")), F.lit("NOUN")), "tgt_noun": glossary.target_noun_score(tgt, F.array(F.lit("NNG")), F.array(F.lit("NOUN")), F.lit("NOUN")),
+    })
+    scored = scored.withColumn("common", glossary.common_noun_score(src, tgt, F.col("src_noun"), F.col("tgt_noun"), none, none, F.lit(0.0)))
+    judged = glossary.with_verdicts(scored)
+    got = {r["term_id"]: (r["action"], r["reasons"]) for r in judged.collect()}
+    assert got["1"] == ("AUTO_KEEP", ["termhood_semantic_supported"]) == got["7"]
+    assert got["2"] == ("AUTO_REMOVE", ["ui_or_sentence_start", "ko_sentence_or_verb_end", "phrase_marker_without_noun_suffix"])
+    assert got["3"][1] == ["missing_ko_for_zh_ko_glossary"] and got["4"][1] == ["common_noun_without_domain_signal"]
+    assert got["5"][1] == ["not_in_segments_redundant_for_current_corpus"] and got["6"][1] == ["book_or_test_title_markup"]
+    assert glossary.review_terms(judged.withColumns({"general": F.lit(1.0), "game": F.lit(0.1)}).where("term_id = '7'")).first()["kind"] == "common_word"
+    families = judged.where("term_id = '1'").withColumns({"term_src": F.lit("红宝石"), "family": F.lit(3)})
+    assert glossary.with_verdicts(families.drop("action", "reasons", "term_score")).first()["action"] == "AUTO_SPLIT_COMPOUND"
+
+
+def test_corpus_evidence(spark):
+    rows = spark.createDataFrame([("1", "甲甲甲乙BOSS", "가 boss"), ("2", "丙", "나나나나")], "segment_id string, src string, tgt string")
+    terms = spark.createDataFrame([("1", "甲甲", "나나"), ("2", "丙", "x"), ("3", "BOSS层", "BOSS층"), ("4", "甲乙", "없음")], "term_id string, term_src string, term_tgt string")
+    counts = glossary.corpus_counts(rows, terms)
+    got = {r["term_id"]: (r["src_count"], r["tgt_count"], r["product_score"]) for r in glossary.evidence_score(terms, counts, glossary.acronyms_present(rows)).collect()}
+    assert got == {"1": (1, 2, 1.0), "2": (0, 0, 0.0), "3": (0, 0, 0.75), "4": (1, 0, 0.55)}
+
+
 def test_vectors(spark):
     df = spark.createDataFrame([(1, 0, [3.0, 4.0]), (2, 0, [3.0, 4.0]), (3, 1, [0.0, 0.0])], "id long, label int, v array<float>")
     got = {r["label"]: [round(x, 6) for x in r["centroid"]] for r in glossary.centroid(df, "v", ["label"]).collect()}
