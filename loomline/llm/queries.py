@@ -128,4 +128,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p9_pieces": p9_pieces,
 }
 
-SQL: dict[str, str] = {}
+_SIGNS = "translate(lower(coalesce({c}, '')), '：＝；｜，＋－％．／', ':=;|,+-%./')"
+_LABELLED = r"\p{L}[\p{L}\p{N} ]*?\s*[:=]\s*[+\-]?\d[\d.]*\s*%?"
+
+
+def _canonical_sql(column: str) -> str:
+    """SQL of the canonical form; compatibility characters aside, which DuckDB cannot fold."""
+    text = "regexp_replace(" + _SIGNS.replace("{c}", column) + r", '\\[nrt]', chr(10), 'g')"
+    items = f"regexp_extract_all({text}, '{_LABELLED}')"
+    listed = f"array_to_string(list_sort(list_transform({items}, lambda x: regexp_replace(x, '[^\\p{{L}}\\p{{N}}+\\-%.]+', '', 'g'))), ';')"
+    bare = f"regexp_replace({text}, '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
+    rest = f"regexp_replace({text}, '{_LABELLED}', '', 'g')"
+    return f"CASE WHEN len({items}) > 1 AND NOT regexp_matches({rest}, '[\\p{{L}}\\p{{N}}]') THEN {listed} ELSE {bare} END"
+
+
+_COPIES = f"""k AS (SELECT segment_id, {_canonical_sql('"zh-CN"')} AS a, {_canonical_sql('ko')} AS b FROM segments), g AS (SELECT segment_id, min(segment_id) OVER (PARTITION BY a, b) AS kept_id FROM k)"""
+
+SQL: dict[str, str] = {
+    "p6_found": f"WITH {_COPIES} SELECT kept_id, segment_id AS copy_id FROM g WHERE segment_id <> kept_id",
+    "p6_copies": f"WITH {_COPIES} SELECT kept_id, count(*) AS copies FROM g GROUP BY kept_id",
+}
