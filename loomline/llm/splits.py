@@ -169,28 +169,7 @@ def character_sets(joined: str, starts: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def edit_distance(a: str, b: str) -> int:
-    """Levenshtein distance (bit-parallel)."""
-    if not a or not b:
-        return max(len(a), len(b))
-    masks: dict[str, int] = {}
-    for i, char in enumerate(a):
-        masks[char] = masks.get(char, 0) | 1 << i
-    full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
-    plus, minus, distance = full, 0, len(a)
-    for char in b:
-        match = masks.get(char, 0)
-        diagonal = (((match & plus) + plus) ^ plus) | match | minus
-        up = minus | ~(diagonal | plus)
-        down = plus & diagonal
-        distance += bool(up & top) - bool(down & top)
-        up = (up << 1) | 1
-        plus = ((down << 1) | ~(diagonal | up)) & full
-        minus = up & diagonal & full
-    return distance
-
-
-def chain(seeds: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
+def chain(seeds: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest chain of collinear seeds, as ordered (place, place) pairs."""
     seeds = sorted(set(seeds))
     best: list[tuple[int, int]] = []
@@ -210,7 +189,7 @@ def chain(seeds: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
     return best[::-1]
 
 
-def extended(a: str, b: str, links: list[tuple[int, int]], size: int) -> int:
+def extended(a: str, b: str, links: list[tuple[int, int]]) -> int:
     """Characters of ``a`` covered by a chain whose seeds grow while characters agree."""
     covered = bytearray(len(a))
     for p, q in links:
@@ -241,26 +220,20 @@ def near_classes(evaluation: DataFrame, training: DataFrame, options: Winnowing)
     )
     with_eval = pairs.join(evaluation.select("field", F.col("cls").alias("eval_cls"), F.col("text").alias("a")), ["field", "eval_cls"])
     with_both = with_eval.join(training.select("field", F.col("cls").alias("train_cls"), F.col("text").alias("b")), ["field", "train_cls"])
+    # The banded distance in the JVM gives -1 beyond its bound.
+    bound = f"cast(floor({options.distance} * greatest(length(a), length(b)) + 1e-9) as int)"
+    near = with_both.withColumn("distance", F.expr(f"levenshtein(a, b, {bound})")).where("distance >= 0")
     schema = "field int, eval_cls binary, train_cls binary, distance int, coverage double"
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            took, distances, coverages = [], [], []
-            for i, (a, b, seeds) in enumerate(zip(*(batch.column(k).to_pylist() for k in (3, 4, 5)))):
-                distance = edit_distance(a, b)
-                if distance <= options.distance * max(len(a), len(b)) + 1e-9:
-                    links = chain([(s["p"], s["q"]) for s in seeds], options.shingle)
-                    took.append(i)
-                    distances.append(distance)
-                    coverages.append(extended(a, b, links, options.shingle) / len(a))
-            if took:
-                rows = pa.array(took)
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(k).take(rows) for k in range(3)), pa.array(distances, pa.int32()), pa.array(coverages, pa.float64())],
-                    names=["field", "eval_cls", "train_cls", "distance", "coverage"],
-                )
+            coverages = []
+            for a, b, found in zip(*(batch.column(k).to_pylist() for k in (4, 5, 6))):
+                links = chain([(s["p"], s["q"]) for s in found])
+                coverages.append(extended(a, b, links) / len(a))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(coverages, pa.float64())], names=["field", "eval_cls", "train_cls", "distance", "coverage"])
 
-    return with_both.select("field", "eval_cls", "train_cls", "a", "b", "seeds").mapInArrow(verify, schema)
+    return near.select("field", "eval_cls", "train_cls", "distance", "a", "b", "seeds").mapInArrow(cover, schema)
 
 
 def find_overlaps(
