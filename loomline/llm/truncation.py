@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomline.functions.lineage import checkpointed
+
 #: Brackets and directed quotes.
 PAIRS = dict(zip("([{（［｛「『【《〈“‘", ")]}）］｝」』】》〉”’"))
 CLOSERS = frozenset(PAIRS.values())
@@ -158,14 +160,16 @@ def closing_words(df: DataFrame, text: str) -> list[str]:
     Each closes at least CLOSING_SHARE of the texts, so there are at most
     1 / CLOSING_SHARE of them.
     """
-    bare = F.regexp_replace(F.col(f"`{text}`"), r"(?:[\s.!?。！？…~\"'”’」』】》〉)\]}）］]|<end>)+$", "")
-    words = F.split(F.regexp_replace(bare, r"</?\w+>|[.!?,。！？…]", " "), r"\s+")
-    marked = df.where(F.col(f"`{text}`").rlike("[가-힣]")).select(words.alias("w"))
+    value = F.col(f"`{text}`")
+    bare = F.when(F.contains(value, F.lit("<")), F.regexp_replace(value, r"</?\w+>", " ")).otherwise(value)
+    words = F.filter(F.split(bare, r"[\s.!?,。，！？…~\"'”’」』】》〉)\]}）］]+"), lambda w: w != "")
+    marked = df.where(value.rlike("[가-힣]")).select(words.alias("w"))
     each = marked.select(F.posexplode("w").alias("at", "word"), (F.size("w") - 1).alias("last"))
     ends = each.groupBy("word").agg(F.count("*").alias("n"), F.sum((F.col("at") == F.col("last")).cast("long")).alias("ending"))
-    texts = marked.count()
+    ends = checkpointed(ends.where("ending > 0"))  # each text ends once, so the endings count the texts
+    texts = ends.agg(F.coalesce(F.sum("ending"), F.lit(0)).alias("n")).first()["n"]
     rows = ends.where((F.col("ending") >= CLOSING_SHARE * texts) & (F.col("ending") * 2 > F.col("n"))).select("word").collect()
-    return sorted(r["word"] for r in rows if r["word"])
+    return sorted(r["word"] for r in rows)
 
 
 def judge_column(spark, judge: Judge, what: str):
@@ -203,7 +207,7 @@ def find_cut_off(df: DataFrame, text: str, rendered: str, source: str) -> DataFr
     finished = judge_column(spark, judge, "finished")
     value, sentence = F.col(f"`{text}`"), renders_sentence(F.col(f"`{rendered}`"))
     told = df.where(value.rlike(r"\S") & sentence).select(F.col(f"`{source}`").alias("source"), finished(value).cast("double").alias("done"))
-    sums = told.groupBy("source").agg(F.sum("done").alias("done"), F.count("*").alias("n"))
+    sums = checkpointed(told.groupBy("source").agg(F.sum("done").alias("done"), F.count("*").alias("n")))  # a row for each source
     total = sums.agg(F.coalesce(F.sum("done") / F.sum("n"), F.lit(1.0)).alias("all")).first()["all"]
     base = sums.select(F.col("source").alias("__source"), ((F.col("done") + 20 * F.lit(total)) / (F.col("n") + 20)).alias("__baseline"))
     joined = df.withColumn("__sentence", F.coalesce(sentence, F.lit(False))).join(base, F.col(f"`{source}`").eqNullSafe(F.col("__source")), "left").drop("__source")
