@@ -27,6 +27,10 @@ from loomline.functions.fold import code_points, fold_joined, shingle_hashes
 from loomline.functions.lineage import checkpointed
 
 
+#: Salts over which the copies of a class are spread when pairs become records.
+SPREAD = 16
+
+
 @dataclass(frozen=True)
 class Winnowing:
     """Parameters: any shared run of shingle + window - 1 characters is found."""
@@ -256,5 +260,9 @@ def find_overlaps(
     equal = equal.select("field", F.col("cls").alias("eval_cls"), F.col("cls").alias("train_cls"), F.lit(0).alias("distance"), F.lit(1.0).alias("coverage"))
     pairs = checkpointed(near.unionByName(equal))
     members = pairs.join(own.select("field", F.col("cls").alias("eval_cls"), F.col("id").alias("eval_id")), ["field", "eval_cls"])
-    members = members.join(other.select("field", F.col("cls").alias("train_cls"), F.col("id").alias("train_id")), ["field", "train_cls"])
+    # Copies of one text may fill both splits: the training rows that occur in a
+    # pair go to all of a few salts, each evaluation row to one.
+    hit = other.select("field", F.col("cls").alias("train_cls"), F.col("id").alias("train_id")).join(pairs.select("field", "train_cls").distinct(), ["field", "train_cls"], "left_semi")
+    hit = hit.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    members = members.withColumn("salt", F.pmod(F.xxhash64("eval_id"), F.lit(SPREAD)).cast("int")).join(hit, ["field", "train_cls", "salt"])
     return members.groupBy("eval_id", "train_id").agg(F.min("distance").alias("distance"), F.max("coverage").alias("coverage"))
