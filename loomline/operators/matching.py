@@ -43,7 +43,8 @@ def candidates(texts: DataFrame, terms: DataFrame, text: str = "src", bound: int
     keys = F.transform(F.sequence(F.lit(1), size), lambda p: F.substring(F.col(text), p, 2))
     if shape["least"] == 1 or shape["n"] > bound:  # terms of one character, or perhaps some
         keys = F.concat(keys, F.transform(F.sequence(F.lit(1), size), lambda p: F.substring(F.col(text), p, 1)))
-    met = texts.where(size > 0).withColumn("__key", F.explode(F.array_distinct(keys)))
+    # Outer: else the optimiser makes the array twice, to drop the empty ones first.
+    met = texts.where(size > 0).withColumn("__key", F.explode_outer(F.array_distinct(keys)))
     small = F.broadcast(keyed) if shape["n"] <= bound else keyed
     return met.join(small, "__key").where(F.contains(F.col(text), F.col("term_src"))).drop("__key")
 

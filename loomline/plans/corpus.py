@@ -160,7 +160,7 @@ def r23_r24_visible_text(spark, folder):
 def m1_term_matches(spark, folder):
     """Accepted term occurrences of every segment."""
     found = matching.find_matches(_segments(spark, folder), _terms(spark, folder))
-    return found.select("segment_id", F.explode("matches").alias("m")).select("segment_id", "m.*")
+    return found.select("segment_id", F.explode_outer("matches").alias("m")).where("m is not null").select("segment_id", "m.*")
 
 
 @query()
