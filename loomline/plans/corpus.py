@@ -29,7 +29,7 @@ def query(sql: str | None = None):
 
 
 def _segments(spark: SparkSession, folder: str, on_empty: str = "drop") -> DataFrame:
-    return scans.segments(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"]), on_empty)
+    return scans.segments(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"], spread=True), on_empty)
 
 
 def _terms(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,7 +37,7 @@ def _terms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _translations(spark: SparkSession, folder: str) -> DataFrame:
-    return scans.translation_rows(table(spark, folder, "evaluation_translation_result", ["row_number", "segment_id", "source", "references", "candidates", "system"]))
+    return scans.translation_rows(table(spark, folder, "evaluation_translation_result", ["row_number", "segment_id", "source", "references", "candidates", "system"], spread=True))
 
 
 # ---- scans ----

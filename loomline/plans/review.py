@@ -28,7 +28,7 @@ def query(sql: str | None = None):
 
 
 def _segments(spark: SparkSession, folder: str) -> DataFrame:
-    return scans.segments(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"]), "keep")
+    return scans.segments(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"], spread=True), "keep")
 
 
 def _terms(spark: SparkSession, folder: str) -> DataFrame:

@@ -63,6 +63,29 @@ def write_requests(payloads: DataFrame, path: str, batch: str = "batch_no", pref
     payloads.select(F.to_json(F.struct(name.alias("custom_id"), F.col("payload").alias("body")))).write.mode("overwrite").text(path)
 
 
+def write_reviews(folder: str, audit: DataFrame, reviews: dict[str, str]) -> None:
+    """``audit`` written once as Parquet; for each name a folder of the audit's rows
+    that meet its condition, read back from there so that nothing runs twice."""
+    audit.write.mode("overwrite").parquet(f"{folder}/audit")
+    written = audit.sparkSession.read.parquet(f"{folder}/audit")
+    for name, condition in reviews.items():
+        written.where(condition).write.mode("overwrite").parquet(f"{folder}/{name}")
+
+
+def write_manifest(path: str, inputs: dict[str, str], counts: DataFrame, settings: dict) -> dict:
+    """A JSON manifest: hashes of the input files, a one-row table of counts, settings and the time."""
+    from datetime import datetime, timezone
+
+    from loomline.sources.files import content_hash
+
+    manifest = {
+        "inputs": {name: {"path": file, "sha256": content_hash(file)} for name, file in inputs.items()},
+        "counts": counts.first().asDict(), "settings": settings, "written_at": datetime.now(timezone.utc).isoformat(),
+    }
+    save_state(path, manifest)
+    return manifest
+
+
 def save_state(path: str, state: dict) -> None:
     """Writes a JSON state file so that readers see the old one or the new one, whole."""
     target = Path(path)

@@ -72,3 +72,22 @@ def test_stream_equals_batch(spark, tmp_path):
     query = stream.each_batch(stream.cleaned(stream.read_segments(spark, str(tmp_path / "in"))), lambda df, _: out.extend(df.select("segment_id", "src", "contamination").collect()), str(tmp_path / "cp"))
     query.awaitTermination(120)
     assert sorted(tuple(r) for r in out) == [("1", "获得", ""), ("2", "宝箱", "ko_contains_cjk"), ("3", "", "")]
+
+
+def test_reviews_and_manifest(spark, tmp_path):
+    audit = spark.createDataFrame([("1", "KEEP"), ("2", "REMOVE"), ("3", "REMOVE")], "id string, action string")
+    sinks.write_reviews(str(tmp_path / "r"), audit, {"removed": "action = 'REMOVE'", "kept": "action = 'KEEP'"})
+    assert spark.read.parquet(str(tmp_path / "r" / "removed")).count() == 2 and spark.read.parquet(str(tmp_path / "r" / "kept")).count() == 1
+    source = tmp_path / "in.csv"
+    source.write_text("x")
+    manifest = sinks.write_manifest(str(tmp_path / "m.json"), {"in": str(source)}, audit.agg(F.count("*").alias("rows")), {"seed": 42})
+    assert manifest["counts"] == {"rows": 3} and sinks.load_state(str(tmp_path / "m.json"))["inputs"]["in"]["sha256"] == files.content_hash(str(source))
+
+
+def test_small_tables_are_spread(spark, tmp_path):
+    from loomline.sources.tables import table
+
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
+    assert table(spark, str(tmp_path), "t").rdd.getNumPartitions() == 1
+    spread = table(spark, str(tmp_path), "t", spread=True)
+    assert spread.rdd.getNumPartitions() > 1 and spread.count() == 100
