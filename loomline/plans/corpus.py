@@ -106,13 +106,39 @@ def r10_placeholder_mismatches(spark, folder):
     return cleaning.placeholder_mismatches(_segments(spark, folder, "keep"))
 
 
-@query()
+def _untagged_sql(text: str) -> str:
+    steps = [(X.PRESENTATION_TAG, " "), (r"[ \t]+", " "), (r" ?\\n ?", r"\\n"), (r" ([,，.。!?！？;；:：）)\]}])", r"\1"), (r"([（(\[{]) ", r"\1")]
+    steps += [(r"([\x{4E00}-\x{9FFF}]) ([\x{4E00}-\x{9FFF}])", r"\1\2")] * 2
+    for pattern, by in steps:
+        text = f"regexp_replace({text}, '{pattern}', '{by}', 'g')"
+    return S.strip(text)
+
+
+def _wrapper_sql(column: str, part: str) -> str:
+    cases = " ".join(
+        f"WHEN regexp_matches({column}, '{pattern}') THEN " + (f"'{name}'" if part == "name" else S.strip(f"regexp_extract({column}, '{pattern}', 1)")) for name, pattern in X.WRAPPERS
+    )
+    return f"CASE {cases} END"
+
+
+_UNKNOWN = "array_to_string(list_filter(regexp_extract_all({0}, '" + X.ANGLE_TAG + "'), lambda t: NOT regexp_matches(t, '" + X.KNOWN_TAG.replace("{", "{{").replace("}", "}}") + "')), ';')"
+_NORMALIZED = f"""tagged AS (SELECT *, len(regexp_extract_all(src, '{X.PRESENTATION_TAG}')) AS src_tags, len(regexp_extract_all(tgt, '{X.PRESENTATION_TAG}')) AS tgt_tags,
+  {_UNKNOWN.format('src')} AS src_unknown, {_UNKNOWN.format('tgt')} AS tgt_unknown FROM seg),
+bare AS (SELECT * REPLACE (CASE WHEN src_tags + tgt_tags > 0 THEN {_untagged_sql('src')} ELSE src END AS src, CASE WHEN src_tags + tgt_tags > 0 THEN {_untagged_sql('tgt')} ELSE tgt END AS tgt) FROM tagged),
+wrapped AS (SELECT *, {_wrapper_sql('src', 'name')} AS sn, {_wrapper_sql('tgt', 'name')} AS tn, {_wrapper_sql('src', 'inner')} AS si, {_wrapper_sql('tgt', 'inner')} AS ti FROM bare),
+norm AS (SELECT segment_id, CASE WHEN sn = tn THEN si ELSE src END AS src, CASE WHEN sn = tn THEN ti ELSE tgt END AS tgt, CAST(src_tags AS INTEGER) AS src_tags, CAST(tgt_tags AS INTEGER) AS tgt_tags, src_unknown, tgt_unknown,
+  CASE WHEN sn = tn THEN sn END AS unwrapped, (src_tags > 0) <> (tgt_tags > 0) OR src_unknown <> '' OR tgt_unknown <> '' AS markup, (sn IS NULL) <> (tn IS NULL) AS one_side FROM wrapped)"""
+
+
+@query(f"""WITH {S.ALL_SEGMENTS}, {_NORMALIZED} SELECT segment_id, src, tgt, src_tags, tgt_tags, src_unknown, tgt_unknown, unwrapped,
+  concat_ws(';', CASE WHEN markup THEN 'presentation_tag_one_side_or_unknown_angle' END, CASE WHEN one_side THEN 'wrapper_one_side' END) AS mismatches FROM norm""")
 def r14_normalized_rows(spark, folder):
     """Segments without tags and shared wrappers, with what was found."""
-    return cleaning.normalize_rows(_segments(spark, folder, "keep"))
+    return cleaning.normalize_rows(_segments(spark, folder, "keep")).withColumn("mismatches", F.array_join("mismatches", ";"))
 
 
-@query()
+@query(f"""WITH {S.ALL_SEGMENTS}, {_NORMALIZED} SELECT segment_id, 'presentation_tag_one_side_or_unknown_angle' AS mismatch_type, src_unknown, tgt_unknown FROM norm WHERE markup
+  UNION ALL SELECT segment_id, 'wrapper_one_side', '', '' FROM norm WHERE one_side""")
 def r14_markup_mismatches(spark, folder):
     """One-sided or unknown markup."""
     return cleaning.markup_mismatches(cleaning.normalize_rows(_segments(spark, folder, "keep")))
