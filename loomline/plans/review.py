@@ -60,7 +60,31 @@ def r21_r22_row_features(spark, folder):
     return found.select("segment_id", F.array_join("placeholders", ";").alias("placeholders"), "contaminated", "structured")
 
 
-@query()
+_ERRORS = [
+    (f"{S.strip('c')} = ''", "empty_corrected_ko"), ("han", "corrected_ko_contains_cjk"), ("NOT regexp_matches(c, '[\\x{AC00}-\\x{D7A3}]')", "corrected_ko_has_no_hangul"),
+    ("len(list_filter(ph, lambda x: NOT list_contains(own, x))) > 0", "placeholder_missing"), ("len(list_filter(own, lambda x: NOT list_contains(ph, x))) > 0", "placeholder_extra"),
+    (f"len(list_filter(wanted, lambda t: NOT (contains(c, t) OR ({S.no_space('t')} <> '' AND contains({S.no_space('c')}, {S.no_space('t')}))))) > 0", "glossary_term_missing"),
+    (f"han OR ({S.strip('src')} <> '' AND {S.strip('c')} = {S.strip('src')}) OR regexp_matches(c, '{review.EXPLANATION}')", "copy_or_explanation_like"),
+    (f"length({S.strip('c')}) > greatest(240, 4 * greatest(length(tgt), 1)) OR length({S.strip('c')}) < greatest(1, greatest(length(tgt), 1) // 8)", "length_ratio_outlier"),
+    ("""CASE WHEN len(ws) >= 8 THEN list_max(list_transform(list_distinct(ws), lambda w: len(list_filter(ws, lambda x: x = w)))) / len(ws) > 0.55
+      ELSE len(list_filter(range(2, 13), lambda k: len(list_filter(range(1, length(c) - 5 * k + 2), lambda q: substr(c, CAST(q AS BIGINT), CAST(5 * k AS BIGINT)) = repeat(substr(c, CAST(q AS BIGINT), CAST(k AS BIGINT)), 5))) > 0)) > 0 END""", "excessive_repetition"),
+]
+_OUTCOMES = f"""{_FEATURES}, {S.TERMS}, c4 AS (SELECT s.segment_id, t.rk, t.n, t.term_tgt, {S.places('s.src', 't.term_src', 't.n')} AS ps FROM seg s JOIN term t ON contains(s.src, t.term_src) WHERE s.tgt IS NOT NULL),
+g4 AS (SELECT segment_id, list({{'rk': rk, 'n': n, 'ps': ps, 't': term_tgt, 'p': CAST(0 AS BIGINT)}} ORDER BY rk) AS es FROM c4 GROUP BY segment_id),
+w4 AS (SELECT segment_id, list_transform(list_reduce(es, lambda acc, x: list_concat(acc, list_transform(
+  list_filter(x.ps, lambda q: len(list_filter(acc, lambda o: q < o.p + o.n AND o.p < q + x.n)) = 0)[1:1], lambda q: {{'rk': x.rk, 'n': x.n, 'ps': x.ps, 't': x.t, 'p': CAST(q AS BIGINT)}})), es[1:0]), lambda x: x.t) AS wanted FROM g4),
+vd AS (SELECT d.decision_id, d.segment_id, d.action, upper(coalesce(d.action, '')) AS act, coalesce(d.corrected_ko, '') AS c, f.src, f.tgt, f.ph, f.contaminated, f.structured, coalesce(w.wanted, []) AS wanted,
+  regexp_matches(coalesce(d.corrected_ko, ''), '[\\x{{3400}}-\\x{{9FFF}}]') AS han, list_distinct(regexp_extract_all(coalesce(d.corrected_ko, ''), '{_PH}')) AS own,
+  list_filter(regexp_split_to_array({S.strip('d.corrected_ko')}, '{BLANK}+'), lambda x: x <> '') AS ws FROM decisions d JOIN feat f USING (segment_id) LEFT JOIN w4 w USING (segment_id)),
+er AS (SELECT *, CASE WHEN act LIKE 'REWRITE%' THEN concat_ws(';', {', '.join(f"CASE WHEN {test} THEN '{name}' END" for test, name in _ERRORS)}) ELSE '' END AS errors FROM vd),
+st AS (SELECT *, CASE WHEN act LIKE 'REMOVE%' THEN 'REMOVE_REQUESTED' WHEN act LIKE 'REWRITE%' AND errors = '' THEN 'REWRITE_ACCEPTED' WHEN act LIKE 'REWRITE%' AND contaminated THEN 'REWRITE_REJECTED_REMOVE_CONTAMINATED'
+  WHEN act LIKE 'REWRITE%' THEN 'REWRITE_REJECTED' WHEN act LIKE 'REVIEW%' THEN 'REVIEW' ELSE 'KEEP' END AS validation_status FROM er),
+outcome AS (SELECT *, CASE WHEN validation_status IN ('REMOVE_REQUESTED', 'REWRITE_REJECTED_REMOVE_CONTAMINATED') THEN 'REMOVE' WHEN validation_status = 'REWRITE_ACCEPTED' THEN 'REWRITE'
+  WHEN validation_status = 'REVIEW' THEN 'REVIEW' ELSE 'KEEP' END AS final_action FROM st)"""
+
+
+@query(f"""WITH {_OUTCOMES} SELECT decision_id, segment_id, final_action, validation_status, errors,
+  CASE final_action WHEN 'REMOVE' THEN '' WHEN 'REWRITE' THEN c ELSE tgt END AS final_ko FROM outcome""")
 def v1_v6_outcomes(spark, folder):
     """Outcome of every decision, with the checks that a rewrite failed."""
     return review.outcomes(_verdicts(spark, folder)).select(
@@ -115,14 +139,16 @@ def a13_reasons(spark, folder):
     return table(spark, folder, "decisions", ["reason"]).groupBy(normal_reason(F.col("reason")).alias("reason")).agg(F.count("*").alias("decisions"))
 
 
-@query()
+@query(f"""WITH {_OUTCOMES}, fx AS (SELECT final_action, action, unnest([{{'f': 'contaminated', 'v': contaminated}}, {{'f': 'structured', 'v': structured}}, {{'f': 'has_placeholders', 'v': len(ph) > 0}}, {{'f': 'has_terms', 'v': len(wanted) > 0}}]) AS x FROM outcome),
+fg AS (SELECT x.f AS feature, count(*) AS count, min(final_action) AS f1, max(final_action) AS f2, min(action) AS a1, max(action) AS a2 FROM fx WHERE x.v GROUP BY 1 HAVING count(*) >= 5)
+SELECT feature, 'surface_feature_single_final_action_warning' AS warning, f1 AS value, count FROM fg WHERE f1 = f2 UNION ALL SELECT feature, 'surface_feature_single_llm_action_warning', a1, count FROM fg WHERE a1 = a2""")
 def a15_feature_warnings(spark, folder):
     """Features all of whose rows share one action."""
     rows = review.outcomes(_verdicts(spark, folder)).withColumn("has_placeholders", F.size("placeholders") > 0).withColumn("has_terms", F.size("term_targets") > 0)
     return review.feature_warnings(rows, ["contaminated", "structured", "has_placeholders", "has_terms"])
 
 
-@query()
+@query(f"WITH {_OUTCOMES} SELECT final_action, validation_status, count(*) AS rows, round(count(*) / (SELECT count(*) FROM outcome), 6) AS share FROM outcome GROUP BY ALL")
 def a16_outcome_summary(spark, folder):
     """Counts and shares of the outcomes."""
     rows = review.outcomes(_verdicts(spark, folder))
