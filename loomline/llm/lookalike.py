@@ -187,10 +187,11 @@ def pair_counts(df: DataFrame, columns: list[str]) -> dict[str, int]:
     """
     letters = f"[{ALPHABET}]"
     texts = df.select(F.explode(F.array(*(F.col(f"`{c}`") for c in columns))).alias("text"))
-    tokens = texts.select(F.explode(F.regexp_extract_all("text", F.lit(f"{letters}+"), F.lit(0))).alias("token"))
+    # Outer: else the optimiser makes every array twice, to drop the empty ones first.
+    tokens = texts.select(F.explode_outer(F.regexp_extract_all("text", F.lit(f"{letters}+"), F.lit(0))).alias("token")).where("token is not null")
     marked = tokens.select(F.concat(F.lit("^"), F.col("token")).alias("token"))
-    pairs = marked.select(F.explode(F.expr("transform(sequence(1, length(token) - 1), i -> substring(token, i, 2))")).alias("pair"))
-    return {r["pair"]: r["n"] for r in pairs.groupBy("pair").agg(F.count("*").alias("n")).collect()}
+    pairs = marked.select(F.explode_outer(F.expr("transform(sequence(1, length(token) - 1), i -> substring(token, i, 2))")).alias("pair"))
+    return {r["pair"]: r["n"] for r in pairs.groupBy("pair").agg(F.count("*").alias("n")).collect() if r["pair"]}
 
 
 def suspicious(column: Column) -> Column:

@@ -164,7 +164,8 @@ def closing_words(df: DataFrame, text: str) -> list[str]:
     bare = F.when(F.contains(value, F.lit("<")), F.regexp_replace(value, r"</?\w+>", " ")).otherwise(value)
     words = F.filter(F.split(bare, r"[\s.!?,。，！？…~\"'”’」』】》〉)\]}）］]+"), lambda w: w != "")
     marked = df.where(value.rlike("[가-힣]")).select(words.alias("w"))
-    each = marked.select(F.posexplode("w").alias("at", "word"), (F.size("w") - 1).alias("last"))
+    # Outer: else the optimiser splits every text twice, to drop the empty ones first.
+    each = marked.select(F.posexplode_outer("w").alias("at", "word"), (F.size("w") - 1).alias("last")).where("word is not null")
     ends = each.groupBy("word").agg(F.count("*").alias("n"), F.sum((F.col("at") == F.col("last")).cast("long")).alias("ending"))
     ends = checkpointed(ends.where("ending > 0"))  # each text ends once, so the endings count the texts
     texts = ends.agg(F.coalesce(F.sum("ending"), F.lit(0)).alias("n")).first()["n"]
