@@ -15,7 +15,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     """Values that are not in the consistent form."""
     found = None
     for name, key, columns in (("segments", "segment_id", ["zh-CN", "ko"]), ("glossary", "term_id", ["zh-CN"])):
-        cases = lookalike.find_inconsistent(table(spark, folder, name, [key, *columns]), key, columns)
+        cases = lookalike.find_inconsistent(table(spark, folder, name, [key, *columns], spread=name == "segments"), key, columns)
         part = cases.select(F.lit(name).alias("table_name"), "record_id", "field")
         found = part if found is None else found.unionAll(part)
     return found
@@ -23,7 +23,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p1_segments(spark: SparkSession, folder: str) -> DataFrame:
     """All segments with both texts in the consistent form."""
-    return lookalike.normalize_columns(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"]), ["zh-CN", "ko"])
+    return lookalike.normalize_columns(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"], spread=True), ["zh-CN", "ko"])
 
 
 def _cut_off(spark: SparkSession, folder: str) -> list[tuple[str, str, str, str, DataFrame]]:
@@ -58,7 +58,7 @@ def p2_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Segments whose answer is unfit for training, with the defect."""
-    return pairs.find_defects(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"]), "segment_id", "zh-CN", "ko")
+    return pairs.find_defects(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"], spread=True), "segment_id", "zh-CN", "ko")
 
 
 def _overlaps(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,33 +83,33 @@ def p5_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Segments that are copies of another one but for formatting."""
-    return duplicates.list_copies(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"]), "segment_id", ["zh-CN", "ko"])
+    return duplicates.list_copies(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"], spread=True), "segment_id", ["zh-CN", "ko"])
 
 
 def p6_copies(spark: SparkSession, folder: str) -> DataFrame:
     """Every distinct segment with the number of its copies."""
-    return duplicates.count_copies(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"]), "segment_id", ["zh-CN", "ko"])
+    return duplicates.count_copies(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"], spread=True), "segment_id", ["zh-CN", "ko"])
 
 
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document."""
-    return bpe.encode_documents(table(spark, folder, "documents", ["doc_id", "text"]))
+    return bpe.encode_documents(table(spark, folder, "documents", ["doc_id", "text"], spread=True))
 
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with the test items that they leak."""
-    return leakage.find_leaks(table(spark, folder, "documents", ["doc_id", "text"]), table(spark, folder, "benchmark"))
+    return leakage.find_leaks(table(spark, folder, "documents", ["doc_id", "text"], spread=True), table(spark, folder, "benchmark"))
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that were cut into pieces."""
-    pieces = chunking.split_documents(table(spark, folder, "documents", ["doc_id", "text"]), with_text=False)
+    pieces = chunking.split_documents(table(spark, folder, "documents", ["doc_id", "text"], spread=True), with_text=False)
     return pieces.where("piece_no = 1").select("doc_id")
 
 
 def p9_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """The pieces of every oversized document."""
-    return chunking.split_documents(table(spark, folder, "documents", ["doc_id", "text"]))
+    return chunking.split_documents(table(spark, folder, "documents", ["doc_id", "text"], spread=True))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
