@@ -51,8 +51,12 @@ def filled(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Without blanks at both ends, all kinds of blanks."""
-    return F.regexp_replace(F.regexp_replace(filled(text), f"^{BLANK}+", ""), f"{BLANK}+\\z", "")
+    """Without blanks at both ends, all kinds of blanks.
+
+    The look-behind keeps a long run of blanks inside a text from being tried at
+    each of its characters.
+    """
+    return F.regexp_replace(F.regexp_replace(filled(text), f"^{BLANK}+", ""), f"(?<!{BLANK}){BLANK}+\\z", "")
 
 
 def no_space(text: Column) -> Column:
