@@ -32,7 +32,7 @@ SIMPLE = (
 WIDE_SIGNS, SIGNS = "：＝；｜，＋－％．／", ":=;|,+-%./"
 
 #: A labelled value: a label, a colon or equals sign, a signed number.
-LABELLED = r"\p{L}[\p{L}\p{N} ]*?\s*[:=]\s*[+\-]?\d[\d.]*\s*%?"
+LABELLED = r"\p{L}[\p{L}\p{N} ]{0,40}?\s*[:=]\s*[+\-]?\d[\d.]*\s*%?"
 
 
 def plain(text: str) -> str:

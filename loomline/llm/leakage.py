@@ -69,7 +69,9 @@ class Index:
         rng = np.random.default_rng(search.seed)
         self.factors = (rng.integers(0, 1 << 31, search.hashes, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
         self.shifts = rng.integers(0, 1 << 32, search.hashes, dtype=np.uint32)
-        self.keys, self.points, self.order, self.sorted = [], [], [], []
+        self.keys, self.points = [], []
+        # Per item: its distinct shingles, a place of each, how often each occurs, the shingle at each place.
+        self.distinct, self.first, self.times, self.which = [], [], [], []
         signatures, sizes = [], []
         for key, text in items:
             points = fold_points(text or "")
@@ -78,9 +80,9 @@ class Index:
                 continue
             self.keys.append(key)
             self.points.append(points)
-            order = np.argsort(hashes, kind="stable")
-            self.order.append(order)
-            self.sorted.append(hashes[order])
+            distinct, first, which, times = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+            for own, part in ((self.distinct, distinct), (self.first, first), (self.times, times), (self.which, which)):
+                own.append(part)
             signatures.append(self.signature(hashes))
             sizes.append(len(hashes))
         self.groups = []
@@ -177,57 +179,55 @@ class Index:
                 results[row, item] = None
         return list(results)
 
-    def verify(self, points, hashes, low: int, high: int, item: int, spans: list[tuple[int, int]]) -> bool:
+    def verify(self, points: np.ndarray, hashes: np.ndarray, low: int, high: int, item: int, spans: list[tuple[int, int]]) -> bool:
         """Whether one passage near a candidate window holds enough of the item."""
         k, own = self.search.shingle, self.points[item]
         size = len(own)
         reach = int(size * self.search.stretch)
-        wanted, order = self.sorted[item], self.order[item]
-        done = -1
-        for first, last in sorted(spans):
-            a, b = max(low, first - reach), min(high, last + reach)
+        wanted, first, times = self.distinct[item], self.first[item], self.times[item]
+        steps, done = np.arange(k), -1
+        for begin, last in sorted(spans):
+            a, b = max(low, begin - reach), min(high, last + reach)
             if b <= done:
                 continue
             done = b
             here = hashes[a : max(a, b - k + 1)]
-            left = np.searchsorted(wanted, here, side="left")
-            n = np.searchsorted(wanted, here, side="right") - left
-            hit = np.flatnonzero(n)
-            if not len(hit):
+            found = np.minimum(np.searchsorted(wanted, here), len(wanted) - 1)
+            hit = np.flatnonzero(wanted[found] == here)
+            shingles = found[hit]
+            if times[np.unique(shingles)].sum() * (k + 2) < self.search.share * size:  # too few to cover enough
                 continue
-            n = n[hit]
-            ends = np.cumsum(n)
-            if ends[-1] * (k + 2) < self.search.share * size:  # too few shingles to cover enough
-                continue
-            at = np.repeat(hit + a, n)
-            place = order[np.repeat(left[hit] - (ends - n), n) + np.arange(ends[-1])]
-            steps = np.arange(k)
-            equal = (points[at[:, None] + steps] == own[place[:, None] + steps]).all(1)
-            if covers(at[equal], place[equal], k, self.search.share * size, size, reach):
+            at = hit + a
+            equal = (points[at[:, None] + steps] == own[first[shingles][:, None] + steps]).all(1)
+            if covers(at[equal], shingles[equal], times, self.which[item], k, self.search.share * size, reach):
                 return True
         return False
 
 
-def covers(at: np.ndarray, place: np.ndarray, k: int, enough: float, size: int, reach: int) -> bool:
+def covers(at: np.ndarray, shingles: np.ndarray, times: np.ndarray, which: np.ndarray, k: int, enough: float, reach: int) -> bool:
     """Whether shingles in one passage cover ``enough`` characters of an item.
 
-    ``at`` and ``place`` are positions in the document and in the item of equal
-    shingles; a passage spans at most ``reach`` characters.  Single characters
-    that were altered between two shingles in the same line count as covered.
+    ``at`` are positions in the document, ``shingles`` the item's shingles there;
+    ``which`` is the shingle at each place of the item.  A passage spans at most
+    ``reach`` characters.  Single characters that were altered between two
+    shingles count as covered.
     """
-    count = np.zeros(size, np.int32)
+    count = np.zeros(len(times), np.int32)
     present, j, tried = 0, 0, 0
-    firsts, places = at.tolist(), place.tolist()
-    for i, (p, q) in enumerate(zip(firsts, places)):
+    positions, ids, weights = at.tolist(), shingles.tolist(), times.tolist()
+    for p, q in zip(positions, ids):
         count[q] += 1
-        present += count[q] == 1
-        while firsts[j] < p - reach + k:
-            count[places[j]] -= 1
-            present -= count[places[j]] == 0
+        if count[q] == 1:
+            present += weights[q]
+        while positions[j] < p - reach + k:
+            gone = ids[j]
+            count[gone] -= 1
+            if count[gone] == 0:
+                present -= weights[gone]
             j += 1
             tried = 0
         if present > tried and present * (k + 2) >= enough:
-            where = np.flatnonzero(count)
+            where = np.flatnonzero(count[which])
             gaps = np.diff(where)
             covered = int(np.where(gaps <= k + 2, gaps, k).sum()) + k
             if covered >= enough:

@@ -117,30 +117,35 @@ class Normalizer:
     def best(self, token: str) -> str:
         """The best path through the readings of a token."""
         scripts = {script(c) for c in token if c not in LOOKALIKES} - {"", "Latin"}
-        paths: dict[str, tuple[float, str]] = {"": (0.0, "")}
+        # Per reading of the letter before: value, alphabet of the last letter, linked path.
+        paths: dict[str, tuple[float, str, tuple | None]] = {"^": (0.0, "", None)}
         for char in token:
             if unicodedata.combining(char):  # an accent goes with the letter before it
-                paths = {before: (value, path + char) for before, (value, path) in paths.items()}
+                paths = {before: (value, last, (path, char)) for before, (value, last, path) in paths.items()}
                 continue
             readings = {char: 0.0}
             if char in LOOKALIKES:
                 readings[LOOKALIKES[char]] = CHANGE_PRICE
             elif scripts:  # a Latin letter may stand in a word of another alphabet
                 readings.update({o: CHANGE_PRICE for o in _REVERSE.get(char, ()) if script(o) in scripts})
-            following: dict[str, tuple[float, str]] = {}
+            following: dict[str, tuple[float, str, tuple | None]] = {}
             for reading, price in readings.items():
                 kind = script(reading)
                 best = None
-                for before, (value, path) in paths.items():
-                    value += self.score(before or "^", reading) - price
-                    last = next((script(c) for c in reversed(path) if script(c)), "") if kind else ""
+                for before, (value, last, path) in paths.items():
+                    value += self.score(before, reading) - price
                     if kind and last and last != kind:
                         value -= SCRIPT_PRICE
                     if best is None or value > best[0]:
-                        best = (value, path + reading)
+                        best = (value, kind or last, (path, reading))
                 following[reading] = best
             paths = following
-        return max(paths.values())[1]
+        link = max(paths.values(), key=lambda p: p[0])[2]
+        out = []
+        while link is not None:
+            link, char = link
+            out.append(char)
+        return "".join(reversed(out))
 
 
 def runs(token: str) -> list[str]:

@@ -129,7 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 _SIGNS = "translate(lower(coalesce({c}, '')), '：＝；｜，＋－％．／', ':=;|,+-%./')"
-_LABELLED = r"\p{L}[\p{L}\p{N} ]*?\s*[:=]\s*[+\-]?\d[\d.]*\s*%?"
+_LABELLED = r"\p{L}[\p{L}\p{N} ]{0,40}?\s*[:=]\s*[+\-]?\d[\d.]*\s*%?"
 
 
 def _canonical_sql(column: str) -> str:

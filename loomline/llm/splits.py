@@ -27,6 +27,9 @@ from loomline.functions.fold import code_points, fold_joined, shingle_hashes
 from loomline.functions.lineage import checkpointed
 
 
+#: Texts of more characters are compared bit-parallel in Python.
+LONG_TEXT = 2000
+
 #: Salts over which the copies of a class are spread when pairs become records.
 SPREAD = 16
 
@@ -140,17 +143,25 @@ def fingerprints(classes: DataFrame, histogram, options: Winnowing, replicate: b
             often = counts[(hashes % np.uint64(options.buckets)).astype(np.int64)]
             keys = often + (hashes >> np.uint64(11)).astype(np.float64) / 2.0**53
             kept = np.flatnonzero(winnowed(hashes, rows, keys, options.window))
+            # A hash that a text repeats is kept once, at a place below zero.
+            order = np.lexsort((kept, hashes[kept], rows[kept]))
+            kept = kept[order]
+            fresh = np.ones(len(kept), bool)
+            fresh[1:] = (hashes[kept[1:]] != hashes[kept[:-1]]) | (rows[kept[1:]] != rows[kept[:-1]])
+            single = fresh & np.append(fresh[1:], True)
+            place = np.where(single, places[kept], -1 - places[kept])[fresh]
+            kept = kept[fresh]
             sets = character_sets("".join(texts), starts)
             salts = (often[kept] // options.per_salt + 1).astype(np.int64)
             if replicate:
-                kept = np.repeat(kept, salts)
+                kept, place = np.repeat(kept, salts), np.repeat(place, salts)
                 salt = np.arange(len(kept)) - np.repeat(np.cumsum(salts) - salts, salts)
             else:
                 salt = (rows[kept] * 7919 + places[kept]) % salts
             at = rows[kept]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(hashes[kept].view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(places[kept].astype(np.int32)), batch.column(0).take(pa.array(at)),
+                    pa.array(hashes[kept].view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(place.astype(np.int32)), batch.column(0).take(pa.array(at)),
                     pa.array(fields[at].astype(np.int32)), pa.array(np.diff(starts)[at].astype(np.int32)), pa.array(sets[at, 0]), pa.array(sets[at, 1]),
                 ],
                 names=["hash", "salt", "place", "cls", "field", "size", "low", "high"],
@@ -173,31 +184,57 @@ def character_sets(joined: str, starts: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def edit_distance(a: str, b: str) -> int:
+    """Levenshtein distance (bit-parallel)."""
+    if not a or not b:
+        return max(len(a), len(b))
+    masks: dict[str, int] = {}
+    for i, char in enumerate(a):
+        masks[char] = masks.get(char, 0) | 1 << i
+    full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    plus, minus, distance = full, 0, len(a)
+    for char in b:
+        match = masks.get(char, 0)
+        diagonal = (((match & plus) + plus) ^ plus) | match | minus
+        up = minus | ~(diagonal | plus)
+        down = plus & diagonal
+        distance += bool(up & top) - bool(down & top)
+        up = (up << 1) | 1
+        plus = ((down << 1) | ~(diagonal | up)) & full
+        minus = up & diagonal & full
+    return distance
+
+
 def chain(seeds: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest chain of collinear seeds, as ordered (place, place) pairs."""
-    seeds = sorted(set(seeds))
+    from bisect import bisect_left
+
+    # Longest increasing subsequence; of one place the farther partners come first.
+    seeds = sorted(set(seeds), key=lambda s: (s[0], -s[1]))
+    tails: list[int] = []
+    ends: list[int] = []
+    back: list[int] = []
+    for i, (_, q) in enumerate(seeds):
+        at = bisect_left(tails, q)
+        back.append(ends[at - 1] if at else -1)
+        tails[at : at + 1] = [q]
+        ends[at : at + 1] = [i]
     best: list[tuple[int, int]] = []
-    score, back = [], []
-    for i, (p, q) in enumerate(seeds):
-        top, at = 0, -1
-        for j in range(i):
-            if seeds[j][0] < p and seeds[j][1] < q and score[j] > top:
-                top, at = score[j], j
-        score.append(top + 1)
-        back.append(at)
-    if seeds:
-        i = max(range(len(seeds)), key=lambda k: score[k])
-        while i >= 0:
-            best.append(seeds[i])
-            i = back[i]
+    i = ends[-1] if ends else -1
+    while i >= 0:
+        best.append(seeds[i])
+        i = back[i]
     return best[::-1]
 
 
 def extended(a: str, b: str, links: list[tuple[int, int]]) -> int:
     """Characters of ``a`` covered by a chain whose seeds grow while characters agree."""
+    same = None
     covered = bytearray(len(a))
     for p, q in links:
-        left, right = 0, 0
+        if covered[p] and q - p == same:  # the seed before grew over this one
+            continue
+        same, left, right = q - p, 0, 0
         while p - left > 0 and q - left > 0 and a[p - left - 1] == b[q - left - 1]:
             left += 1
         while p + right < len(a) and q + right < len(b) and a[p + right] == b[q + right]:
@@ -217,25 +254,35 @@ def near_classes(evaluation: DataFrame, training: DataFrame, options: Winnowing)
     seeds = e.join(
         t,
         (F.col("e.hash") == F.col("t.hash")) & (F.col("e.salt") == F.col("t.salt")) & (F.abs(F.col("e.size") - F.col("t.size")) <= edits)
-        & (F.abs(F.col("e.place") - F.col("t.place")) <= edits) & (differing <= 2 * edits) & (F.col("e.cls") != F.col("t.cls")),
+        & ((F.least("e.place", "t.place") < 0) | (F.abs(F.col("e.place") - F.col("t.place")) <= edits)) & (differing <= 2 * edits) & (F.col("e.cls") != F.col("t.cls")),
     )
+    first = lambda c: F.when(F.col(c) < 0, -1 - F.col(c)).otherwise(F.col(c))
     pairs = seeds.groupBy(F.col("e.field").alias("field"), F.col("e.cls").alias("eval_cls"), F.col("t.cls").alias("train_cls")).agg(
-        F.collect_list(F.struct(F.col("e.place").alias("p"), F.col("t.place").alias("q"))).alias("seeds")
+        F.collect_list(F.struct(first("e.place").alias("p"), first("t.place").alias("q"))).alias("seeds")
     )
     with_eval = pairs.join(evaluation.select("field", F.col("cls").alias("eval_cls"), F.col("text").alias("a")), ["field", "eval_cls"])
     with_both = with_eval.join(training.select("field", F.col("cls").alias("train_cls"), F.col("text").alias("b")), ["field", "train_cls"])
-    # The banded distance in the JVM gives -1 beyond its bound.
-    bound = f"cast(floor({options.distance} * greatest(length(a), length(b)) + 1e-9) as int)"
-    near = with_both.withColumn("distance", F.expr(f"levenshtein(a, b, {bound})")).where("distance >= 0")
+    # The banded distance in the JVM gives -1 beyond its bound; its cost is the
+    # product of length and bound, so long texts go to the bit-parallel one.
+    size = "greatest(length(a), length(b))"
+    banded = f"case when {size} <= {LONG_TEXT} then levenshtein(a, b, cast(floor({options.distance} * {size} + 1e-9) as int)) end"
+    near = with_both.withColumn("distance", F.expr(banded)).where("distance is null or distance >= 0")
     schema = "field int, eval_cls binary, train_cls binary, distance int, coverage double"
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            coverages = []
-            for a, b, found in zip(*(batch.column(k).to_pylist() for k in (4, 5, 6))):
-                links = chain([(s["p"], s["q"]) for s in found])
-                coverages.append(extended(a, b, links) / len(a))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(coverages, pa.float64())], names=["field", "eval_cls", "train_cls", "distance", "coverage"])
+            took, distances, coverages = [], [], []
+            for i, (distance, a, b, found) in enumerate(zip(*(batch.column(k).to_pylist() for k in (3, 4, 5, 6)))):
+                distance = edit_distance(a, b) if distance is None else distance
+                if distance <= options.distance * max(len(a), len(b)) + 1e-9:
+                    took.append(i)
+                    distances.append(distance)
+                    coverages.append(extended(a, b, chain([(s["p"], s["q"]) for s in found])) / len(a))
+            rows = pa.array(took, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k).take(rows) for k in range(3)), pa.array(distances, pa.int32()), pa.array(coverages, pa.float64())],
+                names=["field", "eval_cls", "train_cls", "distance", "coverage"],
+            )
 
     return near.select("field", "eval_cls", "train_cls", "distance", "a", "b", "seeds").mapInArrow(cover, schema)
 

@@ -34,8 +34,9 @@ FINAL_ENDINGS = (
 )
 _FINAL = re.compile(r"(?:%s)$" % "|".join(FINAL_ENDINGS))
 
-#: Signs that may follow the last word of a finished text.
-_TAIL = re.compile(r"(?:[\s.!?。！？…~\"'”’」』】》〉)\]}）］]|<end>|</?\w+>)+$")
+#: Signs that may follow the last word of a finished text, and tags.
+TAIL_SIGNS = " \t\r\n\x0b\x0c\xa0\u3000.!?。！？…~\"'”’」』】》〉)]}）］"
+_TAIL_TAG = re.compile(r"</?\w{1,40}>$")
 
 #: A short note in brackets behind the end of a sentence is not part of it.
 _NOTE = re.compile(r"([.!?。！？…])\s*[(（\[［][^()（）\[\]]{1,16}[)）\]］]\s*$")
@@ -96,8 +97,11 @@ def broken_tail(text: str) -> bool:
 
 def last_word(text: str) -> str:
     """The last word without the signs behind it."""
-    text = unicodedata.normalize("NFC", text).translate(IGNORED)
-    text = _TAIL.sub("", _NOTE.sub(r"\1", text))
+    text = text.rstrip()
+    text = unicodedata.normalize("NFC", text[-400:]).translate(IGNORED)  # enough for the last word
+    text = _NOTE.sub(r"\1", text).rstrip(TAIL_SIGNS)
+    while text.endswith(">") and (tag := _TAIL_TAG.search(text)):
+        text = text[: tag.start()].rstrip(TAIL_SIGNS)
     words = text.split()
     return words[-1] if words else ""
 
@@ -141,16 +145,22 @@ class Judge:
 SENTENCE_END = r"[。！？!?…]|\.\s*$|\.{2,}"
 
 
+#: A text of more characters is running text, whatever its form.
+LONGEST_NAME = 400
+
+
 def renders_sentence(source: Column) -> Column:
     """Whether a Chinese text is a sentence, not a name or a heading.
 
     Sentences end with a stop; where formatting took the stop away, running
     text still has several clauses and no code or noun of a heading at its end.
     """
-    text = F.regexp_replace(F.coalesce(source, F.lit("")), r"[\s\"'”’」』】》〉)\]}）］]+$", "")
+    signs = r"[\s\"'”’」』】》〉)\]}）］]"
+    text = F.regexp_replace(F.coalesce(source, F.lit("")), f"(?<!{signs}){signs}+$", "")
     stopped = text.rlike(r"[。！？!?…]$|[^.\d]\.$|\.{2,}$")
     heading = text.rlike(r"的(?:条件|方法|顺序|步骤|原因|方式|时间|规则|说明|奖励)$")
-    clauses = text.rlike(r"[一-鿿][^,，|;；\"\[\{]{3,}[,，\s]\s*[^,，|;；\"\]\}]*[一-鿿]{4,}$")
+    several = text.rlike(r"[一-鿿][^,，|;；\"\[\{]{3,}[,，\s]\s*[^,，|;；\"\]\}]*[一-鿿]{4,}$")
+    clauses = F.when(F.length(text) <= LONGEST_NAME, several).otherwise(text.rlike(r"[一-鿿]"))  # no name is longer
     return stopped | (clauses & ~heading & ~text.rlike(r"[0-9A-Za-z]{4,}$"))
 
 

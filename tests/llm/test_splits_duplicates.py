@@ -15,6 +15,22 @@ def plain_distance(a, b):
     return row[-1]
 
 
+def test_edit_distance():
+    rng = random.Random(1)
+    for _ in range(300):
+        a, b = ("".join(rng.choice("甲乙丙") for _ in range(rng.randint(0, 12))) for _ in range(2))
+        assert splits.edit_distance(a, b) == plain_distance(a, b)
+
+
+def test_long_and_monotonous_texts(spark):
+    rng = random.Random(4)
+    long = "".join(rng.choice(ZH) for _ in range(30_000))
+    e = spark.createDataFrame([("e1", "长" * 50_000 + "甲", long), ("e2", "短", "乙")], "id string, zh string, ko string")
+    t = spark.createDataFrame([("t1", "长" * 49_000 + "乙", "x"), ("t2", "y", long[:15_000] + "改" + long[15_000:]), ("t3", "长" * 30_000, long[:20_000])], "id string, a string, b string")
+    got = {(r["eval_id"], r["train_id"]) for r in splits.find_overlaps(e, t, "id", "id", ["zh", "ko"], ["a", "b"]).collect()}
+    assert got == {("e1", "t1"), ("e1", "t2")}
+
+
 def test_overlaps_equal_brute_force(spark):
     rng = random.Random(2)
     text = lambda n: "".join(rng.choice(ZH) for _ in range(n))
