@@ -32,8 +32,15 @@ def grams(tokens: Column, order: int) -> Column:
 
 
 def numbered(ordered: Column) -> Column:
-    """Sorted items, each with the number of its occurrence."""
-    return F.transform(ordered, lambda x, i: F.concat(x, F.lit("\x1e"), (i - F.array_position(ordered, x)).cast("string")))
+    """Sorted items, each with the number of its occurrence.
+
+    Linear where no item repeats; else the cost grows with the square of the
+    number of items, which is meant for sentences, not for whole books.
+    """
+    mark = lambda x, n: F.concat(x, F.lit("\x1e"), n.cast("string"))
+    once = F.transform(ordered, lambda x: mark(x, F.lit(0)))
+    several = F.transform(ordered, lambda x, i: mark(x, i - F.array_position(ordered, x) + 1))
+    return F.when(F.size(F.array_distinct(ordered)) == F.size(ordered), once).otherwise(several)
 
 
 def gram_counts(df: DataFrame, reference: str, candidate: str, orders: int, tokens, keep: list[str]) -> DataFrame:
