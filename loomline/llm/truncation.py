@@ -3,7 +3,7 @@
 A stack automaton reads each text once and tells what is left open at its end:
 quotes, brackets, markup, escapes, placeholders, broken characters.  Whether the
 last sentence has come to its end is told by the verb forms that close a Korean
-sentence and by the words that the corpus itself closes texts with.  A missing
+sentence and by the words that the corpus itself closes different texts with.  A missing
 end counts only where the text it renders is a complete sentence and where the
 source of the text closes most of its sentences (its baseline).
 """
@@ -46,9 +46,13 @@ _TAG = re.compile(r"</?[A-Za-z][\w-]*>")
 #: What an escape, entity, tag or placeholder looks like when it is cut.
 _CUT_TOKEN = re.compile(r"(?:\\(?:u[0-9A-Fa-f]{0,3}|x[0-9A-Fa-f]?)?|&#?\w{1,8}|<[/\w]{0,12}|\$\{?\w{0,12}|\{\w{0,12}|%)$")
 
-#: Smallest share of all texts that end with a word, for it to be a closing word.
+#: Smallest share of all distinct texts that end with a word, for it to be a closing word.
 CLOSING_SHARE = 0.003
 
+#: A closing word ends so many distinct texts at least, behind so many different
+#: words: a fragment that recurs with the copies of its text does not.
+CLOSED_TEXTS, CLOSED_WORDS = 5, 3
+
 #: Share of finished sentences from which a source's missing ends count.
 LEAST_BASELINE = 0.5
 
@@ -165,21 +169,26 @@ def renders_sentence(source: Column) -> Column:
 
 
 def closing_words(df: DataFrame, text: str) -> list[str]:
-    """Words that close texts and hardly stand elsewhere, over all rows.
+    """Words that close texts and hardly stand elsewhere, over all distinct texts.
 
-    Each closes at least CLOSING_SHARE of the texts, so there are at most
-    1 / CLOSING_SHARE of them.
+    Texts are the same if they differ in signs and blanks only.  Each word closes
+    at least CLOSING_SHARE of the texts, so there are at most 1 / CLOSING_SHARE
+    of them, and at least CLOSED_TEXTS behind CLOSED_WORDS different words.
     """
     value = F.col(f"`{text}`")
     bare = F.when(F.contains(value, F.lit("<")), F.regexp_replace(value, r"</?\w+>", " ")).otherwise(value)
     words = F.filter(F.split(bare, r"[\s.!?,。，！？…~\"'”’」』】》〉)\]}）］]+"), lambda w: w != "")
-    marked = df.where(value.rlike("[가-힣]")).select(words.alias("w"))
-    # Outer: else the optimiser splits every text twice, to drop the empty ones first.
-    each = marked.select(F.posexplode_outer("w").alias("at", "word"), (F.size("w") - 1).alias("last")).where("word is not null")
-    ends = each.groupBy("word").agg(F.count("*").alias("n"), F.sum((F.col("at") == F.col("last")).cast("long")).alias("ending"))
+    forms = df.where(value.rlike("[가-힣]")).select(F.array_join(words, " ").alias("form")).where("form <> ''")
+    forms = forms.groupBy(F.md5(F.translate("form", " ", "")).alias("text")).agg(F.min("form").alias("form"))
+    marked = forms.select(F.split("form", " ").alias("w"))
+    each = marked.select(F.posexplode("w").alias("at", "word"), (F.size("w") - 1).alias("last"), F.when(F.size("w") > 1, F.element_at("w", -2)).otherwise("").alias("before"))
+    ending = F.col("at") == F.col("last")
+    behind = F.size(F.collect_set(F.when(ending, F.pmod(F.xxhash64("before"), F.lit(64)))))  # 64 values at most
+    ends = each.groupBy("word").agg(F.count("*").alias("n"), F.sum(ending.cast("long")).alias("ending"), behind.alias("behind"))
     ends = checkpointed(ends.where("ending > 0"))  # each text ends once, so the endings count the texts
     texts = ends.agg(F.coalesce(F.sum("ending"), F.lit(0)).alias("n")).first()["n"]
-    rows = ends.where((F.col("ending") >= CLOSING_SHARE * texts) & (F.col("ending") * 2 > F.col("n"))).select("word").collect()
+    often = (F.col("ending") >= CLOSED_TEXTS) & (F.col("behind") >= CLOSED_WORDS) & (F.col("ending") >= CLOSING_SHARE * texts)
+    rows = ends.where(often & (F.col("ending") * 2 > F.col("n"))).select("word").collect()
     return sorted(r["word"] for r in rows)
 
 
