@@ -4,8 +4,10 @@ A stack automaton reads each text once and tells what is left open at its end:
 quotes, brackets, markup, escapes, placeholders, broken characters.  Whether the
 last sentence has come to its end is told by the verb forms that close a Korean
 sentence and by the words that the corpus itself closes different texts with.  A missing
-end counts only where the text it renders is a complete sentence and where the
-source of the text closes most of its sentences (its baseline).
+end counts only where the text it renders is a complete sentence.  A clause that
+is begun and not ended is cut whatever its source; a text without one, or in note
+form, where its source closes most of its other sentences (its baseline), or
+where it is far too short for what it renders.
 """
 
 from __future__ import annotations
@@ -53,9 +55,16 @@ CLOSING_SHARE = 0.003
 #: words: a fragment that recurs with the copies of its text does not.
 CLOSED_TEXTS, CLOSED_WORDS = 5, 3
 
-#: Share of finished sentences from which a source's missing ends count.
+#: Share of finished sentences, begun clauses aside, from which a source's weak missing ends count.
 LEAST_BASELINE = 0.5
 
+#: Fewest letters of a Korean sentence for each letter of the Chinese one.
+LEAST_LENGTH = 0.8
+
+#: Particles and connective endings of a clause that is begun, and stops.
+_CLAUSE = re.compile(r"(?:\w(?:을|를|이|가|은|는|에|에게|에서|께서|으로|면|며|지만)|[,，、])$")
+_STOP = re.compile(r"[.!?。！？…]+\s*")
+
 
 def open_at_end(text: str) -> list[str]:
     """What the stack automaton still holds after the last character."""
@@ -117,6 +126,18 @@ def is_korean(text: str) -> bool:
     return any("가" <= c <= "힣" or "ᄀ" <= c <= "ᇿ" for c in text)
 
 
+def clause_begun(text: str) -> bool:
+    """Whether the last sentence holds a part of a clause and is no note.
+
+    Notes end on a verb made a noun (a last syllable with a final m, 기 or 것).
+    """
+    last = last_word(text)
+    if last == "것" or len(last) > 1 and ("가" <= last[-1] <= "힣" and (ord(last[-1]) - 0xAC00) % 28 == 16 or last[-1] in "기것"):
+        return False
+    parts = [p for p in _STOP.split(unicodedata.normalize("NFC", text[-2000:]).translate(IGNORED)) if is_korean(p)]
+    return bool(parts) and any(_CLAUSE.search(word.rstrip("\"'”’」』】》〉)]}）］")) for word in parts[-1].split())
+
+
 @dataclass(frozen=True)
 class Judge:
     """Decides single texts, given the corpus's closing words."""
@@ -128,6 +149,10 @@ class Judge:
         word = last_word(text)
         return bool(_FINAL.search(word)) or word in self.closing
 
+    def closes(self, text: str) -> bool | None:
+        """``finished``, or None for a clause that breaks off: it says nothing of how its source ends sentences."""
+        return True if self.finished(text) else None if clause_begun(text) else False
+
     def cut_off(self, text: str, sentence: bool, baseline: float = 1.0) -> bool:
         """Whether a text stops early.
 
@@ -141,7 +166,7 @@ class Judge:
         if not is_korean(text) or self.finished(text):
             return False
         if sentence:
-            return baseline >= LEAST_BASELINE or bool(open_at_end(text))
+            return baseline >= LEAST_BASELINE or clause_begun(text) or bool(open_at_end(text))
         return last_word(text).endswith((",", "，", "、"))
 
 
@@ -193,17 +218,17 @@ def closing_words(df: DataFrame, text: str) -> list[str]:
 
 
 def judge_column(spark, judge: Judge, what: str):
-    """Column function: ``finished(text)`` or ``cut_off(text, sentence, baseline)``; null gives false."""
+    """Column function: ``closes(text)`` as 1, 0 or null, or ``cut_off(text, sentence, baseline)``; null gives 0 or false."""
     shared = spark.sparkContext.broadcast(judge)
 
-    if what == "finished":
+    if what == "closes":
 
-        @F.pandas_udf("boolean")
-        def finished(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.pandas_udf("double")
+        def closes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for texts in batches:
-                yield texts.map(lambda t: bool(t) and shared.value.finished(t)).astype(bool)
+                yield pd.Series([shared.value.closes(t) if t else False for t in texts], dtype="float64")
 
-        return finished
+        return closes
 
     @F.pandas_udf("boolean")
     def cut_off(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -219,20 +244,24 @@ def find_cut_off(df: DataFrame, text: str, rendered: str, source: str) -> DataFr
 
     ``rendered`` is the text that ``text`` renders, ``source`` what the baseline
     is taken of: the share of finished texts among those that render a sentence
-    (a null source is a source of its own; one with few texts leans on all).
+    and do not break off inside a clause (a null source is a source of its own;
+    one with few texts leans on all).  It is 1 for texts that are far too short.
     Null, empty and blank texts are never cut off; repeated rows count each.
     """
     spark = df.sparkSession
     judge = Judge(frozenset(closing_words(df, text)))
-    finished = judge_column(spark, judge, "finished")
+    closes = judge_column(spark, judge, "closes")
     value, sentence = F.col(f"`{text}`"), renders_sentence(F.col(f"`{rendered}`"))
-    told = df.where(value.rlike(r"\S") & sentence).select(F.col(f"`{source}`").alias("source"), finished(value).cast("double").alias("done"))
-    sums = checkpointed(told.groupBy("source").agg(F.sum("done").alias("done"), F.count("*").alias("n")))  # a row for each source
-    total = sums.agg(F.coalesce(F.sum("done") / F.sum("n"), F.lit(1.0)).alias("all")).first()["all"]
+    told = df.where(value.rlike(r"\S") & sentence).select(F.col(f"`{source}`").alias("source"), closes(value).alias("done"))
+    sums = checkpointed(told.groupBy("source").agg(F.coalesce(F.sum("done"), F.lit(0.0)).alias("done"), F.count("done").alias("n")))  # a row for each source
+    total = sums.agg(F.coalesce(F.try_divide(F.sum("done"), F.sum("n")), F.lit(1.0)).alias("all")).first()["all"]
     base = sums.select(F.col("source").alias("__source"), ((F.col("done") + 20 * F.lit(total)) / (F.col("n") + 20)).alias("__baseline"))
     joined = df.withColumn("__sentence", F.coalesce(sentence, F.lit(False))).join(base, F.col(f"`{source}`").eqNullSafe(F.col("__source")), "left").drop("__source")
     cut_off = judge_column(spark, judge, "cut_off")
-    return joined.withColumn("cut_off", cut_off(value, F.col("__sentence"), F.coalesce("__baseline", F.lit(total))))
+    letters = lambda c: F.length(F.regexp_replace(F.coalesce(c, F.lit("")), r"[^\p{L}\p{N}]+", ""))
+    short = F.col("__sentence") & (letters(value) < LEAST_LENGTH * letters(F.col(f"`{rendered}`")))
+    joined = joined.withColumn("__baseline", F.when(short, 1.0).otherwise(F.coalesce("__baseline", F.lit(total))))
+    return joined.withColumn("cut_off", cut_off(value, F.col("__sentence"), F.col("__baseline")))
 
 
 def cut_off_rates(found: DataFrame, text: str, source: str) -> DataFrame:
