@@ -208,18 +208,32 @@ class Examiner:
         return False
 
 
+#: Characters of the JVM's filter (Java syntax): those of a word, blanks, and parts that fold to Hangul syllables.
+_WORD, _BLANK = r"\p{L}\p{N}_", r"\s\p{Z}\x1c-\x1f\x85"
+_HANGUL_PARTS = r"\u1100-\u11FF\u3131-\u318E\u3200-\u321E\u3260-\u327E\uA960-\uA97C\uD7B0-\uD7FB\uFFA0-\uFFDC"
+
+#: A filler in Hangul with any signs around and inside.
+_FILLER = "^(?:" + "|".join("".join(rf"[^\p{{L}}\p{{N}}]*+{c}" for c in f) for f in sorted(FILLERS) if is_korean(f)) + r")[^\p{L}\p{N}]*+$"
+
+#: A tail that may be a cut token, a broken character or a comma (see truncation).
+_OPEN_END = (
+    rf"(?:\\(?:u[0-9A-Fa-f]{{0,3}}|x[0-9A-Fa-f]?)?|&#?[{_WORD}]{{1,8}}|<[/{_WORD}]{{0,12}}|\$\{{?[{_WORD}]{{0,12}}|\{{[{_WORD}]{{0,12}}|%)[{_BLANK}]*$"
+    rf"|\uFFFD[{_BLANK}.…]*$|[,，、][^가-힣]*$"
+)
+
+
 def may_be_defective(answer: Column, sentence: Column) -> Column:
     """A test in the JVM that holds for every pair that has a defect.
 
     Left out are Korean answers without Chinese characters and words of a
-    refusal that close their last sentence, or render no sentence and do not
-    end inside a token.
+    refusal, and that are no fillers, that close their last sentence, or render
+    no sentence and do not end inside a token.
     """
     text = F.coalesce(answer, F.lit(""))
-    plain = text.rlike("[가-힣]") & ~text.rlike(r"[\u2E80-\u2FDF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF]|(?i:" + TRIGGER + ")")
+    other = r"[\u2E80-\u2FDF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF" + _HANGUL_PARTS + "]|(?i:" + TRIGGER + ")"
+    plain = text.rlike("[가-힣]") & ~text.rlike(other) & ~text.rlike(_FILLER)
     closed = text.rlike("(?:" + "|".join(FINAL_ENDINGS) + r")[\s.!?。！？…~\"'”’」』】》〉)\]}）］]*$")
-    open_end = text.rlike(r"[\uFFFD,，、\\%\u1100-\u115F][\s.…]*$|[&<${][/\w{]*$")
-    return ~(plain & (closed | (~sentence & ~open_end)))
+    return ~(plain & (closed | (~sentence & ~text.rlike(_OPEN_END))))
 
 
 def find_defects(df: DataFrame, key: str, prompt: str, answer: str, alignment: Alignment = Alignment()) -> DataFrame:
