@@ -162,8 +162,6 @@ class Examiner:
 
     def is_empty(self, prompt: str, answer: str) -> bool:
         """Nothing, blanks and signs, or a filler that the prompt does not hold."""
-        if len(answer) > 40:
-            return not answer.strip()
         folded = fold_text(answer)
         if not folded:
             return True
