@@ -183,14 +183,25 @@ def split_value(text: str | None, delimiters: frozenset[str], other: int = 0) ->
     return [p.text for p in parts.pieces] if is_list(parts, other) else None
 
 
+def packing_signs() -> str:
+    """Character class (Java syntax) of all that separates or quotes, commas aside; in wide forms too.
+
+    By categories, as a class of single signs is slow; with what a JVM does not know yet.
+    """
+    never = NO_SEPARATORS + "".join(chr(c) for c, to in WIDE.items() if to in NO_SEPARATORS) + ",，"
+    return r"[\p{Pd}\p{Po}\p{S}\p{Cn}&&[^" + "".join("\\" + c if c.isascii() and c != "_" else c for c in never) + r"]]|[\"'＂＇\n\t\\＼]"
+
+
 def may_be_packed(column: Column) -> Column:
     """A cheap test in the JVM that holds for every value that is a list.
 
-    Strong separators, quotes, or a comma beside a code.
+    Separators but the comma, quotes, or a comma and a code or a labelled value
+    before a comma or the end.
     """
     text = F.coalesce(column, F.lit(""))
-    signs = text.rlike(r"[\p{S}\"＂'＇\n\t;；/／#＃\\＼、&＆*＊@＠•※‧†‡§¶¦]")
-    return signs | (text.rlike("[,，]") & text.rlike(r"[0-9A-Za-z]{4}\s*(?:[,，]|$)"))
+    blank = r"[\s\p{Z}\x1c-\x1f\x85]*+"
+    item = r"(?:[0-9A-Za-z]{4}|[:=：＝]" + blank + r"[+\-＋－]?\p{Nd}[\p{Nd}.．]*+" + blank + "[%％]?)" + blank + "(?:[,，]|$)"
+    return text.rlike(packing_signs()) | (text.rlike("[,，]") & text.rlike(item))
 
 
 STATS = T.StructType([
