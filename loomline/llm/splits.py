@@ -15,7 +15,7 @@ from the same fixed-size histogram on both sides.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +36,17 @@ SPREAD = 16
 
 @dataclass(frozen=True)
 class Winnowing:
-    """Parameters: any shared run of shingle + window - 1 characters is found."""
+    """Parameters: any shared run of shingle + window - 1 characters is found.
 
-    shingle: int = 5
-    window: int = 3
+    L characters with e edits keep a run of (L - e) / (e + 1), rounded up: with
+    e up to a fifth of L that is 4 from 16 characters on, and 2 at least from 5
+    on (shorter texts have no edit), so the defaults find every pair.
+    """
+
+    shingle: int = 4
+    window: int = 1
+    short: int = 15  # longest text that is also searched by runs of short_shingle characters
+    short_shingle: int = 2
     distance: float = 0.2  # edits, as share of the longer text
     buckets: int = 1 << 18  # of the histogram of hashes
     per_salt: int = 4096  # rows of one hash that stay together
@@ -303,6 +310,10 @@ def find_overlaps(
     other = checkpointed(fold_records(training, train_key, train_columns))
     own_classes, other_classes = checkpointed(text_classes(own)), checkpointed(text_classes(other))
     near = near_classes(own_classes, other_classes, options)
+    if options.short:
+        brief = replace(options, shingle=options.short_shingle, window=1)
+        near = near.unionByName(near_classes(*(c.where(F.length("text") <= options.short) for c in (own_classes, other_classes)), brief))
+        near = near.groupBy("field", "eval_cls", "train_cls").agg(F.min("distance").alias("distance"), F.max("coverage").alias("coverage"))
     equal = own_classes.select("field", "cls").join(other_classes.select("field", "cls"), ["field", "cls"])
     equal = equal.select("field", F.col("cls").alias("eval_cls"), F.col("cls").alias("train_cls"), F.lit(0).alias("distance"), F.lit(1.0).alias("coverage"))
     pairs = checkpointed(near.unionByName(equal))
