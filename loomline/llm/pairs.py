@@ -13,6 +13,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -86,7 +87,7 @@ class Alignment:
     prompt_share: float = 0.85  # of the prompt in common with the response
     response_share: float = 0.5  # of the response in common with the prompt
     template_share: float = 0.8  # of a refusal's template
-    excess: float = 2.0  # length of a refusal, in templates, gaps aside
+    excess: float = 2.0  # length of the passage that refuses, in templates, gaps aside
 
 
 def tokens(text: str) -> list[str]:
@@ -158,7 +159,7 @@ class Examiner:
             return "copied"
         if not is_korean(answer):
             return "other_language" if self.is_foreign(prompt, answer) else None
-        return "truncated" if self.judge.cut_off(answer, sentence) else None
+        return "truncated" if self.judge.cut_off(answer, sentence, rendered=prompt) else None
 
     def is_empty(self, prompt: str, answer: str) -> bool:
         """Nothing, blanks and signs, or a filler that the prompt does not hold."""
@@ -188,20 +189,29 @@ class Examiner:
     def is_refusal(self, prompt: str, answer: str) -> bool:
         if not _TRIGGER.search(answer):
             return False
-        own = tokens(answer)
-        if len(own) > self.alignment.excess * max(map(len, self.templates)) + 16:
-            return False
         if VOICED.search(prompt) and not (ABOUT_TASK.search(answer) and not ABOUT_TASK.search(prompt)):
             return False
+        own = tokens(answer)
+        held = set(own)
         hits: dict[int, int] = {}
-        for token in set(own):
+        for token in held:
             for i in self.by_token.get(token, ()):
                 hits[i] = hits.get(i, 0) + 1
-        for i, n in hits.items():
-            template = self.templates[i]
-            if n < self.alignment.template_share * len(set(template)) or len(own) > self.alignment.excess * len(template) + 8:
-                continue
-            if common_length(template, own) >= self.alignment.template_share * len(template):
+        enough = self.alignment.template_share
+        return any(n >= enough * len(set(self.templates[i])) and self.holds(own, self.templates[i]) for i, n in hits.items())
+
+    def holds(self, own: list[str], template: list[str]) -> bool:
+        """Local alignment: whether some passage of an answer, of any length, follows a template.
+
+        Passages overlap by three quarters of a passage; one holds whole answers up to its size.
+        """
+        size = int(self.alignment.excess * len(template)) + 8
+        enough = self.alignment.template_share * len(template)
+        wanted = set(template)
+        inside = [0, *accumulate(t in wanted for t in own)]
+        for begin in range(0, max(1, len(own) - size + size // 4), size // 4):
+            end = min(len(own), begin + size)
+            if inside[end] - inside[begin] >= enough and common_length(template, own[begin:end]) >= enough:
                 return True
         return False
 
@@ -215,23 +225,27 @@ _FILLER = "^(?:" + "|".join("".join(rf"[^\p{{L}}\p{{N}}]*+{c}" for c in f) for f
 
 #: A tail that may be a cut token, a broken character or a comma (see truncation).
 _OPEN_END = (
-    rf"(?:\\(?:u[0-9A-Fa-f]{{0,3}}|x[0-9A-Fa-f]?)?|&#?[{_WORD}]{{1,8}}|<[/{_WORD}]{{0,12}}|\$\{{?[{_WORD}]{{0,12}}|\{{[{_WORD}]{{0,12}}|%)[{_BLANK}]*$"
-    rf"|\uFFFD[{_BLANK}.…]*$|[,，、][^가-힣]*$"
+    rf"(?:\\(?:u[0-9A-Fa-f]{{0,3}}|x[0-9A-Fa-f]?)?|&#?[{_WORD}]*+|<[/{_WORD}]*+|\$\{{?[{_WORD}]*+|\{{[{_WORD}]*+|%)[{_BLANK}]*$"
+    rf"|\uFFFD[{_BLANK}.…]*$|[,，、][^가-힣{_WORD}]*$"
 )
 
+#: Signs that the automaton may leave open.
+_OPENERS = r"[(\[{（［｛「『【《〈“‘\"'<]"
+
 
 def may_be_defective(answer: Column, sentence: Column) -> Column:
     """A test in the JVM that holds for every pair that has a defect.
 
-    Left out are Korean answers without Chinese characters and words of a
-    refusal, and that are no fillers, that close their last sentence, or render
-    no sentence and do not end inside a token.
+    Left out are Korean answers without Chinese characters, words of a refusal
+    and signs that may be open, and that are no fillers, that close their last
+    sentence, or render no sentence and do not end inside a token.
     """
     text = F.coalesce(answer, F.lit(""))
     other = r"[\u2E80-\u2FDF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF" + _HANGUL_PARTS + "]|(?i:" + TRIGGER + ")"
     plain = text.rlike("[가-힣]") & ~text.rlike(other) & ~text.rlike(_FILLER)
     closed = text.rlike("(?:" + "|".join(FINAL_ENDINGS) + r")[\s.!?。！？…~\"'”’」』】》〉)\]}）］]*$")
-    return ~(plain & (closed | (~sentence & ~text.rlike(_OPEN_END))))
+    plain = plain & ~text.rlike(_OPENERS) & ~text.rlike(_OPEN_END)
+    return ~(plain & (closed | ~sentence))
 
 
 def find_defects(df: DataFrame, key: str, prompt: str, answer: str, alignment: Alignment = Alignment()) -> DataFrame:
