@@ -1,21 +1,28 @@
 """Problem 5: records of evaluation splits that come again in the training split.
 
-Winnowing: of the rolling hashes of a text's character runs, each window of
-neighbouring ones keeps its minimum, rare hashes first.  The minima kept are
-joined across the splits; pairs whose lengths, positions and character sets
-cannot belong to near-equal texts are dropped inside the join.  The seeds of a
-pair are chained where they are collinear, the chain is extended by alignment,
-and the exact edit distance decides.
+Winnowing: the longer text of a pair is laid out in disjoint windows, one more
+than the edits it may have, and keeps one character run of each, those whose
+rolling hashes are the rarest in the other split.  An edit spoils one window at
+most, so one run at least stands unchanged in the other text, near the place
+that the edits before it allow: no near pair is lost, at any length.  The runs
+kept are joined with all runs of the other split; pairs whose lengths, places or
+character sets cannot belong to near-equal texts are dropped inside the join.
+The exact edit distance decides.  Of what is left all common runs are chained
+where they are collinear, and extended while characters agree; the share of
+the evaluation text so covered is reported.
 
 Equal texts are one class on each side, so copies meet once; they are expanded
 in the result only.  Frequent hashes are spread over salts whose number follows
-from the same fixed-size histogram on both sides.
+from the same fixed-size histogram on both sides; runs that no window of the
+other split keeps are left out by a fixed-size bit table before the join.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,31 +33,45 @@ from pyspark.sql import types as T
 from loomline.functions.fold import code_points, fold_joined, shingle_hashes
 from loomline.functions.lineage import checkpointed
 
-
-#: Texts of more characters are compared bit-parallel in Python.
+#: Texts of more characters are compared bit-parallel in Python (the cost differs, not the result).
 LONG_TEXT = 2000
 
-#: Salts over which the copies of a class are spread when pairs become records.
-SPREAD = 16
+#: Classes whose members are split over several tasks at most; any other holds under 1/1000 of the rows.
+HOT_CLASSES = 1000
+
+#: Members of a class that stay together when pairs become records.
+PER_SLOT = 4096
+
+#: Windows that are laid out at once.
+WINDOWS = 64
 
 
 @dataclass(frozen=True)
 class Winnowing:
-    """Parameters: any shared run of shingle + window - 1 characters is found.
+    """Parameters; results do not depend on any but ``distance``."""
 
-    L characters with e edits keep a run of (L - e) / (e + 1), rounded up: with
-    e up to a fifth of L that is 4 from 16 characters on, and 2 at least from 5
-    on (shorter texts have no edit), so the defaults find every pair.
-    """
-
-    shingle: int = 4
-    window: int = 1
-    short: int = 15  # longest text that is also searched by runs of short_shingle characters
-    short_shingle: int = 2
     distance: float = 0.2  # edits, as share of the longer text
-    buckets: int = 1 << 18  # of the histogram of hashes
+    longest: int = 8  # characters of a run at most
+    buckets: int = 1 << 19  # of the histogram of hashes, for each split
+    bits: int = 25  # log2 of the size of the table of runs kept
     per_salt: int = 4096  # rows of one hash that stay together
 
+    def edits(self, size):
+        """Edits that the longer text of a pair may have."""
+        return np.floor(self.distance * np.asarray(size) + 1e-9).astype(np.int64)
+
+    def run(self, size):
+        """Length of the runs of a text, as the longer one of a pair."""
+        return np.clip(np.asarray(size) // (self.edits(size) + 1), 1, self.longest)
+
+
+@lru_cache(maxsize=100_000)
+def run_lengths(size: int, options: Winnowing) -> tuple[int, ...]:
+    """Lengths of the runs of all texts of which one of ``size`` characters may be the shorter one."""
+    longer = np.arange(size, int(size / max(1e-9, 1 - options.distance)) + 2)
+    longer = longer[(longer - options.edits(longer) <= size) & (options.edits(longer) > 0)]
+    return tuple(np.unique(options.run(longer)).tolist())
+
 
 def fold_records(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """(field, id, cls, text) of every text that is not empty once folded; ``cls`` is its 128-bit hash."""
@@ -72,111 +93,223 @@ def fold_records(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
 
 
 def text_classes(records: DataFrame) -> DataFrame:
-    """(field, cls, text): every distinct text once."""
-    return records.groupBy("field", "cls").agg(F.min("text").alias("text"))
-
-
-def hashes_of(texts: list[str], fields: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, text number, position, all code points' offsets) of all character runs.
-
-    A text shorter than a run has one hash, that of the whole text.
-    """
-    lengths = np.array([len(t) for t in texts], np.int64)
-    starts = np.concatenate([[0], np.cumsum(lengths)])
-    counts = np.maximum(lengths - size + 1, 1)
-    rows = np.repeat(np.arange(len(texts)), counts)
-    places = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
-    points = np.concatenate([code_points("".join(texts)), np.zeros(size, np.uint32)])
-    hashes = shingle_hashes(points, size)[starts[:-1][rows] + places]
-    for row in np.flatnonzero(lengths < size).tolist():
-        padded = np.concatenate([points[starts[row] : starts[row + 1]], np.zeros(size, np.uint32)])[:size]
-        hashes[np.searchsorted(rows, row)] = shingle_hashes(padded, size)[0]
-    hashes ^= fields.astype(np.uint64)[rows] * np.uint64(0x9E3779B97F4A7C15)
-    return hashes, rows, places, starts
-
-
-def winnowed(hashes: np.ndarray, rows: np.ndarray, keys: np.ndarray, window: int) -> np.ndarray:
-    """Which hashes are the minimum (the last one of equals) of some window of their text."""
-    n = len(keys)
-    best = np.arange(n)
-    for step in range(1, window):
-        other = np.minimum(np.arange(n) + step, n - 1)
-        other = np.where(rows[other] == rows, other, best)
-        best = np.where(keys[other] <= keys[best], other, best)
-    ends = np.minimum(np.arange(n) + window - 1, n - 1)
-    whole = rows[ends] == rows
-    whole[:1] = True
-    whole[1:] |= rows[1:] != rows[:-1]
-    kept = np.zeros(n, bool)
-    kept[best[whole]] = True
-    return kept
-
-
-def hash_histogram(classes: DataFrame, options: Winnowing) -> np.ndarray:
-    """Counts of all character runs by hash bucket; its size is fixed."""
+    """(field, cls, text, copies): every distinct text once."""
+    return records.groupBy("field", "cls").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+
+
+class Batch:
+    """The folded texts of one batch, with the hashes of their runs."""
+
+    def __init__(self, fields: np.ndarray, texts: list[str], options: Winnowing):
+        self.options = options
+        self.sizes = np.array([len(t) for t in texts], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.joined = "".join(texts)
+        self.points = code_points(self.joined)
+        self.marks = fields.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        self.hashes: dict[int, np.ndarray] = {}
+
+    def runs(self, length: int) -> np.ndarray:
+        """Hash of the run at every place; those across texts are never looked at."""
+        if length not in self.hashes:
+            found = shingle_hashes(np.concatenate([self.points, np.zeros(length, np.uint32)]), length)[: len(self.points)]
+            self.hashes[length] = found ^ np.repeat(self.marks, self.sizes)
+        return self.hashes[length]
+
+    def every_run(self, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, text number, place) of all runs that a longer text may keep; with ``table`` those in it only."""
+        needs: dict[int, list[int]] = {}
+        for size in np.unique(self.sizes).tolist():
+            for length in run_lengths(size, self.options):
+                if length <= size:
+                    needs.setdefault(length, []).append(size)
+        parts = []
+        for length, sizes in needs.items():
+            rows = np.flatnonzero(np.isin(self.sizes, sizes))
+            counts = self.sizes[rows] - length + 1
+            row = np.repeat(rows, counts)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            found = self.runs(length)[self.starts[row] + place]
+            if table is not None:
+                held = in_table(table, found, self.options)
+                found, row, place = found[held], row[held], place[held]
+            parts.append((found, row, place))
+        if not parts:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return tuple(np.concatenate(p) for p in zip(*parts))
+
+    def rarest_runs(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, text number, place, number from 0) of the runs that the windows of every text keep.
+
+        Of all ways to lay the windows out the one with the least sum of
+        counts is taken, for so many windows at a time; of equal counts the
+        smaller hash.
+        """
+        edits = self.options.edits(self.sizes)
+        lengths = self.options.run(self.sizes)
+        rows = np.flatnonzero(edits > 0)
+        layouts: dict[tuple[int, int, int], list[tuple[int, int, int]]] = {}
+        for row in rows.tolist():
+            m, k = int(edits[row]) + 1, int(lengths[row])
+            slack, at, done = int(self.sizes[row]) - m * k, 0, 0
+            while done < m:
+                own = min(WINDOWS, m - done)
+                spare = slack * own // m
+                layouts.setdefault((k, own, spare), []).append((row, at, done))
+                at += own * k + spare
+                done += own
+        weights: dict[int, np.ndarray] = {}
+        parts = []
+        for (k, m, spare), own in layouts.items():
+            if k not in weights:
+                h = self.runs(k)
+                weights[k] = counts[(h % np.uint64(self.options.buckets)).astype(np.int64)] + (h >> np.uint64(11)) / 2.0**53
+            row, at, done = np.array(own, np.int64).T
+            base = self.starts[row] + at
+            cost = weights[k][base[:, None] + np.arange(m * k + spare - k + 1)]
+            best, back, steps = np.zeros((len(row), spare + 1)), [], np.arange(spare + 1)
+            for j in range(m):
+                sums = best + cost[:, j * k : j * k + spare + 1]
+                best = np.minimum.accumulate(sums, axis=1)
+                fresh = np.ones(sums.shape, bool)
+                fresh[:, 1:] = sums[:, 1:] < best[:, :-1]
+                back.append(np.maximum.accumulate(np.where(fresh, steps, 0), axis=1))
+            used = np.full(len(row), spare)
+            for j in range(m - 1, -1, -1):
+                used = back[j][np.arange(len(row)), used]
+                place = at + j * k + used
+                parts.append((self.runs(k)[self.starts[row] + place], row, place, done + j))
+        if not parts:
+            return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+        return tuple(np.concatenate(p) for p in zip(*parts))
+
+
+def in_table(table: np.ndarray, hashes: np.ndarray, options: Winnowing) -> np.ndarray:
+    """Whether each hash may be in a table of bits."""
+    at = table_place(hashes, options)
+    return (table[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def table_place(hashes: np.ndarray, options: Winnowing) -> np.ndarray:
+    return (hashes * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - options.bits)
+
+
+def histograms(sides: list[DataFrame], options: Winnowing) -> list[np.ndarray]:
+    """Counts of all runs by hash bucket, for each side; their size is fixed."""
+
+    width = len(sides) * options.buckets
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(options.buckets, np.int64)
+        totals = np.zeros(width, np.int64)
+        for batch in batches:
+            side = batch.column(2).to_numpy(zero_copy_only=False)
+            fields, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            if texts:
+                hashes, rows, _ = Batch(fields, texts, options).every_run()
+                totals += np.bincount((hashes % np.uint64(options.buckets)).astype(np.int64) + side[rows].astype(np.int64) * options.buckets, minlength=width)
+        used = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(totals[used], pa.int64())], names=["bucket", "n"])
+
+    both = None
+    for i, side in enumerate(sides):
+        part = side.select("field", "text", F.lit(i).alias("side"))
+        both = part if both is None else both.unionAll(part)
+    table = both.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(width, np.int64)
+    out[table.column("bucket").to_numpy()] = table.column("n").to_numpy()
+    return list(out.reshape(-1, options.buckets))
+
+
+def kept_table(longer: DataFrame, counts, options: Winnowing) -> np.ndarray:
+    """The table of bits of all runs that the windows of one side keep; its size is fixed."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << options.bits - 6, np.uint64)
         for batch in batches:
             fields, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
             if texts:
-                hashes = hashes_of(texts, fields, options.shingle)[0]
-                total += np.bincount((hashes % np.uint64(options.buckets)).astype(np.int64), minlength=options.buckets)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["bucket", "n"])
+                at = table_place(np.unique(Batch(fields, texts, options).rarest_runs(counts.value)[0]), options)
+                np.bitwise_or.at(bits, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+        used = np.flatnonzero(bits)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(bits[used].view(np.int64))], names=["word", "bits"])
 
-    counted = classes.select("field", "text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    table = counted.toArrow()
-    histogram = np.zeros(options.buckets, np.int64)
-    histogram[table.column("bucket").to_numpy()] = table.column("n").to_numpy()
-    return histogram
+    table = longer.select("field", "text").mapInArrow(mark, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << options.bits - 6, np.int64)
+    out[table.column("word").to_numpy()] = table.column("bits").to_numpy()
+    return out.view(np.uint64)
 
 
-def fingerprints(classes: DataFrame, histogram, options: Winnowing, replicate: bool) -> DataFrame:
-    """(hash, salt, place, cls, field, size, low, high) of every winnowed hash.
+def fingerprints(classes: DataFrame, counts, options: Winnowing, table=None) -> DataFrame:
+    """(hash, salt, place, number, cls, field, size, low, high) of the runs of one side.
 
-    ``low`` and ``high`` are a 128-bit set of the text's characters.  With
-    ``replicate`` a row goes to all salts of its hash, else to one.
+    Without ``table`` those that the windows of the texts keep, in all salts of
+    their hash; with it all runs that the table holds, in one salt each.
+    ``counts`` is the histogram of the side whose runs are all taken.  ``low``
+    and ``high`` are a 128-bit set of the text's characters.  A run that a text
+    repeats comes once, at a place below zero.
     """
-    schema = "hash long, salt int, place int, cls binary, field int, size int, low long, high long"
+    schema = "hash long, salt int, place int, number int, cls binary, field int, size int, low long, high long"
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = histogram.value
         for batch in batches:
             fields, texts = batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_pylist()
             if not texts:
                 continue
-            hashes, rows, places, starts = hashes_of(texts, fields, options.shingle)
-            often = counts[(hashes % np.uint64(options.buckets)).astype(np.int64)]
-            keys = often + (hashes >> np.uint64(11)).astype(np.float64) / 2.0**53
-            kept = np.flatnonzero(winnowed(hashes, rows, keys, options.window))
-            # A hash that a text repeats is kept once, at a place below zero.
-            order = np.lexsort((kept, hashes[kept], rows[kept]))
-            kept = kept[order]
-            fresh = np.ones(len(kept), bool)
-            fresh[1:] = (hashes[kept[1:]] != hashes[kept[:-1]]) | (rows[kept[1:]] != rows[kept[:-1]])
+            own = Batch(fields, texts, options)
+            if table is None:
+                hashes, rows, places, numbers = own.rarest_runs(counts.value)
+            else:
+                hashes, rows, places = own.every_run(table.value)
+                numbers = np.zeros(len(rows), np.int64)
+            order = np.lexsort((places, hashes, rows))
+            hashes, rows, places, numbers = hashes[order], rows[order], places[order], numbers[order]
+            fresh = np.ones(len(rows), bool)
+            fresh[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
             single = fresh & np.append(fresh[1:], True)
-            place = np.where(single, places[kept], -1 - places[kept])[fresh]
-            kept = kept[fresh]
-            sets = character_sets("".join(texts), starts)
-            salts = (often[kept] // options.per_salt + 1).astype(np.int64)
-            if replicate:
-                kept, place = np.repeat(kept, salts), np.repeat(place, salts)
-                salt = np.arange(len(kept)) - np.repeat(np.cumsum(salts) - salts, salts)
+            places = np.where(single, places, -1)[fresh]
+            hashes, rows, numbers = hashes[fresh], rows[fresh], numbers[fresh]
+            sets = character_sets(own.joined, own.starts)
+            salts = (counts.value[(hashes % np.uint64(options.buckets)).astype(np.int64)] // options.per_salt + 1).astype(np.int64)
+            if table is None:
+                hashes, rows, places, numbers = (np.repeat(x, salts) for x in (hashes, rows, places, numbers))
+                salt = np.arange(len(rows)) - np.repeat(np.cumsum(salts) - salts, salts)
             else:
-                salt = (rows[kept] * 7919 + places[kept]) % salts
-            at = rows[kept]
+                salt = (rows * 7919 + places) % salts
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(hashes[kept].view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(place.astype(np.int32)), batch.column(0).take(pa.array(at)),
-                    pa.array(fields[at].astype(np.int32)), pa.array(np.diff(starts)[at].astype(np.int32)), pa.array(sets[at, 0]), pa.array(sets[at, 1]),
+                    pa.array(hashes.view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(places.astype(np.int32)), pa.array(numbers.astype(np.int32)), batch.column(0).take(pa.array(rows)),
+                    pa.array(fields[rows].astype(np.int32)), pa.array(own.sizes[rows].astype(np.int32)), pa.array(sets[rows, 0]), pa.array(sets[rows, 1]),
                 ],
-                names=["hash", "salt", "place", "cls", "field", "size", "low", "high"],
+                names=["hash", "salt", "place", "number", "cls", "field", "size", "low", "high"],
             )
 
     return classes.select("cls", "field", "text").mapInArrow(pick, schema)
 
 
+def candidates(longer: DataFrame, shorter: DataFrame, counts: np.ndarray, equal_size: bool, options: Winnowing) -> DataFrame:
+    """(field, long_cls, short_cls) of pairs that share a run where near-equal texts may share it.
+
+    ``counts`` is the histogram of ``shorter``.  Some run that is kept has at
+    most as many edits before it as there are windows before it, and at most as
+    many behind it as there are windows behind; that bounds how far it may move.
+    """
+    spark = longer.sparkSession
+    shared = spark.sparkContext.broadcast(counts)
+    table = spark.sparkContext.broadcast(kept_table(longer, shared, options))
+    a = fingerprints(longer, shared, options).alias("a")
+    b = fingerprints(shorter, shared, options, table).alias("b")
+    edits = F.floor(F.lit(options.distance) * F.col("a.size") + F.lit(1e-9))
+    differing = F.bit_count(F.col("a.low").bitwiseXOR(F.col("b.low"))) + F.bit_count(F.col("a.high").bitwiseXOR(F.col("b.high")))
+    moved, grown = F.col("a.place") - F.col("b.place"), F.col("a.size") - F.col("b.size")
+    placed = (F.least("a.place", "b.place") < 0) | ((F.abs(moved) <= F.col("a.number")) & (F.abs(grown - moved) <= edits - F.col("a.number")))
+    met = a.join(
+        b,
+        (F.col("a.hash") == F.col("b.hash")) & (F.col("a.salt") == F.col("b.salt")) & (grown >= (0 if equal_size else 1)) & (grown <= edits)
+        & placed & (differing <= 2 * edits) & (F.col("a.cls") != F.col("b.cls")),
+    )
+    return met.select(F.col("a.field").alias("field"), F.col("a.cls").alias("long_cls"), F.col("b.cls").alias("short_cls"))
+
+
 def character_sets(joined: str, starts: np.ndarray) -> np.ndarray:
     """Two int64 for each text: the set of its characters, hashed to 128 bits."""
     points = code_points(joined).astype(np.uint64)
@@ -214,8 +347,6 @@ def edit_distance(a: str, b: str) -> int:
 
 def chain(seeds: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest chain of collinear seeds, as ordered (place, place) pairs."""
-    from bisect import bisect_left
-
     # Longest increasing subsequence; of one place the farther partners come first.
     seeds = sorted(set(seeds), key=lambda s: (s[0], -s[1]))
     tails: list[int] = []
@@ -250,23 +381,20 @@ def extended(a: str, b: str, links: list[tuple[int, int]]) -> int:
     return sum(covered)
 
 
+def common_runs(a: str, b: str, length: int) -> list[tuple[int, int]]:
+    """Seeds of a pair: places of the runs that both hold; of one that a text repeats the first."""
+    places: dict[str, int] = {}
+    for q in range(len(b) - length, -1, -1):
+        places[b[q : q + length]] = q
+    return [(p, q) for p in range(len(a) - length + 1) if (q := places.get(a[p : p + length])) is not None]
+
+
 def near_classes(evaluation: DataFrame, training: DataFrame, options: Winnowing) -> DataFrame:
     """(field, eval_cls, train_cls, distance, coverage) of near-equal, unequal texts."""
-    spark = evaluation.sparkSession
-    histogram = spark.sparkContext.broadcast(hash_histogram(evaluation.unionByName(training), options))
-    e = fingerprints(evaluation, histogram, options, replicate=True).alias("e")
-    t = fingerprints(training, histogram, options, replicate=False).alias("t")
-    edits = F.floor(F.lit(options.distance) * F.greatest("e.size", "t.size") + F.lit(1e-9))
-    differing = F.bit_count(F.col("e.low").bitwiseXOR(F.col("t.low"))) + F.bit_count(F.col("e.high").bitwiseXOR(F.col("t.high")))
-    seeds = e.join(
-        t,
-        (F.col("e.hash") == F.col("t.hash")) & (F.col("e.salt") == F.col("t.salt")) & (F.abs(F.col("e.size") - F.col("t.size")) <= edits)
-        & ((F.least("e.place", "t.place") < 0) | (F.abs(F.col("e.place") - F.col("t.place")) <= edits)) & (differing <= 2 * edits) & (F.col("e.cls") != F.col("t.cls")),
-    )
-    first = lambda c: F.when(F.col(c) < 0, -1 - F.col(c)).otherwise(F.col(c))
-    pairs = seeds.groupBy(F.col("e.field").alias("field"), F.col("e.cls").alias("eval_cls"), F.col("t.cls").alias("train_cls")).agg(
-        F.collect_list(F.struct(first("e.place").alias("p"), first("t.place").alias("q"))).alias("seeds")
-    )
+    of_evaluation, of_training = histograms([evaluation, training], options)
+    down = candidates(training, evaluation, of_evaluation, True, options).select("field", F.col("short_cls").alias("eval_cls"), F.col("long_cls").alias("train_cls"))
+    up = candidates(evaluation, training, of_training, False, options).select("field", F.col("long_cls").alias("eval_cls"), F.col("short_cls").alias("train_cls"))
+    pairs = down.unionAll(up).distinct()
     with_eval = pairs.join(evaluation.select("field", F.col("cls").alias("eval_cls"), F.col("text").alias("a")), ["field", "eval_cls"])
     with_both = with_eval.join(training.select("field", F.col("cls").alias("train_cls"), F.col("text").alias("b")), ["field", "train_cls"])
     # The banded distance in the JVM gives -1 beyond its bound; its cost is the
@@ -279,19 +407,56 @@ def near_classes(evaluation: DataFrame, training: DataFrame, options: Winnowing)
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             took, distances, coverages = [], [], []
-            for i, (distance, a, b, found) in enumerate(zip(*(batch.column(k).to_pylist() for k in (3, 4, 5, 6)))):
+            for i, (distance, a, b) in enumerate(zip(*(batch.column(k).to_pylist() for k in (3, 4, 5)))):
                 distance = edit_distance(a, b) if distance is None else distance
-                if distance <= options.distance * max(len(a), len(b)) + 1e-9:
+                longest = max(len(a), len(b))
+                if distance <= options.distance * longest + 1e-9:
                     took.append(i)
                     distances.append(distance)
-                    coverages.append(extended(a, b, chain([(s["p"], s["q"]) for s in found])) / len(a))
+                    coverages.append(extended(a, b, chain(common_runs(a, b, int(options.run(longest))))) / len(a))
             rows = pa.array(took, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k).take(rows) for k in range(3)), pa.array(distances, pa.int32()), pa.array(coverages, pa.float64())],
                 names=["field", "eval_cls", "train_cls", "distance", "coverage"],
             )
 
-    return near.select("field", "eval_cls", "train_cls", "distance", "a", "b", "seeds").mapInArrow(cover, schema)
+    return near.select("field", "eval_cls", "train_cls", "distance", "a", "b").mapInArrow(cover, schema)
+
+
+@dataclass(frozen=True)
+class Overlaps:
+    """Links between classes of equal texts, and the records of the classes."""
+
+    links: DataFrame  # field, eval_cls, train_cls, distance, coverage, eval_copies, train_copies
+    eval_members: DataFrame  # field, cls, id
+    train_members: DataFrame
+    eval_classes: DataFrame  # field, cls, text, copies
+    train_classes: DataFrame
+
+
+def class_overlaps(
+    evaluation: DataFrame, training: DataFrame, eval_key: str, train_key: str, eval_columns: list[str], train_columns: list[str], options: Winnowing = Winnowing()
+) -> Overlaps:
+    """The links between equal and near-equal texts, one row for each pair of
+    classes with its numbers of copies, and membership beside them: copies are
+    not expanded into pairs.  Null, empty and blank texts are in no class."""
+    own = checkpointed(fold_records(evaluation, eval_key, eval_columns))
+    other = checkpointed(fold_records(training, train_key, train_columns))
+    own_classes, other_classes = checkpointed(text_classes(own)), checkpointed(text_classes(other))
+    near = near_classes(own_classes, other_classes, options)
+    equal = own_classes.select("field", "cls").join(other_classes.select("field", "cls"), ["field", "cls"])
+    equal = equal.select("field", F.col("cls").alias("eval_cls"), F.col("cls").alias("train_cls"), F.lit(0).alias("distance"), F.lit(1.0).alias("coverage"))
+    copies = lambda classes, side: classes.select("field", F.col("cls").alias(f"{side}_cls"), F.col("copies").alias(f"{side}_copies"))
+    links = near.unionByName(equal).join(copies(own_classes, "eval"), ["field", "eval_cls"]).join(copies(other_classes, "train"), ["field", "train_cls"])
+    drop = lambda records: records.select("field", "cls", "id")
+    return Overlaps(checkpointed(links), drop(own), drop(other), own_classes, other_classes)
+
+
+def hot_slots(classes: DataFrame, side: str) -> DataFrame:
+    """(field, cls, slots) of the largest classes, a bounded table: over how many slots their members go."""
+    hot = classes.where(F.col("copies") > PER_SLOT).orderBy(F.desc("copies"), "field", "cls").limit(HOT_CLASSES)
+    slots = (F.col("copies") / PER_SLOT).cast("int") + 1
+    return F.broadcast(hot.select("field", F.col("cls").alias(f"{side}_cls"), slots.alias(f"{side}_slots")))
 
 
 def find_overlaps(
@@ -306,21 +471,15 @@ def find_overlaps(
     the chain covers.  Null, empty and blank texts never match; repeated ids give
     one row; empty tables give none.
     """
-    own = checkpointed(fold_records(evaluation, eval_key, eval_columns))
-    other = checkpointed(fold_records(training, train_key, train_columns))
-    own_classes, other_classes = checkpointed(text_classes(own)), checkpointed(text_classes(other))
-    near = near_classes(own_classes, other_classes, options)
-    if options.short:
-        brief = replace(options, shingle=options.short_shingle, window=1)
-        near = near.unionByName(near_classes(*(c.where(F.length("text") <= options.short) for c in (own_classes, other_classes)), brief))
-        near = near.groupBy("field", "eval_cls", "train_cls").agg(F.min("distance").alias("distance"), F.max("coverage").alias("coverage"))
-    equal = own_classes.select("field", "cls").join(other_classes.select("field", "cls"), ["field", "cls"])
-    equal = equal.select("field", F.col("cls").alias("eval_cls"), F.col("cls").alias("train_cls"), F.lit(0).alias("distance"), F.lit(1.0).alias("coverage"))
-    pairs = checkpointed(near.unionByName(equal))
-    members = pairs.join(own.select("field", F.col("cls").alias("eval_cls"), F.col("id").alias("eval_id")), ["field", "eval_cls"])
-    # Copies of one text may fill both splits: the training rows that occur in a
-    # pair go to all of a few salts, each evaluation row to one.
-    hit = other.select("field", F.col("cls").alias("train_cls"), F.col("id").alias("train_id")).join(pairs.select("field", "train_cls").distinct(), ["field", "train_cls"], "left_semi")
-    hit = hit.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    members = members.withColumn("salt", F.pmod(F.xxhash64("eval_id"), F.lit(SPREAD)).cast("int")).join(hit, ["field", "train_cls", "salt"])
-    return members.groupBy("eval_id", "train_id").agg(F.min("distance").alias("distance"), F.max("coverage").alias("coverage"))
+    found = class_overlaps(evaluation, training, eval_key, train_key, eval_columns, train_columns, options)
+    # Copies of one text may fill both splits: members of the largest classes go
+    # to slots by their ids, and links to all slots of both classes.
+    links, members = found.links.select("field", "eval_cls", "train_cls", "distance", "coverage"), {}
+    for side, records, classes in (("eval", found.eval_members, found.eval_classes), ("train", found.train_members, found.train_classes)):
+        hot = hot_slots(classes, side)
+        slots = F.coalesce(f"{side}_slots", F.lit(1))
+        rows = records.select("field", F.col("cls").alias(f"{side}_cls"), F.col("id").alias(f"{side}_id")).join(hot, ["field", f"{side}_cls"], "left")
+        members[side] = rows.select("field", f"{side}_cls", f"{side}_id", F.pmod(F.xxhash64(f"{side}_id"), slots).cast("int").alias(f"{side}_slot"))
+        links = links.join(hot, ["field", f"{side}_cls"], "left").withColumn(f"{side}_slot", F.explode(F.sequence(F.lit(0), slots - 1))).drop(f"{side}_slots")
+    pairs = links.join(members["eval"], ["field", "eval_cls", "eval_slot"]).join(members["train"], ["field", "train_cls", "train_slot"])
+    return pairs.groupBy("eval_id", "train_id").agg(F.min("distance").alias("distance"), F.max("coverage").alias("coverage"))

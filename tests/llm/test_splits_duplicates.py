@@ -61,16 +61,36 @@ def test_overlaps_equal_brute_force(spark):
     assert splits.find_overlaps(e.limit(0), t, "id", "id", ["zh", "ko"], ["a", "b"]).count() == 0
 
 
-def test_winnowing_keeps_a_shared_run():
+def test_windows_keep_a_run_that_no_edit_spoils():
+    """For every pair within the limit one kept run of the longer text stands in the other, near its place."""
     import numpy as np
 
-    rng = random.Random(3)
-    for _ in range(200):
-        run = "".join(rng.choice(ZH) for _ in range(7))
-        texts = ["".join(rng.choice(ZH) for _ in range(rng.randint(0, 9))) + run + "".join(rng.choice(ZH) for _ in range(rng.randint(0, 9))) for _ in range(2)]
-        hashes, rows, _, _ = splits.hashes_of(texts, np.zeros(2, np.int64), 5)
-        kept = splits.winnowed(hashes, rows, hashes.astype(np.float64), 3)
-        assert set(hashes[kept & (rows == 0)].tolist()) & set(hashes[kept & (rows == 1)].tolist())
+    rng, options = random.Random(3), splits.Winnowing()
+    for n in [*range(5, 60), 150, 700]:
+        text = "".join(rng.choice(ZH) for _ in range(n))
+        edits, other = int(n * 0.2), list(text)
+        for _ in range(edits):
+            at = rng.randrange(len(other))
+            other[at : at + 1] = rng.choice([[], ["甲"], ["甲"]])
+        other = "".join(other)
+        own = splits.Batch(np.zeros(2, np.int64), [text, other], options)
+        hashes, rows, places, numbers = own.rarest_runs(np.zeros(options.buckets, np.int64))
+        k = int(options.run(n))
+        mine = [(int(p), int(i)) for r, p, i in zip(rows, places, numbers) if r == 0]
+        assert [i for _, i in sorted(mine)] == list(range(edits + 1)) and all(q - p >= k for (p, _), (q, _) in zip(sorted(mine), sorted(mine)[1:]))
+        assert k in splits.run_lengths(len(other), options)
+        assert any(text[p : p + k] == other[q : q + k] and abs(p - q) <= i and abs(n - len(other) - p + q) <= edits - i for p, i in mine for q in range(len(other) - k + 1)), (text, other)
+
+
+def test_windows_keep_the_rarest_runs():
+    import numpy as np
+
+    options, text = splits.Winnowing(), "甲乙丙丁戊己庚辛壬癸子丑寅卯辰巳"  # 16 characters: four windows of four
+    own = splits.Batch(np.zeros(1, np.int64), [text + "午未申酉"[:3]], options)
+    counts = np.ones(options.buckets, np.int64) * 100
+    rare = own.runs(4)[2]
+    counts[int(rare % np.uint64(options.buckets))] = 0
+    assert 2 in own.rarest_runs(counts)[2].tolist()
 
 
 def test_chain():
