@@ -45,7 +45,8 @@ _BLANKS = re.compile(r"[ \xa0]*")
 #: Separators that running text uses too: they need a piece of a strong type.
 WEAK = frozenset({",", "/", "\n", "\t", "&", "~", "*"})
 
-_LABELLED = re.compile(r"[^\W\d_][^:=|;\n]{0,40}?\s*[:=]\s*[+\-]?\d[\d.]*\s*%?")
+_LABELLED = re.compile(r"[^\W\d_][^:=|;\n]*[:=]\s*[+\-]?\d[\d.]*\s*%?")
+_NAMED = re.compile(r"[^\W\d_][^:=\n]*[:=]\s*[^\s:=][^:=]*")
 _CODED = re.compile(r".*(?<![0-9A-Za-z])(?:(?=[A-Za-z]*[0-9])(?=[0-9a-z]*[A-Z])[0-9A-Za-z]{4,}|[A-Z]{6,}|[0-9]{6,})", re.DOTALL)
 _STOPS = re.compile(r"[,，、;；。!?！？…]|\.(?=\s|$)")
 _CLOSE = re.compile(r"\s*(?:$|[^\w\s])|\s*\\[nrt]|[ \xa0]*[\n\t]")
@@ -53,10 +54,6 @@ _CLOSE = re.compile(r"\s*(?:$|[^\w\s])|\s*\\[nrt]|[ \xa0]*[\n\t]")
 #: Types of pieces that running text hardly ever has between separators.
 STRONG = frozenset({"quoted", "labelled", "coded"})
 
-#: Longest item that is neither quoted nor labelled, in characters.
-LONGEST_ITEM = 48
-
-
 @dataclass
 class Piece:
     """One value of a list."""
@@ -143,7 +140,10 @@ def closing(flat: str, at: int, end: int) -> int:
 
 
 def piece_type(piece: Piece) -> str:
-    """quoted, labelled, coded, item, sentence, empty, or "" for irregular."""
+    """quoted, labelled, named, coded, item, sentence, empty, or "" for irregular.
+
+    ``labelled`` is a label with its number, ``named`` a label with a text.
+    """
     if piece.quoted:
         return "quoted"
     flat = piece.text.translate(WIDE).strip()
@@ -152,8 +152,10 @@ def piece_type(piece: Piece) -> str:
     if _LABELLED.fullmatch(flat):
         return "labelled"
     body = flat.rstrip("。.!?…")
-    if len(body) > LONGEST_ITEM or not any(c.isalpha() for c in body) or _STOPS.search(body) or ":" in body or "=" in body:
+    if not any(c.isalpha() for c in body) or _STOPS.search(body):
         return ""
+    if ":" in body or "=" in body:
+        return "named" if body == flat and _NAMED.fullmatch(body) else ""
     if body != flat:
         return "sentence"
     return "coded" if _CODED.fullmatch(body) else "item"
@@ -163,13 +165,16 @@ def is_list(parts: Cut, other: int = 0) -> bool:
     """Whether a cut gives two or more regular pieces.
 
     Separators of running text need a piece of a strong type, or a parallel
-    field that is a list of ``other`` values."""
+    field that is a list of ``other`` values; a label with a text needs labels
+    in front of all values."""
     if len(parts.pieces) < 2:
         return False
     types = [piece_type(p) for p in parts.pieces]
     if "" in types or sum(t != "empty" for t in types) < 2 and "quoted" not in types:
         return False
-    strong = bool(STRONG.intersection(types))
+    if "named" in types and not {"named", "labelled", "empty"}.issuperset(types):
+        return False
+    strong = bool(STRONG.intersection(types)) and "named" not in types
     if types.count("sentence") == len(types):
         return False
     return strong or not WEAK.intersection(parts.separators) or other > 1
@@ -237,7 +242,7 @@ def delimiter_statistics(df: DataFrame, columns: list[str], source: str) -> Data
                     if not parts or len(parts.pieces) < 2:
                         continue
                     agrees = any(n == len(parts.pieces) for j, n in enumerate(good) if j != i)
-                    strong = any(piece_type(p) in STRONG for p in parts.pieces)
+                    strong = not STRONG.isdisjoint(map(piece_type, parts.pieces))
                     for s in set(parts.separators):
                         if s in WEAK and not strong and not agrees:  # running text says nothing of a list's separator
                             continue
