@@ -42,8 +42,8 @@ HOT_CLASSES = 1000
 #: Members of a class that stay together when pairs become records.
 PER_SLOT = 4096
 
-#: Windows that are laid out at once.
-WINDOWS = 64
+#: Windows that are laid out at once, and characters whose runs are.
+WINDOWS, SLICE = 64, 1 << 17
 
 
 @dataclass(frozen=True)
@@ -52,7 +52,7 @@ class Winnowing:
 
     distance: float = 0.2  # edits, as share of the longer text
     longest: int = 8  # characters of a run at most
-    buckets: int = 1 << 19  # of the histogram of hashes, for each split
+    buckets: int = 1 << 20  # of the histogram of hashes, for each split
     bits: int = 25  # log2 of the size of the table of runs kept
     per_salt: int = 4096  # rows of one hash that stay together
 
@@ -202,17 +202,15 @@ def histograms(sides: list[DataFrame], options: Winnowing) -> list[np.ndarray]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(width, np.int64)
         for batch in batches:
-            side = batch.column(2).to_numpy(zero_copy_only=False)
-            fields, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
-            if texts:
+            for side, fields, texts in slices(batch):
                 hashes, rows, _ = Batch(fields, texts, options).every_run()
-                totals += np.bincount((hashes % np.uint64(options.buckets)).astype(np.int64) + side[rows].astype(np.int64) * options.buckets, minlength=width)
+                np.add.at(totals, (hashes % np.uint64(options.buckets)).astype(np.int64) + side[rows].astype(np.int64) * options.buckets, 1)
         used = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(totals[used], pa.int64())], names=["bucket", "n"])
 
     both = None
     for i, side in enumerate(sides):
-        part = side.select("field", "text", F.lit(i).alias("side"))
+        part = side.select(F.lit(i).alias("side"), "field", "text")
         both = part if both is None else both.unionAll(part)
     table = both.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(width, np.int64)
@@ -226,68 +224,85 @@ def kept_table(longer: DataFrame, counts, options: Winnowing) -> np.ndarray:
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << options.bits - 6, np.uint64)
         for batch in batches:
-            fields, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
-            if texts:
+            for _, fields, texts in slices(batch):
                 at = table_place(np.unique(Batch(fields, texts, options).rarest_runs(counts.value)[0]), options)
                 np.bitwise_or.at(bits, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
         used = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(bits[used].view(np.int64))], names=["word", "bits"])
 
-    table = longer.select("field", "text").mapInArrow(mark, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    table = longer.select(F.lit(0).alias("none"), "field", "text").mapInArrow(mark, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(1 << options.bits - 6, np.int64)
     out[table.column("word").to_numpy()] = table.column("bits").to_numpy()
     return out.view(np.uint64)
 
 
-def fingerprints(classes: DataFrame, counts, options: Winnowing, table=None) -> DataFrame:
-    """(hash, salt, place, number, cls, field, size, low, high) of the runs of one side.
+def slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
+    """(code, field, text) columns of a batch, for so many characters at a time."""
+    codes, fields = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    texts, begin, chars = batch.column(2).to_pylist(), 0, 0
+    for end in range(1, len(texts) + 1):
+        chars += len(texts[end - 1])
+        if end == len(texts) or chars + len(texts[end]) > SLICE:
+            yield codes[begin:end], fields[begin:end], texts[begin:end]
+            begin, chars = end, 0
+
 
-    Without ``table`` those that the windows of the texts keep, in all salts of
-    their hash; with it all runs that the table holds, in one salt each.
-    ``counts`` is the histogram of the side whose runs are all taken.  ``low``
-    and ``high`` are a 128-bit set of the text's characters.  A run that a text
-    repeats comes once, at a place below zero.
+def fingerprints(classes: DataFrame, counts, options: Winnowing, table=None) -> DataFrame:
+    """(key, place, number, code, size, low, high) of the runs of one side.
+
+    Without ``table`` those that the windows of the texts keep, once for each
+    salt of their hash, unless the other side has none of them; with it all runs
+    that the table holds, with one salt each.  ``key`` is the hash with its salt,
+    ``counts`` the histogram of the side whose runs are all taken, ``low`` and
+    ``high`` a 128-bit set of the text's characters.  A run that a text repeats
+    comes once, at a place below zero.
     """
-    schema = "hash long, salt int, place int, number int, cls binary, field int, size int, low long, high long"
+    schema = "key long, place int, number int, code long, size int, low long, high long"
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fields, texts = batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_pylist()
-            if not texts:
-                continue
-            own = Batch(fields, texts, options)
-            if table is None:
-                hashes, rows, places, numbers = own.rarest_runs(counts.value)
-            else:
-                hashes, rows, places = own.every_run(table.value)
-                numbers = np.zeros(len(rows), np.int64)
-            order = np.lexsort((places, hashes, rows))
-            hashes, rows, places, numbers = hashes[order], rows[order], places[order], numbers[order]
-            fresh = np.ones(len(rows), bool)
-            fresh[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
-            single = fresh & np.append(fresh[1:], True)
-            places = np.where(single, places, -1)[fresh]
-            hashes, rows, numbers = hashes[fresh], rows[fresh], numbers[fresh]
-            sets = character_sets(own.joined, own.starts)
-            salts = (counts.value[(hashes % np.uint64(options.buckets)).astype(np.int64)] // options.per_salt + 1).astype(np.int64)
-            if table is None:
-                hashes, rows, places, numbers = (np.repeat(x, salts) for x in (hashes, rows, places, numbers))
-                salt = np.arange(len(rows)) - np.repeat(np.cumsum(salts) - salts, salts)
-            else:
-                salt = (rows * 7919 + places) % salts
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(hashes.view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(places.astype(np.int32)), pa.array(numbers.astype(np.int32)), batch.column(0).take(pa.array(rows)),
-                    pa.array(fields[rows].astype(np.int32)), pa.array(own.sizes[rows].astype(np.int32)), pa.array(sets[rows, 0]), pa.array(sets[rows, 1]),
-                ],
-                names=["hash", "salt", "place", "number", "cls", "field", "size", "low", "high"],
-            )
+            for codes, fields, texts in slices(batch):
+                own = Batch(fields, texts, options)
+                if table is None:
+                    hashes, rows, places, numbers = own.rarest_runs(counts.value)
+                    met = counts.value[(hashes % np.uint64(options.buckets)).astype(np.int64)] > 0
+                    hashes, rows, places, numbers = hashes[met], rows[met], places[met], numbers[met]
+                else:
+                    hashes, rows, places = own.every_run(table.value)
+                    numbers = np.zeros(len(rows), np.int8)
+                order = np.lexsort((hashes, rows))
+                hashes, rows, places, numbers = hashes[order], rows[order], places[order], numbers[order]
+                fresh = np.ones(len(rows), bool)
+                fresh[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
+                places = np.where(fresh & np.append(fresh[1:], True), places, -1)[fresh]
+                hashes, rows, numbers = hashes[fresh], rows[fresh], numbers[fresh]
+                sets = character_sets(own.joined, own.starts)
+                salts = counts.value[(hashes % np.uint64(options.buckets)).astype(np.int64)] // options.per_salt + 1
+                if table is None:
+                    hashes, rows, places, numbers = (np.repeat(x, salts) for x in (hashes, rows, places, numbers))
+                    salt = np.arange(len(rows)) - np.repeat(np.cumsum(salts) - salts, salts)
+                else:
+                    salt = (rows * 7919 + places) % salts
+                keys = hashes ^ salt.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(keys.view(np.int64)), pa.array(places.astype(np.int32)), pa.array(numbers.astype(np.int32)),
+                        pa.array(codes[rows]), pa.array(own.sizes[rows].astype(np.int32)), pa.array(sets[rows, 0]), pa.array(sets[rows, 1]),
+                    ],
+                    names=["key", "place", "number", "code", "size", "low", "high"],
+                )
+
+    found = coded(classes).select("code", "field", "text").mapInArrow(pick, schema)
+    return found if table is None else found.drop("number")
+
 
-    return classes.select("cls", "field", "text").mapInArrow(pick, schema)
+def coded(classes: DataFrame) -> DataFrame:
+    """Classes with ``code``, a 64-bit hash of their keys; of two that share it both are looked at."""
+    return classes.withColumn("code", F.xxhash64("field", "cls"))
 
 
 def candidates(longer: DataFrame, shorter: DataFrame, counts: np.ndarray, equal_size: bool, options: Winnowing) -> DataFrame:
-    """(field, long_cls, short_cls) of pairs that share a run where near-equal texts may share it.
+    """(long_code, short_code) of pairs that share a run where near-equal texts may share it.
 
     ``counts`` is the histogram of ``shorter``.  Some run that is kept has at
     most as many edits before it as there are windows before it, and at most as
@@ -298,16 +313,12 @@ def candidates(longer: DataFrame, shorter: DataFrame, counts: np.ndarray, equal_
     table = spark.sparkContext.broadcast(kept_table(longer, shared, options))
     a = fingerprints(longer, shared, options).alias("a")
     b = fingerprints(shorter, shared, options, table).alias("b")
-    edits = F.floor(F.lit(options.distance) * F.col("a.size") + F.lit(1e-9))
+    edits = F.floor(F.lit(options.distance) * F.col("a.size") + F.lit(1e-9)).cast("int")
     differing = F.bit_count(F.col("a.low").bitwiseXOR(F.col("b.low"))) + F.bit_count(F.col("a.high").bitwiseXOR(F.col("b.high")))
     moved, grown = F.col("a.place") - F.col("b.place"), F.col("a.size") - F.col("b.size")
     placed = (F.least("a.place", "b.place") < 0) | ((F.abs(moved) <= F.col("a.number")) & (F.abs(grown - moved) <= edits - F.col("a.number")))
-    met = a.join(
-        b,
-        (F.col("a.hash") == F.col("b.hash")) & (F.col("a.salt") == F.col("b.salt")) & (grown >= (0 if equal_size else 1)) & (grown <= edits)
-        & placed & (differing <= 2 * edits) & (F.col("a.cls") != F.col("b.cls")),
-    )
-    return met.select(F.col("a.field").alias("field"), F.col("a.cls").alias("long_cls"), F.col("b.cls").alias("short_cls"))
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (grown >= (0 if equal_size else 1)) & (grown <= edits) & placed & (differing <= 2 * edits))
+    return met.select(F.col("a.code").alias("long_code"), F.col("b.code").alias("short_code"))
 
 
 def character_sets(joined: str, starts: np.ndarray) -> np.ndarray:
@@ -392,11 +403,12 @@ def common_runs(a: str, b: str, length: int) -> list[tuple[int, int]]:
 def near_classes(evaluation: DataFrame, training: DataFrame, options: Winnowing) -> DataFrame:
     """(field, eval_cls, train_cls, distance, coverage) of near-equal, unequal texts."""
     of_evaluation, of_training = histograms([evaluation, training], options)
-    down = candidates(training, evaluation, of_evaluation, True, options).select("field", F.col("short_cls").alias("eval_cls"), F.col("long_cls").alias("train_cls"))
-    up = candidates(evaluation, training, of_training, False, options).select("field", F.col("long_cls").alias("eval_cls"), F.col("short_cls").alias("train_cls"))
+    down = candidates(training, evaluation, of_evaluation, True, options).select(F.col("short_code").alias("eval_code"), F.col("long_code").alias("train_code"))
+    up = candidates(evaluation, training, of_training, False, options).select(F.col("long_code").alias("eval_code"), F.col("short_code").alias("train_code"))
     pairs = down.unionAll(up).distinct()
-    with_eval = pairs.join(evaluation.select("field", F.col("cls").alias("eval_cls"), F.col("text").alias("a")), ["field", "eval_cls"])
-    with_both = with_eval.join(training.select("field", F.col("cls").alias("train_cls"), F.col("text").alias("b")), ["field", "train_cls"])
+    a = coded(evaluation).select(F.col("code").alias("eval_code"), "field", F.col("cls").alias("eval_cls"), F.col("text").alias("a"))
+    b = coded(training).select(F.col("code").alias("train_code"), F.col("field").alias("__field"), F.col("cls").alias("train_cls"), F.col("text").alias("b"))
+    with_both = pairs.join(a, "eval_code").join(b, "train_code").where((F.col("field") == F.col("__field")) & (F.col("eval_cls") != F.col("train_cls")))
     # The banded distance in the JVM gives -1 beyond its bound; its cost is the
     # product of length and bound, so long texts go to the bit-parallel one.
     size = "greatest(length(a), length(b))"
