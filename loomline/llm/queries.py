@@ -128,18 +128,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p9_pieces": p9_pieces,
 }
 
-_SIGNS = "translate(lower(coalesce({c}, '')), '：＝；｜，＋－％．／', ':=;|,+-%./')"
-_LABELLED = r"\p{L}[\p{L}\p{N} ]{0,40}?\s*[:=]\s*[+\-]?\d[\d.]*\s*%?"
+_WIDE = "translate(lower(coalesce({c}, '')), '：＝；｜，＋－％．／～、‐‑‒–—−', ':=;|,+-%./~,------')"
+_LABELLED = r"\p{L}[\p{L}\p{N} ]*\s*[:=]\s*[+\-]?\d[\d.]*\s*%?"
+
+
+def _bare_sql(text: str) -> str:
+    """Letters, digits and the signs of numbers: marks the signs that stay, then drops the rest.
+
+    Patterns without a look around consume what they test, so they run twice."""
+    for _ in range(3):
+        text = rf"regexp_replace({text}, '(\d),(\d{{3}})(\D|$)', '\1\2\3', 'g')"
+    between = r"(\p{N})(?:([.,])|\s*([/:~\-])\s*)(\p{N})"
+    for _ in range(2):
+        text = rf"regexp_replace({text}, '{between}', '\1' || chr(1) || '\2\3\4', 'g')"
+    text = rf"regexp_replace({text}, '(^|[^\p{{L}}\p{{N}}\x01.,/:~+\-])([+\-])(\p{{N}})', '\1' || chr(1) || '\2\3', 'g')"
+    return rf"regexp_replace({text}, '\x01(.)|[^\p{{L}}\p{{N}}\x01]', '\1', 'g')"
 
 
 def _canonical_sql(column: str) -> str:
     """SQL of the canonical form; compatibility characters aside, which DuckDB cannot fold."""
-    text = "regexp_replace(" + _SIGNS.replace("{c}", column) + r", '\\[nrt]', chr(10), 'g')"
+    text = "regexp_replace(" + _WIDE.replace("{c}", column) + r", '\\[nrt]', chr(10), 'g')"
     items = f"regexp_extract_all({text}, '{_LABELLED}')"
     listed = f"array_to_string(list_sort(list_transform({items}, lambda x: regexp_replace(x, '[^\\p{{L}}\\p{{N}}+\\-%.]+', '', 'g'))), ';')"
-    bare = f"regexp_replace({text}, '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
     rest = f"regexp_replace({text}, '{_LABELLED}', '', 'g')"
-    return f"CASE WHEN len({items}) > 1 AND NOT regexp_matches({rest}, '[\\p{{L}}\\p{{N}}]') THEN {listed} ELSE {bare} END"
+    pieces = f"list_filter(string_split_regex({text}, CASE WHEN regexp_matches({text}, '[;|]') THEN '[;|]' ELSE ',' END), lambda x: regexp_matches(x, '[\\p{{L}}\\p{{N}}]'))"
+    named = f"array_to_string(list_sort(list_transform({pieces}, lambda x: {_bare_sql("regexp_extract(x, '^([^:=]*)', 1)")} || '=' || {_bare_sql("regexp_extract(x, '[:=](.*)$', 1)")})), ';')"
+    labelled = r"^[^:=]*\p{L}[^:=]*[:=][^:=]*[\p{L}\p{N}][^:=]*$"
+    return (
+        f"CASE WHEN len({items}) > 1 AND NOT regexp_matches({rest}, '[\\p{{L}}\\p{{N}}]') THEN {listed}"
+        f" WHEN len({pieces}) > 1 AND len(list_filter({pieces}, lambda x: NOT regexp_matches(x, '{labelled}'))) = 0 THEN {named} ELSE {_bare_sql(text)} END"
+    )
 
 
 _COPIES = f"""k AS (SELECT segment_id, {_canonical_sql('"zh-CN"')} AS a, {_canonical_sql('ko')} AS b FROM segments), g AS (SELECT segment_id, min(segment_id) OVER (PARTITION BY a, b) AS kept_id FROM k)"""

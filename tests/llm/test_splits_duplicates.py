@@ -112,7 +112,7 @@ def test_copies(spark):
 
 
 def test_copies_beyond_the_hot_groups(spark, monkeypatch):
-    monkeypatch.setattr(duplicates, "HOT_GROUPS", 1)
+    monkeypatch.setattr(duplicates, "HOT_SHARE", 0.5)
     df = spark.createDataFrame([(f"{i:03}", f"文{i % 7}", "가") for i in range(60)] + [(f"9{i:03}", "热", "가") for i in range(200)], "id string, zh string, ko string")
     got = duplicates.list_copies(df, "id", ["zh", "ko"]).groupBy("kept_id").count().collect()
     assert {r["kept_id"]: r["count"] for r in got} == {**{f"{i:03}": len(range(i, 60, 7)) - 1 for i in range(7)}, "9000": 199}
