@@ -72,10 +72,11 @@ def rolling_hash(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def cuts(data: np.ndarray, ends: np.ndarray, limit: int, least: int, overlap: int) -> list[tuple[int, int]]:
+def cuts(data: np.ndarray, ends: np.ndarray, limit: int, least: int, overlap: int, smaller: dict[int, int]) -> list[tuple[int, int]]:
     """Byte ranges (begin, end) of the pieces of one text.
 
-    ``ends`` are the byte offsets of its tokens' ends, more than ``limit`` of them.
+    ``ends`` are the byte offsets of its tokens' ends.  ``smaller`` holds limits
+    for pieces by where they begin; all others keep to ``limit``.
     """
     text = data.tobytes().decode("utf-8")
     whole = (data & 0xC0) != 0x80  # a character begins here
@@ -86,13 +87,13 @@ def cuts(data: np.ndarray, ends: np.ndarray, limit: int, least: int, overlap: in
     hashes = rolling_hash(data)
     on_char = whole[ends]
     usable = np.flatnonzero(on_char)  # tokens that end a character
-    reach = max(1, limit // 8)
     pieces, begin, first = [], 0, 0  # first: index of the piece's first token
-    while len(ends) - first > limit:
-        low, high = int(ends[first + least - 1]), int(ends[first + limit - 1])
+    while len(ends) - first > (size := smaller.get(begin, limit)):
+        floor = min(least, size)
+        low, high = int(ends[first + floor - 1]), int(ends[first + size - 1])
         landmark = low + int(np.argmax(hashes[low - 1 : high])) if high > low else high
         a, b = np.searchsorted(natural, [low, high + 1])
-        cut = snapped(natural[a:b], levels[a:b], landmark, (high - low) * reach // max(1, limit - least))
+        cut = snapped(natural[a:b], levels[a:b], landmark, (high - low) * max(1, size // 8) // max(1, size - floor))
         if cut is None:  # no natural boundary: between words, else between characters
             blanks = np.flatnonzero(data[low:high] == 0x20) + low + 1
             cut = int(blanks[np.argmin(np.abs(blanks - landmark))]) if len(blanks) else None
@@ -137,28 +138,28 @@ def split_texts(
     ids, ends = coder.encode_joined(data, rows[:-1])
     first = np.searchsorted(ends, rows, side="right")
     out: list[list[tuple[int, int, int, int]]] = [[] for _ in range(len(rows) - 1)]
-    budget = {i: limit for i in np.flatnonzero(np.diff(first) > limit).tolist()}
-    while budget:
+    open_texts: dict[int, dict[int, int]] = {i: {} for i in np.flatnonzero(np.diff(first) > limit).tolist()}
+    while open_texts:
         spans = {
-            i: cuts(data[rows[i] : rows[i + 1]], ends[first[i] : first[i + 1]] - rows[i], size, min(least, size), overlap)
-            for i, size in budget.items()
+            i: cuts(data[rows[i] : rows[i + 1]], ends[first[i] : first[i + 1]] - rows[i], limit, least, overlap, smaller)
+            for i, smaller in open_texts.items()
         }
-        flat = [(i, a + rows[i], b + rows[i]) for i, own in spans.items() for a, b in own]
-        joined = np.concatenate([data[a:b] for _, a, b in flat])
-        sizes = np.array([b - a for _, a, b in flat])
-        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        flat = [(i, a, b) for i, own in spans.items() for a, b in own]
+        joined = np.concatenate([data[rows[i] + a : rows[i] + b] for i, a, b in flat])
+        offsets = np.concatenate([[0], np.cumsum([b - a for _, a, b in flat])])
         counted = np.diff(np.searchsorted(coder.encode_joined(joined, offsets[:-1])[1], offsets, side="right"))
-        again: dict[int, int] = {}
-        for (i, _, _), n in zip(flat, counted.tolist()):
-            if n > limit:  # a piece by itself can encode to a few tokens more
-                again[i] = min(again.get(i, limit), budget[i] - max(1, n - limit))
+        again: dict[int, dict[int, int]] = {}
+        for (i, a, _), n in zip(flat, counted.tolist()):
+            if n > limit:  # a piece by itself can encode to a few tokens more: this piece shrinks, no other
+                smaller = again.setdefault(i, open_texts[i])
+                smaller[a] = smaller.get(a, limit) - max(1, n - limit)
         at = 0
         for i, own in spans.items():
             if i not in again:
                 before = [a for a, _ in own[:1]] + [b for _, b in own[:-1]]
                 out[i] = [(a, b, int(counted[at + k]), before[k] - a) for k, (a, b) in enumerate(own)]
             at += len(own)
-        budget = again
+        open_texts = again
     return out
 
 

@@ -81,3 +81,38 @@ def test_repeated_rows_empty_table_and_sizes(spark):
     assert chunking.split_documents(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         chunking.split_documents(df, limit=10, overlap=8)
+
+
+class Fussy:
+    """A coder to which pieces with a mark cost three tokens more by themselves."""
+
+    def __init__(self, coder, mark):
+        self.coder, self.mark, self.calls, self.added = coder, mark.encode(), 0, 0
+
+    def encode_joined(self, data, starts):
+        ids, ends = self.coder.encode_joined(data, starts)
+        self.calls += 1
+        if self.calls > 1:
+            bounds = [*np.asarray(starts).tolist(), len(data)]
+            marked = [b for a, b in zip(bounds, bounds[1:]) if self.mark in data[a:b].tobytes()]
+            self.added += len(marked)
+            ends = np.sort(np.concatenate([ends, np.repeat(np.array(marked, ends.dtype), 3)]))
+        return ids, ends
+
+
+def test_an_oversized_piece_shrinks_alone(coder):
+    """A piece that encodes to too many tokens by itself moves no piece far from it, wherever the text is edited."""
+    rng, again = random.Random(5), 0
+    for _ in range(20):
+        text = text_of(rng, 60) + "甲乙丙" + text_of(rng, 400)
+        at = text.index("\n", len(text) * 3 // 4)
+        cut = []
+        for t in (text, text[:at] + "新的句子。" + text[at:]):
+            data, fussy = np.frombuffer(t.encode(), np.uint8), Fussy(coder, "甲乙丙")
+            pieces = chunking.split_texts(data, np.array([0, len(data)]), fussy, LIMIT, LIMIT - 8, OVERLAP)[0]
+            assert all(n <= LIMIT for _, _, n, _ in pieces) and pieces[0][0] == 0 and pieces[-1][1] == len(data)
+            cut.append([data[a:b].tobytes() for a, b, _, _ in pieces])
+            again += fussy.calls > 2
+        first = next(i for i, (a, b) in enumerate(zip(*cut)) if a != b)
+        assert first > len(cut[0]) // 2  # nothing before the edit changes
+    assert again >= 4
