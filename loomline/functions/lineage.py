@@ -10,10 +10,16 @@ from pyspark.sql import DataFrame
 def checkpointed(df: DataFrame) -> DataFrame:
     """The table read back from a reliable checkpoint.
 
-    The folder is the session's ``spark.checkpoint.dir``; a temporary one is set
-    only where the cluster names none, as in tests.
+    The folder is the session's ``spark.checkpoint.dir``.  Where none is set, a
+    temporary one serves a session in one process, as in tests; on a cluster
+    that is an error, as executors would not share it.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="loomline"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if folder is None:
+            if not context.master.split("[")[0] == "local":
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="loomline")
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
