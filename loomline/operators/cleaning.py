@@ -104,6 +104,8 @@ def classify(rows: DataFrame, pairs: DataFrame, markers: Sequence[str] = L.SENTE
 
     ``rows``: segment_id, split_index, src, tgt, aligned; ``pairs``: distinct
     (term_src, term_tgt).  Rows that no rule settles are PENDING_SEMANTIC.
+    ``sentence_score`` is null where an earlier rule settles the row, and 1
+    for a placeholder.
     """
     exact = pairs.select(F.col("term_src").alias("src"), F.col("term_tgt").alias("tgt"), F.lit(True).alias("__exact"))
     joined = rows.join(exact, ["src", "tgt"], "left")
@@ -116,7 +118,7 @@ def classify(rows: DataFrame, pairs: DataFrame, markers: Sequence[str] = L.SENTE
         ((src == "") | (tgt == ""), "REMOVE_EMPTY", F.lit("empty_after_split"), "SKIP_EMPTY"),
         (contaminated != "", "REMOVE_TARGET_LANGUAGE_CONTAMINATION", contaminated, "AUTO_REMOVE_TARGET_LANGUAGE_CONTAMINATION"),
         (X.is_fragment(src, tgt), "REMOVE_NON_SEGMENT_FRAGMENT", F.lit("pure_cjk_single_char_fragment"), "AUTO_REMOVE_NON_SEGMENT_FRAGMENT"),
-        (both.rlike(X.PLACEHOLDER), "KEEP", F.lit("placeholder_kept"), "SKIP_PLACEHOLDER"),
+        (both.rlike(X.PLACEHOLDER), "KEEP", F.lit(PLACEHOLDER_KEPT), "SKIP_PLACEHOLDER"),
         (F.col("__exact").isNotNull(), "REMOVE_TERM_LIKE", F.lit("exact_glossary_pair"), "AUTO_REMOVE_EXACT_GLOSSARY"),
         (score >= keep, "KEEP", F.lit("sentence_like_kept"), "SKIP_SENTENCE_LIKE"),
         (src.rlike(X.TUPLE_WRAPPER) | tgt.rlike(X.TUPLE_WRAPPER), "KEEP", F.lit("structured_wrapper_kept_for_review"), "SKIP_STRUCTURE_WRAPPER"),
@@ -126,15 +128,57 @@ def classify(rows: DataFrame, pairs: DataFrame, markers: Sequence[str] = L.SENTE
         value = F.struct(F.lit(action).alias("action"), reason.alias("reason"), F.lit(semantic).alias("semantic_action"))
         chain = F.when(test, value) if chain is None else chain.when(test, value)
     rest = F.struct(F.lit("KEEP").alias("action"), F.lit("kept").alias("reason"), F.lit("PENDING_SEMANTIC").alias("semantic_action"))
-    return joined.withColumn("__v", chain.otherwise(rest)).select("segment_id", "split_index", "src", "tgt", "__v.action", "__v.reason", "__v.semantic_action", score.alias("sentence_score"))
+    judged = joined.withColumn("__v", chain.otherwise(rest))
+    scored = F.when(F.col("__v.reason") == PLACEHOLDER_KEPT, 1.0).when(F.col("__v.semantic_action").isin("SKIP_SENTENCE_LIKE", "SKIP_STRUCTURE_WRAPPER", PENDING), score)
+    return judged.select("segment_id", "split_index", "src", "tgt", "__v.action", "__v.reason", "__v.semantic_action", scored.alias("sentence_score"))
+
+
+PENDING, PLACEHOLDER_KEPT = "PENDING_SEMANTIC", "placeholder_kept"
+
+
+def judge_pending(rows: DataFrame, terms: DataFrame, seeds: Sequence[str] = L.ENTITY_SEEDS) -> DataFrame:
+    """The rows of classify with the pending ones settled by their scores.
+
+    Adds ``noun_score``, ``glossary_similarity``, ``seed_similarity`` and
+    ``semantic_score``, null for rows that a rule has settled.  Words and vectors
+    are those of :mod:`loomline.operators.tagging`, computed once for each
+    distinct pair of texts; a seed itself is as near as can be.
+    """
+    from loomline.functions.lineage import checkpointed
+    from loomline.operators import glossary, tagging
+
+    spark, pair = rows.sparkSession, F.md5(F.concat_ws("\x1f", "src", "tgt"))
+    pending = rows.where(F.col("semantic_action") == PENDING).select("src", "tgt").distinct().withColumn("__pair", pair)
+    sw, tw = tagging.source_words(F.col("src")), tagging.target_words(F.col("tgt"))
+    meaningful = F.filter(F.transform("tw", lambda w: w["tag"]), lambda t: ~F.startswith(t, F.lit("J")))
+    tagged = pending.withColumns({"sw": sw, "tw": tw, "v": tagging.hashed_vector(F.col("src"))})
+    tagged = checkpointed(tagged)  # used several times
+    nouns = tagged.select("__pair", "src", "v", F.least(
+        glossary.segment_source_noun(F.col("src"), F.transform("sw", lambda w: w["flag"]), F.transform("sw", lambda w: w["upos"])),
+        glossary.segment_target_noun(F.col("tgt"), meaningful, F.transform("tw", lambda w: w["upos"])),
+    ).alias("noun_score"))
+    listed = spark.createDataFrame([(w,) for w in seeds], "w string").select(tagging.hashed_vector(F.col("w")).alias("t"))
+    known = terms.select("term_src").distinct().select(tagging.hashed_vector(F.col("term_src")).alias("t"))
+    near = glossary.max_similarity(nouns, "__pair", "v", known, "t").withColumnRenamed("similarity", "glossary_similarity")
+    like = glossary.max_similarity(nouns, "__pair", "v", listed, "t").withColumnRenamed("similarity", "seed_similarity")
+    scores = nouns.drop("v").join(near, "__pair").join(like, "__pair").withColumn("glossary_similarity", F.coalesce("glossary_similarity", F.lit(0.0)))
+    scores = glossary.seed_similarity(scores, "src", "seed_similarity", seeds).drop("src")
+    joined = rows.withColumn("__pair", F.when(F.col("semantic_action") == PENDING, pair)).join(scores, "__pair", "left").drop("__pair")
+    verdict = entity_verdict(F.col("noun_score"), F.col("glossary_similarity"), F.col("seed_similarity"), F.coalesce("sentence_score", F.lit(0.0)))
+    out = joined.withColumn("__v", F.when(F.col("semantic_action") == PENDING, verdict))
+    settled = {c: F.coalesce(F.col(f"__v.{c}"), F.col(c)) for c in ("action", "reason", "semantic_action")}
+    return out.withColumns({"semantic_score": F.col("__v.score"), **settled}).drop("__v")
 
 
 def clean_segments(segments: DataFrame, glossary: DataFrame) -> DataFrame:
-    """The whole stage: normalise, split tuples, classify.  One broadcast-sized
-    join on exact pairs; everything else is narrow."""
+    """The whole stage: normalise, split tuples, classify, and settle what is left by scores.
+
+    One join on exact pairs, one back from the distinct pending pairs; everything else is narrow."""
+    from loomline.functions.lineage import checkpointed
     from loomline.sources.pairs import distinct_pairs
 
-    return classify(split_tuples(normalize_rows(segments)), distinct_pairs(glossary))
+    rows = checkpointed(classify(split_tuples(normalize_rows(segments)), distinct_pairs(glossary)))
+    return judge_pending(rows, glossary)
 
 
 def entity_verdict(noun: Column, glossary: Column, seed: Column, sentence: Column) -> Column:

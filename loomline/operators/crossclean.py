@@ -126,11 +126,16 @@ def row_verdicts(segments: DataFrame, matches: DataFrame, verdicts: DataFrame) -
 
 def cross_check(segments: DataFrame, terms: DataFrame, rules: Rules = Rules()) -> tuple[DataFrame, DataFrame]:
     """(term verdicts, row verdicts) of a corpus; the matches are computed once."""
+    return cross_check_all(segments, terms, rules)[1:]
+
+
+def cross_check_all(segments: DataFrame, terms: DataFrame, rules: Rules = Rules()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(matches, term verdicts, row verdicts) of a corpus."""
     from loomline.functions.lineage import checkpointed
 
     matches = checkpointed(find_matches(segments, terms))
     verdicts = term_verdicts(term_statistics(matches, terms), rules)
-    return verdicts, row_verdicts(segments, matches, verdicts)
+    return matches, verdicts, row_verdicts(segments, matches, verdicts)
 
 
 def apply_verdicts(segments: DataFrame, terms: DataFrame, verdicts: DataFrame, rows: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -140,3 +145,84 @@ def apply_verdicts(segments: DataFrame, terms: DataFrame, verdicts: DataFrame, r
     else:
         drop_rows, drop_terms = F.col("row_action") == "AUTO_REMOVE_SEGMENT_CONFLICT", F.col("term_action") == "AUTO_REMOVE_GLOSSARY_NOISE"
     return segments.join(rows.where(drop_rows).select("segment_id"), "segment_id", "left_anti"), terms.join(verdicts.where(drop_terms).select("term_id"), "term_id", "left_anti")
+
+
+MODES = ("dry-run", "apply", "strict-dry-run", "strict-apply", "strict-check")
+
+
+@dataclass(frozen=True)
+class CrossRun:
+    """What a mode of the cross-check removes and leaves."""
+
+    segments: DataFrame  # what remains
+    terms: DataFrame
+    counts: DataFrame  # one row
+
+
+def run_mode(segments: DataFrame, terms: DataFrame, verdicts: DataFrame, rows: DataFrame, mode: str) -> CrossRun:
+    """One of the five modes over the verdicts of cross_check.
+
+    Dry runs count what they would remove and leave everything; the check
+    removes nothing and only counts rows that miss a term.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode: {mode}")
+    strict = mode.startswith("strict")
+    row_test, term_test = ("strict_row_action = 'STRICT_REMOVE_SEGMENT_MISMATCH'", "strict_action = 'AUTO_REMOVE_GLOSSARY_UNENFORCEABLE'") if strict else (
+        "row_action = 'AUTO_REMOVE_SEGMENT_CONFLICT'", "term_action = 'AUTO_REMOVE_GLOSSARY_NOISE'")
+    none = mode == "strict-check"
+    left = (segments, terms) if not mode.endswith("apply") else apply_verdicts(segments, terms, verdicts, rows, strict)
+    removed = lambda test: F.lit(0).cast("long") if none else F.count_if(F.expr(test))
+    of_terms = verdicts.agg(F.count("*").alias("input_terms"), removed(term_test).alias("removed_terms"), F.count_if(F.expr("strict_action = 'AUTO_REMOVE_GLOSSARY_UNENFORCEABLE'")).alias("unenforceable_terms"))
+    of_rows = rows.agg(
+        F.count("*").alias("input_segments"), removed(row_test).alias("removed_segments"), F.count_if(F.col("missing_terms") != "").alias("mismatch_rows"),
+        F.count_if(F.expr("strict_row_action = 'STRICT_REMOVE_SEGMENT_MISMATCH'")).alias("strict_mismatch_rows"),
+    )
+    counts = of_terms.join(of_rows).select(
+        F.lit(mode).alias("mode"), "input_terms", (F.col("input_terms") - F.col("removed_terms")).alias("output_terms"), "removed_terms", "input_segments",
+        (F.col("input_segments") - F.col("removed_segments")).alias("output_segments"), "removed_segments", "mismatch_rows", "unenforceable_terms", "strict_mismatch_rows",
+    )
+    return CrossRun(*left, counts)
+
+
+def strict_gate(rows: DataFrame) -> DataFrame:
+    """(mismatch_rows, passed): the gate is passed where no row misses a term."""
+    return rows.agg(F.count_if(F.col("missing_terms") != "").alias("mismatch_rows")).withColumn("passed", F.col("mismatch_rows") == 0)
+
+
+def six(column: str) -> Column:
+    """A score as text, six digits behind the point."""
+    return F.format_string("%.6f", F.col(column))
+
+
+def removed_terms(verdicts: DataFrame, strict: bool = False) -> DataFrame:
+    """Removed terms with their statistics as text."""
+    name, reason = ("strict_action", "AUTO_REMOVE_GLOSSARY_UNENFORCEABLE") if strict else ("term_action", "AUTO_REMOVE_GLOSSARY_NOISE")
+    return verdicts.where(F.col(name) == reason).select(
+        F.col("term_id").alias("original_term_id"), F.col("term_src").alias("term_zh-CN"), F.col("term_tgt").alias("expected_ko"), F.col("occurrences").cast("string").alias("occurrence_count"),
+        F.col("preserved").cast("string").alias("preserved_count"), F.col("missing").cast("string").alias("missing_count"), *(six(c).alias(c) for c in ("missing_rate", "preserved_rate", "domain_score", "weak_score")),
+        F.lit(reason).alias("remove_reason"),
+    )
+
+
+def removed_rows(segments: DataFrame, matches: DataFrame, verdicts: DataFrame, rows: DataFrame, strict: bool = False) -> DataFrame:
+    """Removed segments, numbered from 1, with the terms that they miss and, in the
+    normal mode, those terms' statistics."""
+    from loomline.operators.review import with_ordinal
+
+    name, reason = ("strict_row_action", "STRICT_REMOVE_SEGMENT_MISMATCH") if strict else ("row_action", "AUTO_REMOVE_SEGMENT_CONFLICT")
+    gone = with_ordinal(segments.join(rows.where(F.col(name) == reason).select("segment_id"), "segment_id"), "segment_id", "__ord")
+    each = matches.select("segment_id", F.posexplode("matches").alias("at", "m")).where("not m.preserved").select("segment_id", "at", "m.term_id").join(verdicts, "term_id")
+    each = each.where(F.col("strict_action") != "AUTO_REMOVE_GLOSSARY_UNENFORCEABLE" if strict else F.col("term_action") == "STRONG_GLOSSARY_TERM")
+    stats = F.concat_ws(";", *(F.concat(F.lit(f"{label}="), value) for label, value in (
+        ("term_id", F.col("term_id")), ("occ", F.col("occurrences").cast("string")), ("preserved", F.col("preserved").cast("string")), ("missing", F.col("missing").cast("string")),
+        ("missing_rate", six("missing_rate")), ("domain_score", six("domain_score")),
+    )))
+    named = F.concat(F.col("term_id"), F.lit(":"), F.col("term_src"), F.lit("=>"), F.col("term_tgt"))
+    joined = lambda value: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", value.alias("x")))), lambda s: s["x"]), "|")
+    listed = each.groupBy("segment_id").agg(joined(named).alias("terms"), joined(stats).alias("stats"))
+    out = gone.join(listed, "segment_id", "left").select(
+        (F.col("__ord") + 1).cast("string").alias("removed_id"), F.col("segment_id").alias("original_segment_id"), F.col("src").alias("zh-CN"), F.col("tgt").alias("ko"),
+        F.col("terms").alias("strict_missing_terms" if strict else "missing_strong_terms"), F.col("stats").alias("term_level_stats"), F.lit(reason).alias("remove_reason"),
+    )
+    return out.drop("term_level_stats") if strict else out

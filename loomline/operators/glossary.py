@@ -8,6 +8,7 @@ everything made of them is a column expression.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ def split_compound(term: Column, suffixes: Sequence[str] = L.COMPOUND_SUFFIXES)
     """struct(stem, suffix) by the longest suffix that leaves two characters; empty parts without one."""
     ordered = F.array(*map(F.lit, sorted(suffixes, key=lambda s: (-len(s), suffixes.index(s)))))
     suffix = F.get(F.filter(ordered, lambda s: F.endswith(term, s) & (F.length(term) > F.length(s) + 1)), F.lit(0))
-    stem = F.expr("''") if suffix is None else F.substring(term, F.lit(1), F.length(term) - F.length(suffix))
+    stem = F.substring(term, F.lit(1), F.length(term) - F.length(suffix))
     return F.struct(F.coalesce(stem, F.lit("")).alias("stem"), F.coalesce(suffix, F.lit("")).alias("suffix"))
 
 
@@ -112,6 +113,51 @@ def target_noun_score(text: Column, tags: Column, upos: Column, root: Column) ->
     return F.when(filled(text) == "", 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
 
 
+@dataclass(frozen=True)
+class SegmentNouns:
+    """Weights of the noun scores of segments."""
+
+    base: float = 0.15
+    tags: float = 0.45
+    source_upos: float = 0.40
+    target_upos: float = 0.35
+    no_letters: float = 0.35
+    signal: float = 0.08
+    noun_end: float = 0.10
+    verb_end: float = 0.25
+
+
+def _share(tags: Column, test) -> Column:
+    return F.coalesce(F.try_divide(F.size(F.filter(tags, test)), F.size(tags)), F.lit(0.0))
+
+
+def _unit(value: Column) -> Column:
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))
+
+
+_NOUN_UPOS = ("NOUN", "PROPN", "NUM", "X")
+_NOUN_TAGS = ("NR", "NP", "SL", "SH", "SN", "XR")
+_VERB_TAGS = ("VV", "VA", "VX", "VCP", "VCN", "EF", "EC", "ETM", "ETN", "EP")
+
+
+def segment_source_noun(text: Column, flags: Column, upos: Column, weights: SegmentNouns = SegmentNouns()) -> Column:
+    """How noun-like the source of a segment is: other weights than for terms, and no root."""
+    first = _share(flags, lambda t: t.isin("eng", "x") | F.startswith(t, F.lit("n")))
+    bare = ~has_source(text) & ~text.rlike("[A-Za-z]")
+    total = weights.base + weights.tags * first + weights.source_upos * _share(upos, lambda t: t.isin(*_NOUN_UPOS))
+    total = total - F.when(bare, weights.no_letters).otherwise(0.0) + F.when(text.rlike("[A-Za-z0-9]"), weights.signal).otherwise(0.0)
+    return F.when(filled(text) == "", 0.0).otherwise(_unit(total))
+
+
+def segment_target_noun(text: Column, tags: Column, upos: Column, weights: SegmentNouns = SegmentNouns()) -> Column:
+    """How noun-like the target of a segment is; ``tags`` are its meaningful morpheme tags."""
+    noun = lambda t: t.isin(*_NOUN_TAGS) | F.startswith(t, F.lit("NN"))
+    last = F.get(tags, F.size(tags) - 1)
+    total = weights.base + weights.tags * _share(tags, noun) + weights.target_upos * _share(upos, lambda t: t.isin(*_NOUN_UPOS))
+    total = total + F.when(noun(last), weights.noun_end).otherwise(0.0) - F.when(last.isin(*_VERB_TAGS), weights.verb_end).otherwise(0.0)
+    return F.when(filled(text) == "", 0.0).otherwise(_unit(total))
+
+
 def has_anchor(text: Column) -> Column:
     """Whether a text holds a part that marks a domain term, in any case of Latin letters."""
     return contains_any(text, L.GAME_ANCHORS) | contains_any(F.upper(text), L.GAME_ANCHORS)
@@ -270,24 +316,117 @@ def centroid(df: DataFrame, vector: str, group: list[str]) -> DataFrame:
     return out.select(*group, F.transform("mean", lambda x: x / norm).alias("centroid"))
 
 
-def max_similarity(items: DataFrame, key: str, vector: str, terms: DataFrame, term_vector: str, most: int = 10_000) -> DataFrame:
+def centroid_similarity(df: DataFrame, vector: str, seeds: DataFrame, seed_vector: str, name: str) -> DataFrame:
+    """The table with the cosine of its unit vectors and the seeds' centroid."""
+    one = centroid(seeds.select(F.lit(0).alias("__all"), seed_vector), seed_vector, ["__all"]).select(F.col("centroid").alias("__centroid"))
+    return df.join(F.broadcast(one)).withColumn(name, dot(F.col(vector), F.col("__centroid"))).drop("__centroid")  # one row
+
+
+def max_similarity(items: DataFrame, key: str, vector: str, terms: DataFrame, term_vector: str, block: int = 10_000, slice_rows: int = 50_000) -> DataFrame:
     """(key, similarity): the largest inner product of each item with any term.
 
-    The terms' vectors go to every worker as one matrix; their number is checked.
-    Blocks of items meet the matrix, so no pairs are shuffled.
+    Up to ``block`` terms go to every worker as one matrix, and items stay where
+    they are.  More terms are cut into blocks: slices of items meet blocks of
+    terms as matrices, and the largest value of each item's blocks counts.
+    Without terms the similarity is null; keys must be unique.
     """
     import numpy as np
     import pandas as pd
 
-    rows = terms.select(term_vector).limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} term vectors")
-    shared = items.sparkSession.sparkContext.broadcast(np.array([r[0] for r in rows], np.float32).T)
+    kind = items.schema[key].dataType.simpleString()
+    schema = f"{key} {kind}, similarity double"
+    rows = terms.select(term_vector).limit(block + 1).collect()
+    if not rows:
+        return items.select(key, F.lit(None).cast("double").alias("similarity"))
+    named = items.select(key, F.col(vector).alias("v"))
+    if len(rows) <= block:
+        shared = items.sparkSession.sparkContext.broadcast(np.array([r[0] for r in rows], np.float32).T)
+
+        def best(batches):
+            for frame in batches:
+                vectors = np.stack(frame["v"].to_numpy()) if len(frame) else np.zeros((0, shared.value.shape[0]), np.float32)
+                yield pd.DataFrame({key: frame[key], "similarity": (vectors @ shared.value).max(axis=1).astype(float) if len(frame) else []})
 
-    def best(batches):
-        for frame in batches:
-            vectors = np.stack(frame["v"].to_numpy()) if len(frame) else np.zeros((0, shared.value.shape[0]), np.float32)
-            yield pd.DataFrame({key: frame[key], "similarity": (vectors @ shared.value).max(axis=1).astype(float) if len(frame) else []})
+        return named.mapInPandas(best, schema)
+    blocks, slices = -(-terms.count() // block), max(1, -(-items.count() // slice_rows))
+    one = named.withColumns({"__slice": F.pmod(F.xxhash64(key), F.lit(slices).cast("long")), "__block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))})
+    other = terms.select(F.col(term_vector).alias("t"), F.pmod(F.xxhash64(term_vector), F.lit(blocks)).cast("int").alias("__block"))
+    other = other.withColumn("__slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))))
 
-    kind = items.schema[key].dataType.simpleString()
-    return items.select(key, F.col(vector).alias("v")).mapInPandas(best, f"{key} {kind}, similarity double")
+    def best_of_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({key: left[key].iloc[:0], "similarity": np.zeros(0)})
+        found = np.stack(left["v"].to_numpy()).astype(np.float32) @ np.stack(right["t"].to_numpy()).astype(np.float32).T
+        return pd.DataFrame({key: left[key], "similarity": found.max(axis=1).astype(float)})
+
+    each = one.groupBy("__slice", "__block").cogroup(other.groupBy("__slice", "__block")).applyInPandas(best_of_block, schema)
+    return each.groupBy(key).agg(F.max("similarity").alias("similarity"))
+
+
+def seed_similarity(df: DataFrame, text: str, similarity: str, seeds: Sequence[str]) -> DataFrame:
+    """The table with ``similarity`` 1 where the text is a seed itself, 0 where it is null."""
+    return df.withColumn(similarity, F.when(F.col(text).isin(*seeds), 1.0).otherwise(F.coalesce(similarity, F.lit(0.0))))
+
+
+def judge_terms(terms: DataFrame, segments: DataFrame) -> DataFrame:
+    """Every term with evidence, provider columns, scores and verdict.
+
+    Words, parts of speech, frequencies and vectors are those of
+    :mod:`loomline.operators.tagging`, made from the tables themselves.
+    """
+    from loomline.functions.lineage import checkpointed
+    from loomline.operators import tagging
+
+    spark = terms.sparkSession
+    counts = checkpointed(corpus_counts(segments, terms))
+    evidence = evidence_score(terms, counts, acronyms_present(segments))
+    families = compound_families(terms).select(F.col("stem").alias("__stem"), F.col("n_suffixes").alias("family"))
+    rows = terms.join(evidence, "term_id").withColumn("__stem", split_compound(F.col("term_src"))["stem"]).join(families, "__stem", "left").drop("__stem")
+    chars = segments.agg(F.sum(F.length("src")).alias("s"), F.sum(F.length("tgt")).alias("t"))
+    for side in ("src", "tgt"):
+        table = tagging.frequency_table(rows, f"term_{side}", f"{side}_count", chars.select(F.col(side[0]).alias("chars")))
+        rows = tagging.zipf_of(rows, f"term_{side}", table, f"{side}_zipf")
+    src, tgt = F.col("term_src"), F.col("term_tgt")
+    # Words and vectors are used many times over: they are written once.
+    rows = checkpointed(rows.withColumns({"sw": tagging.source_words(src), "tw": tagging.target_words(tgt), "sv": tagging.hashed_vector(src), "tv": tagging.hashed_vector(tgt)}))
+    seeds = lambda words: spark.createDataFrame([(w,) for w in words], "w string").select(tagging.hashed_vector(F.col("w")).alias("v"))
+    rows = centroid_similarity(rows, "sv", seeds(L.GAME_TERM_SEEDS), "v", "game_embedding")
+    rows = centroid_similarity(rows, "sv", seeds(L.COMMON_NOUN_SEEDS), "v", "generic_embedding")
+    pos = tagging.summary(F.col("sw"))
+    meaningful = F.filter(F.transform("tw", lambda w: w["tag"]), lambda t: ~F.startswith(t, F.lit("J")))
+    rows = rows.withColumns({
+        "family": F.coalesce("family", F.lit(0)), "bilingual": F.when(tgt == "", 0.0).otherwise(dot(F.col("sv"), F.col("tv"))), "pos": pos,
+        "src_noun": source_noun_score(src, F.transform("sw", lambda w: w["flag"]), F.transform("sw", lambda w: w["upos"]), tagging.root_of(F.col("sw"))),
+        "tgt_noun": target_noun_score(tgt, meaningful, F.transform("tw", lambda w: w["upos"]), F.lit("")),
+    })
+    rows = checkpointed(rows.drop("sv", "tv"))
+    rows = rows.withColumns({"game": game_score(src, tgt, F.col("game_embedding")), "general": general_score(src, tgt, F.col("pos"))})
+    rows = rows.withColumns({
+        "domain": domain_specificity(src, F.col("pos"), F.col("src_zipf"), F.col("game")),
+        "common": common_noun_score(src, tgt, F.col("src_noun"), F.col("tgt_noun"), F.col("src_zipf"), F.col("tgt_zipf"), F.col("generic_embedding")),
+    })
+    return with_verdicts(checkpointed(rows.drop("sw", "tw")))
+
+
+REMOVED = ("AUTO_REMOVE", "AUTO_SPLIT_COMPOUND")
+
+
+def settle_terms(judged: DataFrame, languages: Sequence[str] = ()) -> DataFrame:
+    """Adds ``final_action`` and ``final_reasons``: exact pairs among the kept terms
+    merge, then whatever breaks the one-to-one constraint among those that are
+    left goes.  What the ladder removed keeps its verdict and takes no part.
+    """
+    from loomline.functions.lineage import checkpointed
+
+    judged = checkpointed(judged)
+    kept = judged.where(~F.col("action").isin(*REMOVED))
+    merged = merge_pairs(kept.select("term_id", "term_src", "term_tgt", *languages), languages=languages).select("term_id", "term_src", "term_tgt", "pair_action")
+    survivors = one_to_one(merged.where("pair_action = 'KEEP'")).select("term_id", "conflict")
+    rows = judged.join(merged.select("term_id", "pair_action"), "term_id", "left").join(survivors, "term_id", "left")
+    pair, conflict = F.col("pair_action"), F.coalesce("conflict", F.lit(False))
+    final = F.when(pair.isin("MERGED_DUPLICATE", "AUTO_REMOVE"), pair).when(conflict, "AUTO_REMOVE").otherwise(F.col("action"))
+    why = F.array_compact(F.array(
+        F.when(pair == "MERGED_DUPLICATE", F.lit("merged_into_existing_zh_ko_pair")), F.when(pair == "AUTO_REMOVE", F.lit("duplicate_zh_ko_with_target_language_conflict")),
+        F.when(conflict, F.lit("strict_zh_ko_bidirectional_conflict")),
+    ))
+    return rows.withColumns({"final_action": final, "final_reasons": F.concat("reasons", why)}).drop("pair_action", "conflict")

@@ -134,8 +134,9 @@ def preservation(per_row: DataFrame, group: list[str] | None = None) -> DataFram
     return per_row.groupBy(*group).agg(
         F.sum("n_terms").alias("total_terms"), F.sum("exact").alias("matched_exact"), F.sum("nospace").alias("matched_nospace"),
         rate("exact").alias("rate_exact"), rate("nospace").alias("rate_nospace"),
-        count("status_exact", "all_matched").alias("rows_all"), count("status_exact", "partially_matched").alias("rows_partial"),
-        count("status_exact", "not_matched").alias("rows_none"), count("status_exact", "no_terms").alias("rows_without_terms"),
+        F.count_if(F.col("n_terms") > 0).alias("rows_with_terms"),
+        *(count(c, v).alias(f"rows_{name}{end}") for c, end in (("status_exact", ""), ("status_nospace", "_nospace")) for v, name in (("all_matched", "all"), ("partially_matched", "partial"), ("not_matched", "none"))),
+        count("status_exact", "no_terms").alias("rows_without_terms"),
     )
 
 
@@ -147,6 +148,29 @@ def evaluate(rows: DataFrame, terms: DataFrame, group: list[str]) -> DataFrame:
     return joined.withColumn("composite", 0.5 * F.col("bleu") + 0.5 * F.col("rate_nospace"))
 
 
+def summary_rows(evaluated: DataFrame, keys: list[str], tokenization: str = "whitespace", order: int = 6, beta: float = 2.0) -> DataFrame:
+    """(keys, position, metric, value): the summary of ``evaluate`` in its fixed order, values as text.
+
+    Shares have six digits behind the point.  What was read (``input``) is the
+    caller's to add: a table has no path.
+    """
+    share = lambda c: F.format_string("%.6f", F.col(c).cast("double"))
+    number = lambda c: F.col(c).cast("string")
+    rows = [("all_terms_matched", "all"), ("partially_matched", "partial"), ("not_matched", "none")]
+    listed = [
+        ("rows", number("rows")), ("empty_candidate_rows", number("empty_candidates")), ("bleu", share("bleu")), ("bleu_tokenization", F.lit(tokenization)),
+        ("bleu_reference_length", number("reference_length")), ("bleu_candidate_length", number("candidate_length")), ("bleu_brevity_penalty", share("brevity_penalty")),
+        ("chrf", share("chrf")), ("chrf_max_n", F.lit(str(order))), ("chrf_beta", F.lit(f"{beta:.1f}")),
+        ("glossary_preservation_rate", share("rate_exact")), ("glossary_preservation_rate_exact", share("rate_exact")), ("glossary_preservation_rate_nospace", share("rate_nospace")),
+        ("glossary_terms", number("total_terms")), ("glossary_terms_matched", number("matched_exact")), ("glossary_terms_matched_exact", number("matched_exact")),
+        ("glossary_terms_matched_nospace", number("matched_nospace")), ("rows_with_glossary_terms", number("rows_with_terms")),
+        *((f"rows_{name}{end}", number(f"rows_{short}{'_nospace' if end == '_nospace' else ''}")) for end in ("", "_exact", "_nospace") for name, short in rows),
+        ("rows_without_glossary_terms", number("rows_without_terms")),
+    ]
+    each = F.explode(F.array(*(F.struct(F.lit(i).alias("position"), F.lit(m).alias("metric"), v.alias("value")) for i, (m, v) in enumerate(listed, 1))))
+    return evaluated.select(*keys, each.alias("x")).select(*keys, "x.position", "x.metric", "x.value")
+
+
 def long_format(df: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, metric, value) of every other column."""
     values = [c for c in df.columns if c not in keys]

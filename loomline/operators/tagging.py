@@ -69,9 +69,10 @@ def hashed_vector(text: Column, size: int = 64) -> Column:
     """Unit vector of a text's characters, hashed by code point; the empty text counts as a mark of its own."""
     filled_text = F.when(filled(text) == "", "[EMPTY]").otherwise(filled(text))
     places = F.transform(F.filter(F.split(filled_text, ""), lambda c: c != ""), lambda c: F.pmod(F.ascii(c), F.lit(size)))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.size(F.filter(places, lambda p: p == i)).cast("double"))
-    norm = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda s, x: s + x * x))
-    return F.transform(counts, lambda x: x / F.greatest(norm, F.lit(1e-9)))
+    # An array of one binds a value to a name, so that nothing is computed for each place again.
+    counts = F.transform(F.array(places), lambda ps: F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.size(F.filter(ps, lambda p: p == i)).cast("double")))
+    lengths = F.transform(counts, lambda k: F.struct(k.alias("k"), F.greatest(F.sqrt(F.aggregate(k, F.lit(0.0), lambda s, x: s + x * x)), F.lit(1e-9)).alias("n")))
+    return F.get(F.transform(lengths, lambda x: F.transform(x["k"], lambda v: v / x["n"])), F.lit(0))
 
 
 def frequency_table(counts: DataFrame, word: str, count: str, total: DataFrame) -> DataFrame:

@@ -40,6 +40,22 @@ def _translations(spark: SparkSession, folder: str) -> DataFrame:
     return scans.translation_rows(table(spark, folder, "evaluation_translation_result", ["row_number", "segment_id", "source", "references", "candidates", "system"], spread=True))
 
 
+def _scored(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows to score: translations, the rewrites of decisions (numbered below zero), and
+    the corpus as a translation of itself (numbered above a billion), whose sources
+    hold terms that targets preserve or not."""
+    rows = scans.segments(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"], spread=True), "keep")
+    decisions = table(spark, folder, "decisions", ["decision_id", "segment_id", "corrected_ko", "model"]).where(X.strip(F.col("corrected_ko")) != "")
+    rewrites = decisions.join(rows, "segment_id").select(
+        (-F.col("decision_id")).alias("row_number"), "segment_id", F.col("src").alias("source"), F.col("tgt").alias("reference"), X.strip(F.col("corrected_ko")).alias("candidate"), F.col("model").alias("system")
+    )
+    own = rows.select(
+        (F.lit(1_000_000_000) + F.expr("try_cast(segment_id as bigint)")).alias("row_number"), "segment_id", F.col("src").alias("source"), F.col("tgt").alias("reference"),
+        F.col("tgt").alias("candidate"), F.lit("corpus").alias("system"),
+    )
+    return _translations(spark, folder).unionByName(rewrites).unionByName(own)
+
+
 # ---- scans ----
 
 
@@ -67,6 +83,28 @@ def s12_translation_scan(spark, folder):
     return _translations(spark, folder)
 
 
+@query(f"""SELECT CASE WHEN CAST(term_id AS BIGINT) % 10 = 0 THEN CAST(row_number() OVER (ORDER BY term_id) AS VARCHAR) ELSE {S.strip('term_id')} END AS term_id, {S.strip('"zh-CN"')} AS "zh-CN", {S.strip('ko')} AS ko, '' AS en FROM glossary""")
+def s6_multilingual_terms(spark, folder):
+    """The glossary with a language that it lacks; every tenth term has lost its id and gets its row's number."""
+    rows = table(spark, folder, "glossary", ["term_id", "zh-CN", "ko"]).withColumn("row", F.col("term_id"))
+    lost = rows.withColumn("term_id", F.when(F.col("term_id").cast("long") % 10 != 0, F.col("term_id")))
+    return scans.multilingual_terms(lost, ["zh-CN", "ko", "en"], "row")
+
+
+@query(f"SELECT {S.strip('segment_id')} AS segment_id, {S.strip('source_text')} AS src, {S.strip('target_text')} AS tgt FROM training_examples WHERE {S.strip('source_text')} <> '' AND {S.strip('target_text')} <> ''")
+def s8_s10_training_scan(spark, folder):
+    """Training examples under the corpus's names; rows with an empty field are taken out first, as one would fail the query."""
+    rows = table(spark, folder, "training_examples", ["segment_id", "source_text", "target_text"])
+    filled = rows.where((X.strip(F.col("source_text")) != "") & (X.strip(F.col("target_text")) != ""))
+    return scans.training_pairs(scans.require_rows(filled, "training_examples"))
+
+
+@query(f"SELECT {S.strip('segment_id')} AS segment_id, {S.strip('zh')} AS source, {S.strip('ko')} AS \"references\" FROM segment_rows WHERE split = 'test'")
+def s11_split_scan(spark, folder):
+    """Records of the test split to translate."""
+    return scans.split_records(table(spark, folder, "segment_rows", ["segment_id", "zh", "ko", "split"]), "test")
+
+
 # ---- row-level predicates and normalisers ----
 
 _CJK, _HANGUL = r"[\x{4E00}-\x{9FFF}]", r"[\x{AC00}-\x{D7AF}]"
@@ -88,11 +126,14 @@ def r1_r7_script_predicates(spark, folder):
     )
 
 
-@query(f"""WITH {S.ALL_SEGMENTS} SELECT segment_id FROM seg WHERE regexp_full_match(src, '{_CJK}') AND NOT regexp_matches(src || tgt, '{S.PLACEHOLDER}')
+@query(f"""WITH {S.ALL_SEGMENTS}, {S.TERMS}, both_ AS (SELECT segment_id AS id, src, tgt FROM seg UNION ALL SELECT 'head of ' || term_id, left(term_src, 1), left(term_tgt, 1) FROM term)
+SELECT id FROM both_ WHERE regexp_full_match(src, '{_CJK}') AND NOT regexp_matches(src || tgt, '{S.PLACEHOLDER}')
   AND NOT regexp_matches(src || tgt, '[。！？!?；;]') AND NOT regexp_matches(tgt, '^\\s*[\\{{\\[].*[\\}}\\]]\\s*$')""")
 def r8_fragments(spark, folder):
-    """Single-character fragments."""
-    return _segments(spark, folder, "keep").where(X.is_fragment(F.col("src"), F.col("tgt"))).select("segment_id")
+    """Single-character fragments among the segments and the heads of all terms."""
+    heads = _terms(spark, folder).select(F.concat(F.lit("head of "), "term_id").alias("id"), F.substring("term_src", 1, 1).alias("src"), F.substring("term_tgt", 1, 1).alias("tgt"))
+    rows = _segments(spark, folder, "keep").withColumnRenamed("segment_id", "id").unionByName(heads)
+    return rows.where(X.is_fragment(F.col("src"), F.col("tgt"))).select("id")
 
 
 def _placeholder_sql(column: str) -> str:
@@ -144,12 +185,6 @@ def r14_markup_mismatches(spark, folder):
     return cleaning.markup_mismatches(cleaning.normalize_rows(_segments(spark, folder, "keep")))
 
 
-@query()
-def r16_split_tuples(spark, folder):
-    """Aligned tuples as one row for each pair of fields."""
-    return cleaning.split_tuples(cleaning.normalize_rows(_segments(spark, folder, "keep")))
-
-
 _SCORE_SQL = f"""least(1.0, CAST(CASE WHEN regexp_matches(src || chr(10) || tgt, '{S.PLACEHOLDER}') THEN 1.0 ELSE 0.0 END AS DOUBLE)
   + CASE WHEN regexp_matches(src || chr(10) || tgt, '[。！？!?；;]') THEN 0.45 ELSE 0.0 END + CASE WHEN regexp_matches(src, '{X.SOURCE_SENTENCE_END}') THEN 0.35 ELSE 0.0 END
   + CASE WHEN regexp_matches(tgt, '{X.TARGET_SENTENCE_END}') THEN 0.35 ELSE 0.0 END + CASE WHEN {S.any_in('src', L.SENTENCE_MARKERS)} THEN 0.45 ELSE 0.0 END)"""
@@ -161,18 +196,6 @@ def r17_sentence_score(spark, folder):
     return _segments(spark, folder, "keep").select("segment_id", F.round(X.sentence_score(F.col("src"), F.col("tgt"), L.SENTENCE_MARKERS), 6).alias("score"))
 
 
-@query()
-def r19_clean_segments(spark, folder):
-    """The whole cleaning stage: every row or tuple field with its verdict."""
-    return cleaning.clean_segments(_segments(spark, folder, "keep"), _terms(spark, folder))
-
-
-@query()
-def a17_cleaning_summary(spark, folder):
-    """Rows by verdict and reason."""
-    return r19_clean_segments(spark, folder).groupBy("action", "reason", "semantic_action").agg(F.count("*").alias("rows"))
-
-
 @query(f"WITH {S.TRANSLATIONS} SELECT row_number, {S.strip_markers('candidate')} AS visible, {S.no_space('candidate')} AS bare FROM tr")
 def r23_r24_visible_text(spark, folder):
     """Candidates without term markers, and without blanks."""
@@ -189,7 +212,33 @@ def m1_term_matches(spark, folder):
     return found.select("segment_id", F.explode_outer("matches").alias("m")).where("m is not null").select("segment_id", "m.*")
 
 
-@query()
+_SPAN = "STRUCT(p BIGINT, n BIGINT)[]"
+_SPLICE = """list_reduce(list_transform({0}, lambda x: {{'p': x.p, 'n': x.n, 'out': ''}}), lambda acc, x: {{'p': x.p + x.n, 'n': CAST(0 AS BIGINT),
+  'out': acc.out || substr({1}, acc.p, x.p - acc.p) || '<start>' || substr({1}, x.p, x.n) || '<end>'}}, {{'p': CAST(1 AS BIGINT), 'n': CAST(0 AS BIGINT), 'out': ''}})"""
+
+
+def _thin_sql(places: str, size: str) -> str:
+    whole = f"list_transform({places}, lambda q: CAST(q AS BIGINT))"
+    return f"list_reduce({whole}, lambda acc, q: CASE WHEN len(acc) = 0 OR q >= acc[len(acc)] + {size} THEN list_append(acc, q) ELSE acc END, CAST([] AS BIGINT[]))"
+
+
+def _free_sql(places: str, taken: str, size: str) -> str:
+    return f"list_filter({places}, lambda q: len(list_filter({taken}, lambda o: q < o.p + o.n AND o.p < q + {size})) = 0)"
+
+
+_BOTH = f"""cand6 AS (SELECT s.segment_id, t.rk, t.n, length(t.term_tgt) AS m, {S.places('s.src', 't.term_src', 't.n')} AS aps, {S.places('s.tgt', 't.term_tgt', 'length(t.term_tgt)')} AS aqs
+  FROM seg s JOIN term t ON contains(s.src, t.term_src) AND contains(s.tgt, t.term_tgt)),
+thin6 AS (SELECT segment_id, rk, n, m, {_thin_sql('aps', 'n')} AS ps, {_thin_sql('aqs', 'm')} AS qs FROM cand6),
+g6 AS (SELECT segment_id, list({{'n': CAST(n AS BIGINT), 'm': CAST(m AS BIGINT), 'ps': ps, 'qs': qs, 'a': CAST([] AS {_SPAN}), 'b': CAST([] AS {_SPAN}), 'k': 0}} ORDER BY rk) AS es FROM thin6 GROUP BY segment_id),
+f6 AS (SELECT segment_id, list_reduce(es, lambda acc, x: CASE WHEN len({_free_sql('x.ps', 'acc.a', 'x.n')}) > 0 AND len({_free_sql('x.qs', 'acc.b', 'x.m')}) > 0 THEN
+  {{'n': x.n, 'm': x.m, 'ps': x.ps, 'qs': x.qs, 'a': list_concat(acc.a, list_transform({_free_sql('x.ps', 'acc.a', 'x.n')}, lambda q: {{'p': q, 'n': x.n}})),
+    'b': list_concat(acc.b, list_transform({_free_sql('x.qs', 'acc.b', 'x.m')}, lambda q: {{'p': q, 'n': x.m}})), 'k': acc.k + 1}} ELSE acc END,
+  {{'n': CAST(0 AS BIGINT), 'm': CAST(0 AS BIGINT), 'ps': CAST([] AS BIGINT[]), 'qs': CAST([] AS BIGINT[]), 'a': CAST([] AS {_SPAN}), 'b': CAST([] AS {_SPAN}), 'k': 0}}) AS r FROM g6),
+m6 AS (SELECT s.segment_id, s.src, s.tgt, {_SPLICE.format('list_sort(r.a)', 's.src')} AS l, {_SPLICE.format('list_sort(r.b)', 's.tgt')} AS q, r.k AS k FROM seg s JOIN f6 USING (segment_id))"""
+
+
+@query(f"""WITH {S.SEGMENTS}, {S.TERMS}, {_BOTH} SELECT s.segment_id, s.src, s.tgt, coalesce(l.out || substr(s.src, l.p), s.src) AS marked_src,
+  coalesce(q.out || substr(s.tgt, q.p), s.tgt) AS marked_tgt, CAST(coalesce(k, 0) AS INTEGER) AS n_terms FROM seg s LEFT JOIN m6 USING (segment_id)""")
 def m2_marked_pairs(spark, folder):
     """Training pairs with terms marked on both sides."""
     return matching.mark_pairs(_segments(spark, folder), _terms(spark, folder))
@@ -235,10 +284,10 @@ g5 AS (SELECT row_number, list({{'rk': rk, 'p': p, 'n': n, 'term_id': term_id, '
 f5 AS (SELECT row_number, {S.greedy('cs')} AS ts FROM g5)"""
 
 
-@query(f"WITH {S.TRANSLATIONS}, {S.TERMS}, {_FIRST} SELECT row_number, array_to_string(list_transform(ts, lambda x: x.term_id), '|') AS terms FROM f5")
+@query(f"WITH {S.SCORED}, {S.TERMS}, {_FIRST} SELECT row_number, array_to_string(list_transform(ts, lambda x: x.term_id), '|') AS terms FROM f5")
 def m5_evaluation_terms(spark, folder):
     """Terms of every evaluated source at their first place."""
-    found = matching.first_place_terms(_translations(spark, folder), _terms(spark, folder), "row_number", "source")
+    found = matching.first_place_terms(_scored(spark, folder), _terms(spark, folder), "row_number", "source")
     return found.select("row_number", F.array_join(F.transform("terms", lambda t: t["term_id"]), "|").alias("terms"))
 
 
@@ -314,6 +363,64 @@ def x9_corpus_after_strict_check(spark, folder):
     return with_ordinal(kept, "segment_id").select(F.col("segment_id").alias("original_id"), (F.col("ord") + 1).alias("new_id"), "src", "tgt")
 
 
+_CROSS = f"{S.SEGMENTS}, {S.TERMS}, {S.MATCHES}, {_VERDICTS}, {_ROWS}"
+
+
+@query(f"WITH {_CROSS}, n AS (SELECT (SELECT count(*) FROM term) AS t, (SELECT count(*) FROM seg) AS s, (SELECT count(*) FROM verdicts WHERE term_action = 'AUTO_REMOVE_GLOSSARY_NOISE') AS t1, "
+       "(SELECT count(*) FROM verdicts WHERE strict_action = 'AUTO_REMOVE_GLOSSARY_UNENFORCEABLE') AS t2, (SELECT count(*) FROM rows7 WHERE row_action = 'AUTO_REMOVE_SEGMENT_CONFLICT') AS s1, "
+       "(SELECT count(*) FROM rows7 WHERE strict_row_action = 'STRICT_REMOVE_SEGMENT_MISMATCH') AS s2, (SELECT count(*) FROM rows7 WHERE missing_terms <> '') AS m), "
+       "k9 AS (SELECT unnest([{'mode': 'dry-run', 'a': t1, 'b': s1}, {'mode': 'apply', 'a': t1, 'b': s1}, {'mode': 'strict-dry-run', 'a': t2, 'b': s2}, {'mode': 'strict-apply', 'a': t2, 'b': s2}, {'mode': 'strict-check', 'a': 0, 'b': 0}]) AS x, * FROM n) "
+       "SELECT x.mode AS mode, t AS input_terms, t - x.a AS output_terms, x.a AS removed_terms, s AS input_segments, s - x.b AS output_segments, x.b AS removed_segments, m AS mismatch_rows, t2 AS unenforceable_terms, s2 AS strict_mismatch_rows FROM k9")
+def x9_mode_counts(spark, folder):
+    """What each of the five modes of the cross-check removes and leaves."""
+    from loomline.functions.lineage import checkpointed
+
+    rows, terms = _segments(spark, folder), _terms(spark, folder)
+    verdicts, audit = (checkpointed(d) for d in crossclean.cross_check(rows, terms))
+    counts = None
+    for mode in crossclean.MODES:
+        part = crossclean.run_mode(rows, terms, verdicts, audit, mode).counts
+        counts = part if counts is None else counts.unionByName(part)
+    return counts
+
+
+@query(f"WITH {_CROSS} SELECT count(*) FILTER (WHERE missing_terms <> '') AS mismatch_rows, count(*) FILTER (WHERE missing_terms <> '') = 0 AS passed FROM rows7")
+def x10_strict_gate(spark, folder):
+    """Whether any segment misses a term of the glossary."""
+    return crossclean.strict_gate(crossclean.cross_check(_segments(spark, folder), _terms(spark, folder))[1])
+
+
+@query(f"""WITH {_CROSS} SELECT term_id AS original_term_id, term_src AS "term_zh-CN", term_tgt AS expected_ko, CAST(occurrences AS VARCHAR) AS occurrence_count, CAST(preserved AS VARCHAR) AS preserved_count, CAST(missing AS VARCHAR) AS missing_count,
+  printf('%.6f', missing_rate) AS missing_rate, printf('%.6f', preserved_rate) AS preserved_rate, printf('%.6f', domain_score) AS domain_score, printf('%.6f', weak_score) AS weak_score, strict_action AS remove_reason
+  FROM verdicts WHERE strict_action = 'AUTO_REMOVE_GLOSSARY_UNENFORCEABLE'""")
+def x11_removed_terms(spark, folder):
+    """Terms that the strict check removes, with their statistics as text."""
+    verdicts, _ = crossclean.cross_check(_segments(spark, folder), _terms(spark, folder))
+    return crossclean.removed_terms(verdicts, strict=True)
+
+
+def _removed_sql(test: str, terms: str, columns: str) -> str:
+    return f"""WITH {_CROSS}, gone AS (SELECT s.*, row_number() OVER (ORDER BY s.segment_id) AS k FROM seg s JOIN rows7 r USING (segment_id) WHERE {test}),
+lost AS (SELECT m.segment_id, string_agg(v.term_id || ':' || v.term_src || '=>' || v.term_tgt, '|' ORDER BY m.start) AS terms,
+  string_agg('term_id=' || v.term_id || ';occ=' || v.occurrences || ';preserved=' || v.preserved || ';missing=' || v.missing || ';missing_rate=' || printf('%.6f', v.missing_rate) || ';domain_score=' || printf('%.6f', v.domain_score), '|' ORDER BY m.start) AS stats
+  FROM each_match m JOIN verdicts v USING (term_id) WHERE NOT m.preserved AND {terms} GROUP BY m.segment_id)
+SELECT CAST(k AS VARCHAR) AS removed_id, segment_id AS original_segment_id, src AS "zh-CN", tgt AS ko, {columns} FROM gone LEFT JOIN lost USING (segment_id)"""
+
+
+@query(_removed_sql("strict_row_action = 'STRICT_REMOVE_SEGMENT_MISMATCH'", "v.strict_action <> 'AUTO_REMOVE_GLOSSARY_UNENFORCEABLE'", "terms AS strict_missing_terms, 'STRICT_REMOVE_SEGMENT_MISMATCH' AS remove_reason"))
+def x11_strict_removed_rows(spark, folder):
+    """Segments that the strict check removes, with the terms that they miss."""
+    rows, terms = _segments(spark, folder), _terms(spark, folder)
+    return crossclean.removed_rows(rows, *crossclean.cross_check_all(rows, terms), strict=True)
+
+
+@query(_removed_sql("row_action = 'AUTO_REMOVE_SEGMENT_CONFLICT'", "v.term_action = 'STRONG_GLOSSARY_TERM'", "terms AS missing_strong_terms, stats AS term_level_stats, 'AUTO_REMOVE_SEGMENT_CONFLICT' AS remove_reason"))
+def x8_x11_removed_rows(spark, folder):
+    """Segments that the normal check removes, with strong terms that they miss and those terms' statistics."""
+    rows, terms = _segments(spark, folder), _terms(spark, folder)
+    return crossclean.removed_rows(rows, *crossclean.cross_check_all(rows, terms))
+
+
 @query(f"WITH {S.SEGMENTS}, {S.TERMS}, {S.MATCHES}, {_VERDICTS} SELECT term_action AS action, count(*) AS terms FROM verdicts GROUP BY 1")
 def x12_action_histogram(spark, folder):
     """Terms by verdict."""
@@ -327,13 +434,13 @@ def _gram_sql(tokens: str, n: int) -> str:
     return f"list_transform(range(1, len({tokens}) - {n} + 2), lambda i: array_to_string({tokens}[i:i + {n - 1}], chr(31)))"
 
 
-def _counts_sql(orders: int, tokens_of: str) -> str:
-    parts = [f"toks AS (SELECT row_number, system, {tokens_of.replace('@', 'reference')} AS r, {tokens_of.replace('@', 'candidate')} AS c FROM tr)"]
+def _counts_sql(orders: int, tokens_of: str, end: str = "") -> str:
+    parts = [f"toks{end} AS (SELECT row_number, system, {tokens_of.replace('@', 'reference')} AS r, {tokens_of.replace('@', 'candidate')} AS c FROM tr)"]
     unions = " UNION ALL ".join(
-        f"SELECT row_number, system, {n} AS o, '{s}' AS side, unnest({_gram_sql(s, n)}) AS gram FROM toks" for n in range(1, orders + 1) for s in "rc"
+        f"SELECT row_number, system, {n} AS o, '{s}' AS side, unnest({_gram_sql(s, n)}) AS gram FROM toks{end}" for n in range(1, orders + 1) for s in "rc"
     )
-    parts.append(f"gr AS ({unions}), gc AS (SELECT row_number, system, o, gram, count(*) FILTER (WHERE side = 'r') AS rn, count(*) FILTER (WHERE side = 'c') AS cn FROM gr GROUP BY ALL)")
-    parts.append("sums AS (SELECT system, o, sum(least(rn, cn)) AS m, sum(cn) AS c, sum(rn) AS r FROM gc GROUP BY ALL)")
+    parts.append(f"gr{end} AS ({unions}), gc{end} AS (SELECT row_number, system, o, gram, count(*) FILTER (WHERE side = 'r') AS rn, count(*) FILTER (WHERE side = 'c') AS cn FROM gr{end} GROUP BY ALL)")
+    parts.append(f"sums{end} AS (SELECT system, o, sum(least(rn, cn)) AS m, sum(cn) AS c, sum(rn) AS r FROM gc{end} GROUP BY ALL)")
     return ", ".join(parts)
 
 
@@ -374,48 +481,69 @@ def a5_chrf_by_system(spark, folder):
 _STATUS = "CASE WHEN n_terms = 0 THEN 'no_terms' WHEN n_terms = {0} THEN 'all_matched' WHEN {0} = 0 THEN 'not_matched' ELSE 'partially_matched' END"
 _PRESERVED = f"""{_FIRST}, vis AS (SELECT r.*, {S.strip_markers('r.candidate')} AS v, {S.no_space(S.strip_markers('r.candidate'))} AS bare, f5.ts FROM tr r LEFT JOIN f5 USING (row_number)),
 pre AS (SELECT row_number, system, candidate, coalesce(len(ts), 0) AS n_terms, coalesce(len(list_filter(ts, lambda t: contains(v, t.term_tgt))), 0) AS exact,
-  coalesce(len(list_filter(ts, lambda t: contains(bare, {S.no_space('t.term_tgt')}))), 0) AS nospace FROM vis)"""
+  coalesce(len(list_filter(ts, lambda t: contains(bare, {S.no_space('t.term_tgt')}))), 0) AS nospace FROM vis),
+st AS (SELECT *, {_STATUS.format('exact')} AS se, {_STATUS.format('nospace')} AS sn FROM pre),
+kept AS (SELECT system, CAST(sum(n_terms) AS BIGINT) AS total_terms, CAST(sum(exact) AS BIGINT) AS matched_exact, CAST(sum(nospace) AS BIGINT) AS matched_nospace,
+  coalesce(sum(exact) / nullif(sum(n_terms), 0), 1) AS rate_exact, coalesce(sum(nospace) / nullif(sum(n_terms), 0), 1) AS rate_nospace, count(*) FILTER (WHERE n_terms > 0) AS rows_with_terms,
+  {', '.join(f"count(*) FILTER (WHERE {c} = '{v}') AS rows_{name}{end}" for c, end in (('se', ''), ('sn', '_nospace')) for v, name in (('all_matched', 'all'), ('partially_matched', 'partial'), ('not_matched', 'none')))},
+  count(*) FILTER (WHERE se = 'no_terms') AS rows_without_terms FROM st GROUP BY system)"""
 
 
-@query(f"""WITH {S.TRANSLATIONS}, {S.TERMS}, {_PRESERVED} SELECT row_number, CAST(n_terms AS INTEGER) AS n_terms, CAST(exact AS INTEGER) AS exact, CAST(nospace AS INTEGER) AS nospace,
-  {_STATUS.format('exact')} AS status_exact, {_STATUS.format('nospace')} AS status_nospace FROM pre""")
+@query(f"""WITH {S.SCORED}, {S.TERMS}, {_PRESERVED} SELECT row_number, CAST(n_terms AS INTEGER) AS n_terms, CAST(exact AS INTEGER) AS exact, CAST(nospace AS INTEGER) AS nospace,
+  se AS status_exact, sn AS status_nospace FROM st""")
 def a6_preservation_rows(spark, folder):
     """Terms that each candidate preserves."""
-    rows = metrics.preservation_rows(_translations(spark, folder), _terms(spark, folder))
+    rows = metrics.preservation_rows(_scored(spark, folder), _terms(spark, folder))
     return rows.select("row_number", "n_terms", "exact", "nospace", "status_exact", "status_nospace")
 
 
-@query(f"""WITH {S.TRANSLATIONS}, {S.TERMS}, {_PRESERVED}, st AS (SELECT *, {_STATUS.format('exact')} AS st FROM pre)
-SELECT system, CAST(sum(n_terms) AS BIGINT) AS total_terms, CAST(sum(exact) AS BIGINT) AS matched_exact, CAST(sum(nospace) AS BIGINT) AS matched_nospace,
-  round(coalesce(sum(exact) / nullif(sum(n_terms), 0), 1), 6) AS rate_exact, round(coalesce(sum(nospace) / nullif(sum(n_terms), 0), 1), 6) AS rate_nospace,
-  count(*) FILTER (WHERE st = 'all_matched') AS rows_all, count(*) FILTER (WHERE st = 'partially_matched') AS rows_partial,
-  count(*) FILTER (WHERE st = 'not_matched') AS rows_none, count(*) FILTER (WHERE st = 'no_terms') AS rows_without_terms FROM st GROUP BY system""")
+@query(f"WITH {S.SCORED}, {S.TERMS}, {_PRESERVED} SELECT * REPLACE (round(rate_exact, 6) AS rate_exact, round(rate_nospace, 6) AS rate_nospace) FROM kept")
 def a6_preservation_by_system(spark, folder):
     """Terminology preservation of every system."""
-    kept = metrics.preservation(metrics.preservation_rows(_translations(spark, folder), _terms(spark, folder)), ["system"])
+    kept = metrics.preservation(metrics.preservation_rows(_scored(spark, folder), _terms(spark, folder)), ["system"])
     return kept.withColumns({"rate_exact": F.round("rate_exact", 6), "rate_nospace": F.round("rate_nospace", 6)})
 
 
-@query()
+_BLEU = f"""lens_w AS (SELECT system, sum(len(r)) AS rl, sum(len(c)) AS cl FROM toks_w GROUP BY system),
+logs_w AS (SELECT system, avg(ln(CASE WHEN m = 0 THEN 0.1 / (c + 0.1) ELSE m / c END)) AS a FROM sums_w WHERE c > 0 GROUP BY system),
+bleus AS (SELECT system, CAST(rl AS BIGINT) AS rl, CAST(cl AS BIGINT) AS cl, CASE WHEN cl = 0 THEN 0 WHEN cl > rl THEN 1 ELSE exp(1 - rl / cl) END AS bp, CASE WHEN a IS NULL THEN 0 ELSE exp(a) END * bp AS bleu
+  FROM lens_w LEFT JOIN logs_w USING (system)),
+chars AS (SELECT system, avg(CASE WHEN c > 0 THEN m / c ELSE 0 END) AS p, avg(CASE WHEN r > 0 THEN m / r ELSE 0 END) AS q FROM sums_c WHERE c > 0 OR r > 0 GROUP BY system),
+chrfs AS (SELECT system, CASE WHEN 4 * p + q > 0 THEN 5 * p * q / (4 * p + q) ELSE 0 END AS chrf FROM chars),
+sizes AS (SELECT system, count(*) AS n, count(*) FILTER (WHERE candidate = '') AS e FROM tr GROUP BY system),
+ev AS (SELECT s.*, b.rl, b.cl, b.bp, b.bleu, coalesce(c.chrf, 0) AS chrf, k.*, 0.5 * b.bleu + 0.5 * k.rate_nospace AS composite FROM sizes s JOIN bleus b USING (system) LEFT JOIN chrfs c USING (system) JOIN kept k USING (system))"""
+_EVALUATED = f"{S.SCORED}, {S.TERMS}, {_PRESERVED}, {_counts_sql(4, _WORDS, '_w')}, {_counts_sql(6, _CHARS, '_c')}, {_BLEU}"
+_SUMMARY = [
+    ("rows", "n"), ("empty_candidate_rows", "e"), ("bleu", "bleu"), ("bleu_tokenization", "'whitespace'"), ("bleu_reference_length", "rl"), ("bleu_candidate_length", "cl"), ("bleu_brevity_penalty", "bp"),
+    ("chrf", "chrf"), ("chrf_max_n", "6"), ("chrf_beta", "'2.0'"), ("glossary_preservation_rate", "rate_exact"), ("glossary_preservation_rate_exact", "rate_exact"), ("glossary_preservation_rate_nospace", "rate_nospace"),
+    ("glossary_terms", "total_terms"), ("glossary_terms_matched", "matched_exact"), ("glossary_terms_matched_exact", "matched_exact"), ("glossary_terms_matched_nospace", "matched_nospace"),
+    ("rows_with_glossary_terms", "rows_with_terms"), *((f"{name}{end}", f"rows_{short}{'_nospace' if end == '_nospace' else ''}") for end in ("", "_exact", "_nospace")
+      for name, short in (("rows_all_terms_matched", "all"), ("rows_partially_matched", "partial"), ("rows_not_matched", "none"))), ("rows_without_glossary_terms", "rows_without_terms"),
+]
+_SHARES = ("bleu", "bp", "chrf", "rate_exact", "rate_nospace")
+_SUMMARY_SQL = ", ".join(f"{{'at': {i}, 'metric': '{m}', 'value': {f'printf(chr(37) || {chr(39)}.6f{chr(39)}, CAST({c} AS DOUBLE))' if c in _SHARES else f'CAST({c} AS VARCHAR)'}}}" for i, (m, c) in enumerate(_SUMMARY, 1))
+
+
+@query(f"WITH {_EVALUATED}, long AS (SELECT system, unnest([{_SUMMARY_SQL}]) AS x FROM ev) SELECT system, x.at AS position, x.metric AS metric, x.value AS value FROM long")
 def a8_a9_evaluation_summary(spark, folder):
-    """All metrics of every system in long format, composite included."""
-    return metrics.long_format(metrics.evaluate(_translations(spark, folder), _terms(spark, folder), ["system"]), ["system"])
+    """The ordered metric summary of every system, as text."""
+    return metrics.summary_rows(metrics.evaluate(_scored(spark, folder), _terms(spark, folder), ["system"]), ["system"])
 
 
-@query()
-def a21_system_ranking(spark, folder):
+@query(f"WITH {_EVALUATED}, r AS (SELECT system, round(composite, 6) AS composite FROM ev) SELECT system, composite, CAST(row_number() OVER (ORDER BY composite DESC, system) AS INTEGER) AS rank FROM r")
+def a10_a21_system_ranking(spark, folder):
     """Systems ranked by the composite metric."""
     from loomline.operators.training import rank_by
 
-    scored = metrics.evaluate(_translations(spark, folder), _terms(spark, folder), ["system"])
+    scored = metrics.evaluate(_scored(spark, folder), _terms(spark, folder), ["system"])
     return rank_by(scored.select("system", F.round("composite", 6).alias("composite")), "composite", "system")
 
 
-@query(f"""WITH {S.TRANSLATIONS}, {S.TERMS}, {_PRESERVED}, pr AS (SELECT row_number, CASE WHEN candidate = '' THEN 0 WHEN {_STATUS.format('exact')} IN ('not_matched', 'partially_matched') THEN 1 ELSE 2 END AS priority FROM pre)
+@query(f"""WITH {S.SCORED}, {S.TERMS}, {_PRESERVED}, pr AS (SELECT row_number, CASE WHEN candidate = '' THEN 0 WHEN se IN ('not_matched', 'partially_matched') THEN 1 ELSE 2 END AS priority FROM st)
 SELECT row_number, CAST(priority AS INTEGER) AS priority FROM pr ORDER BY priority, row_number LIMIT 200""")
 def o1_review_sample(spark, folder):
-    """The 200 rows to look at first."""
-    rows = metrics.preservation_rows(_translations(spark, folder), _terms(spark, folder))
+    """The 200 rows to look at first: empty candidates, then rows that miss terms, then the rest."""
+    rows = metrics.preservation_rows(_scored(spark, folder), _terms(spark, folder))
     return metrics.review_sample(rows, 200).select("row_number", "priority")
 
 
@@ -448,37 +576,6 @@ def g3_g4_corpus_evidence(spark, folder):
     return glossary.evidence_score(terms, glossary.corpus_counts(rows, terms), glossary.acronyms_present(rows))
 
 
-def _judged_terms(spark: SparkSession, folder: str) -> DataFrame:
-    """The verdict ladder; without taggers and encoders their columns are neutral."""
-    rows, terms = _segments(spark, folder, "keep"), _terms(spark, folder)
-    evidence = glossary.evidence_score(terms, glossary.corpus_counts(rows, terms), glossary.acronyms_present(rows))
-    families = glossary.compound_families(terms).select(F.col("stem").alias("__stem"), F.col("n_suffixes").alias("family"))
-    joined = terms.join(evidence, "term_id").withColumn("__stem", glossary.split_compound(F.col("term_src"))["stem"]).join(families, "__stem", "left").drop("__stem")
-    src, tgt = F.col("term_src"), F.col("term_tgt")
-    none, no_tags = F.lit(-1.0), F.array().cast("array<string>")
-    game = glossary.game_score(src, tgt, F.lit(0.0))
-    scored = joined.withColumns({
-        "family": F.coalesce("family", F.lit(0)), "bilingual": F.lit(0.5), "game": game, "general": glossary.general_score(src, tgt, F.lit("")),
-        "src_noun": glossary.source_noun_score(src, no_tags, no_tags, F.lit("")), "tgt_noun": glossary.target_noun_score(tgt, no_tags, no_tags, F.lit("")),
-        "domain": glossary.domain_specificity(src, F.lit(""), none, game),
-    })
-    scored = scored.withColumn("common", glossary.common_noun_score(src, tgt, F.col("src_noun"), F.col("tgt_noun"), none, none, F.lit(0.0)))
-    return glossary.with_verdicts(scored)
-
-
-@query()
-def g10_g19_term_verdicts(spark, folder):
-    """Verdict and reasons of every glossary term."""
-    judged = _judged_terms(spark, folder)
-    return judged.select("term_id", "action", F.array_join("reasons", ";").alias("reasons"), F.round("term_score", 6).alias("term_score"))
-
-
-@query()
-def g22_review_terms(spark, folder):
-    """Kept terms that look general or ordinary."""
-    return glossary.review_terms(_judged_terms(spark, folder))
-
-
 @query(f"""WITH {S.TERMS} SELECT term_id, CASE WHEN row_number() OVER (PARTITION BY term_src, term_tgt ORDER BY term_id) = 1 THEN 'KEEP' ELSE 'MERGED_DUPLICATE' END AS pair_action FROM term""")
 def g20_merged_pairs(spark, folder):
     """Exact glossary pairs: the first stays, later ones merge."""

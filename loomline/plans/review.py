@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,13 +38,11 @@ def _terms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _verdicts(spark: SparkSession, folder: str) -> DataFrame:
-    """Decisions with their segment's texts and features, and the errors of rewrites."""
+    """Decisions with their segment's texts, features and terms, and the errors of rewrites."""
     decisions = table(spark, folder, "decisions", ["decision_id", "segment_id", "action", "reason", "corrected_ko", "batch_no"])
     decisions = decisions.withColumn("corrected", F.coalesce("corrected_ko", F.lit(""))).drop("corrected_ko")
-    joined = decisions.join(review.with_features(_segments(spark, folder)), "segment_id")
-    targets = matching.first_free_terms(_segments(spark, folder), _terms(spark, folder)).select("segment_id", F.explode("terms").alias("term_id"))
-    named = targets.join(_terms(spark, folder).select("term_id", "term_tgt"), "term_id").groupBy("segment_id").agg(F.collect_list("term_tgt").alias("term_targets"))
-    full = joined.join(named, "segment_id", "left").withColumn("term_targets", F.coalesce("term_targets", F.array().cast("array<string>")))
+    rows = review.with_matched_terms(review.with_features(_segments(spark, folder)), _terms(spark, folder))
+    full = decisions.join(rows, "segment_id").withColumn("term_targets", F.transform("matched_terms", lambda t: t["tgt"]))
     errors = review.rewrite_errors(F.col("src"), F.col("tgt"), F.col("corrected"), F.col("placeholders"), F.col("term_targets"))
     return full.withColumn("errors", F.when(F.upper("action").startswith("REWRITE"), errors).otherwise(F.array().cast("array<string>")))
 
@@ -93,15 +93,16 @@ def v1_v6_outcomes(spark, folder):
 
 
 @query(f"""WITH {_FEATURES} SELECT d.decision_id, CASE WHEN length(trim(f.tgt)) = 0 THEN 1 ELSE length(f.tgt) END AS before, length({S.strip('d.corrected_ko')}) AS after
-FROM decisions d JOIN feat f USING (segment_id) WHERE upper(d.action) LIKE 'REWRITE%' AND (length({S.strip('d.corrected_ko')}) > greatest(240, 4 * greatest(length(f.tgt), 1))
-  OR length({S.strip('d.corrected_ko')}) < greatest(1, floor(greatest(length(f.tgt), 1) / 8)))""")
+FROM decisions d JOIN feat f USING (segment_id) WHERE upper(d.action) LIKE 'REWRITE%' AND (length({S.strip('d.corrected_ko')}) > greatest(20, 1.05 * greatest(length(f.tgt), 1))
+  OR length({S.strip('d.corrected_ko')}) < greatest(1, floor(greatest(length(f.tgt), 1) / 1.05)))""")
 def v4_length_outliers(spark, folder):
-    """Rewrites far longer or shorter than what they replace."""
+    """Rewrites more than a twentieth longer or shorter than what they replace (the stage's own bounds are far wider)."""
     rows = _verdicts_plain(spark, folder).where(F.upper("action").startswith("REWRITE"))
     from loomline.functions.text import strip
 
     before = F.greatest(F.length("tgt"), F.lit(1))
-    return rows.where(review.bad_length(F.col("tgt"), F.col("corrected"))).select("decision_id", before.alias("before"), F.length(strip(F.col("corrected"))).alias("after"))
+    found = rows.where(review.bad_length(F.col("tgt"), F.col("corrected"), 20, 1.05, 1.05))
+    return found.select("decision_id", before.alias("before"), F.length(strip(F.col("corrected"))).alias("after"))
 
 
 def _verdicts_plain(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,11 +121,11 @@ _NORMAL = f"regexp_replace(lower({S.strip('reason')}), '{BLANK}+', ' ', 'g')"
 
 @query(f"""WITH n AS (SELECT batch_no, {_NORMAL} AS normal, reason, decision_id FROM decisions), c AS (SELECT batch_no, normal, count(*) AS k, min(decision_id) AS first, arg_min(reason, decision_id) AS reason FROM n GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY batch_no ORDER BY k DESC, first) AS rn, sum(k) OVER (PARTITION BY batch_no) AS total FROM c)
-SELECT batch_no, reason, k AS count, round(k / total, 6) AS rate FROM r WHERE rn = 1 AND total >= 5 AND k / total >= 0.6""")
+SELECT batch_no, reason, k AS count, round(k / total, 6) AS rate FROM r WHERE rn = 1 AND total >= 5 AND k / total >= 0.25""")
 def a12_reason_warnings(spark, folder):
-    """Batches in which one reason makes up most rows."""
+    """Batches in which one reason makes up a quarter of the rows or more (the stage itself warns from 0.6 on)."""
     rows = table(spark, folder, "decisions", ["decision_id", "batch_no", "reason"])
-    return review.reason_warnings(rows).withColumn("rate", F.round("rate", 6))
+    return review.reason_warnings(rows, least_rate=0.25).withColumn("rate", F.round("rate", 6))
 
 
 @query(f"WITH c AS (SELECT {_NORMAL} AS normal, count(*) AS k FROM decisions GROUP BY 1) SELECT max(k) AS count, round(max(k) / sum(k), 6) AS rate FROM c")
@@ -140,12 +141,12 @@ def a13_reasons(spark, folder):
 
 
 @query(f"""WITH {_OUTCOMES}, fx AS (SELECT final_action, action, unnest([{{'f': 'contaminated', 'v': contaminated}}, {{'f': 'structured', 'v': structured}}, {{'f': 'has_placeholders', 'v': len(ph) > 0}}, {{'f': 'has_terms', 'v': len(wanted) > 0}}]) AS x FROM outcome),
-fg AS (SELECT x.f AS feature, count(*) AS count, min(final_action) AS f1, max(final_action) AS f2, min(action) AS a1, max(action) AS a2 FROM fx WHERE x.v GROUP BY 1 HAVING count(*) >= 5)
+fg AS (SELECT x.f AS feature, count(*) AS count, min(final_action) AS f1, max(final_action) AS f2, min(action) AS a1, max(action) AS a2 FROM fx WHERE x.v GROUP BY 1 HAVING count(*) >= 2)
 SELECT feature, 'surface_feature_single_final_action_warning' AS warning, f1 AS value, count FROM fg WHERE f1 = f2 UNION ALL SELECT feature, 'surface_feature_single_llm_action_warning', a1, count FROM fg WHERE a1 = a2""")
 def a15_feature_warnings(spark, folder):
     """Features all of whose rows share one action."""
     rows = review.outcomes(_verdicts(spark, folder)).withColumn("has_placeholders", F.size("placeholders") > 0).withColumn("has_terms", F.size("term_targets") > 0)
-    return review.feature_warnings(rows, ["contaminated", "structured", "has_placeholders", "has_terms"])
+    return review.feature_warnings(rows, ["contaminated", "structured", "has_placeholders", "has_terms"], least=2)
 
 
 @query(f"WITH {_OUTCOMES} SELECT final_action, validation_status, count(*) AS rows, round(count(*) / (SELECT count(*) FROM outcome), 6) AS share FROM outcome GROUP BY ALL")
@@ -171,22 +172,122 @@ def l1_w1_batches(spark, folder):
     return review.with_batches(_segments(spark, folder), "segment_id", 25).select("segment_id", "ord", "batch_no")
 
 
-@query()
+_TERMS_OF = f"""c8 AS (SELECT s.segment_id, t.rk, t.n, t.term_id, t.term_src, t.term_tgt, {S.places('s.src', 't.term_src', 't.n')} AS ps FROM seg s JOIN term t ON contains(s.src, t.term_src)),
+g8 AS (SELECT segment_id, list({{'rk': rk, 'n': n, 'ps': ps, 'term_id': term_id, 'src': term_src, 'tgt': term_tgt, 'p': CAST(0 AS BIGINT)}} ORDER BY rk) AS es FROM c8 GROUP BY segment_id),
+f8 AS (SELECT segment_id, list_reduce(es, lambda acc, x: list_concat(acc, list_transform(
+  list_filter(x.ps, lambda q: len(list_filter(acc, lambda o: q < o.p + o.n AND o.p < q + x.n)) = 0)[1:1], lambda q: {{'rk': x.rk, 'n': x.n, 'ps': x.ps, 'term_id': x.term_id, 'src': x.src, 'tgt': x.tgt, 'p': CAST(q AS BIGINT)}})), es[1:0]) AS ts FROM g8),
+held AS (SELECT segment_id, list_transform(list_sort(list_transform(ts, lambda x: {{'p': x.p, 'term_id': x.term_id, 'src': x.src, 'tgt': x.tgt}})), lambda x: {{'term_id': x.term_id, 'zh-CN': x.src, 'ko': x.tgt}}) AS ts FROM f8)"""
+_HEAD = json.dumps({"task": review.TASK, "allowed_actions": list(review.ACTIONS), "policy": list(review.POLICY), "output_schema": review.RESULT_SCHEMA}, ensure_ascii=False)[:-1].replace("'", "''") + ', "rows": '
+
+
+@query(f"""WITH {_FEATURES}, {S.TERMS}, {_TERMS_OF}, numbered AS (SELECT f.*, coalesce(h.ts, []) AS ts, CAST((row_number() OVER (ORDER BY f.segment_id) - 1) // 25 + 1 AS BIGINT) AS batch_no FROM feat f LEFT JOIN held h USING (segment_id)),
+items AS (SELECT batch_no, CAST(count(*) AS INTEGER) AS rows, to_json(list({{'segment_id': segment_id, 'zh-CN': src, 'ko': tgt, 'placeholder_tokens': ph, 'glossary_terms': ts}} ORDER BY segment_id)) AS items FROM numbered GROUP BY batch_no)
+SELECT batch_no, rows, '{{"model":"model","temperature":0.0,"messages":[{{"role":"user","content":' || to_json('{_HEAD}' || items || '}}') || '}}]}}' AS payload FROM items""")
 def l2_request_payloads(spark, folder):
-    """One JSON request for each batch of 25 segments."""
-    rows = review.with_batches(review.with_features(_segments(spark, folder)), "segment_id", 25)
-    return review.request_payload(rows)
+    """One JSON request for each batch of 25 segments, with placeholders and terms of each row."""
+    rows = review.with_matched_terms(review.with_features(_segments(spark, folder)), _terms(spark, folder))
+    return review.request_payload(review.with_batches(rows, "segment_id", 25))
 
 
-@query()
+_KIND = "CASE WHEN decision_id % 11 = 0 THEN 'MAYBE' WHEN action = 'KEEP' THEN 'KEEP_SEGMENT' WHEN action = 'REWRITE' THEN 'REWRITE_KO' WHEN action = 'REVIEW' THEN 'REVIEW_UNCERTAIN' ELSE action END"
+_CORRECTED = "CASE WHEN decision_id % 13 = 0 THEN '' ELSE corrected_ko END"
+_KNOWN_ACTION = "kind IN (" + ", ".join(f"'{a}'" for a in review.ACTIONS) + ")"
+
+
+@query(f"""WITH r AS (SELECT batch_no, segment_id, {_KIND} AS kind, coalesce(reason, '') AS reason, coalesce({_CORRECTED}, '') AS corrected, batch_no % 4 = 3 AS cut,
+  row_number() OVER (PARTITION BY batch_no ORDER BY decision_id) AS i, count(*) OVER (PARTITION BY batch_no) AS n FROM decisions),
+valid AS (SELECT * FROM r WHERE NOT cut OR (i <= n // 2 AND {_KNOWN_ACTION} AND reason <> '')), first_ AS (SELECT DISTINCT ON (batch_no, segment_id) * FROM valid ORDER BY batch_no, segment_id, i),
+asked AS (SELECT DISTINCT batch_no, segment_id FROM r), j AS (SELECT a.batch_no, a.segment_id, a.batch_no % 4 = 3 AS late, f.i, coalesce(f.kind, '') AS kind, coalesce(f.reason, '') AS reason, coalesce(f.corrected, '') AS corrected FROM asked a LEFT JOIN first_ f USING (batch_no, segment_id)),
+b AS (SELECT *, kind = 'REWRITE_KO' AND {S.strip('corrected')} = '' AS bare FROM j)
+SELECT batch_no, segment_id, CASE WHEN NOT {_KNOWN_ACTION} OR bare THEN 'REVIEW_UNCERTAIN' ELSE kind END AS action,
+  CASE WHEN i IS NULL AND late THEN 'response truncated by token limit' WHEN i IS NULL THEN 'segment omitted from LLM response' WHEN NOT {_KNOWN_ACTION} AND reason = '' THEN 'invalid action' WHEN reason = '' THEN 'no reason provided by LLM'
+    WHEN bare THEN 'REWRITE_KO missing corrected_ko (original reason: ' || reason || ')' ELSE reason END AS reason, corrected FROM b""")
 def l3_parsed_responses(spark, folder):
-    """Responses made of the stored decisions, parsed and completed for every expected row."""
+    """Responses made of the stored decisions, some cut by a limit, some with unknown actions or empty rewrites; completed for every expected row."""
     decisions = table(spark, folder, "decisions", ["decision_id", "segment_id", "action", "reason", "corrected_ko", "batch_no"])
-    kinds = F.create_map(*(F.lit(x) for p in {"KEEP": "KEEP_SEGMENT", "REWRITE": "REWRITE_KO", "REVIEW": "REVIEW_UNCERTAIN"}.items() for x in p))
-    entry = F.struct("segment_id", F.coalesce(kinds[F.col("action")], F.col("action")).alias("action"), "reason", "corrected_ko")
-    grouped = decisions.groupBy("batch_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("decision_id", entry.alias("e")))), lambda x: x["e"]).alias("results"))
-    responses = grouped.select("batch_no", F.concat(F.lit("Here: "), F.to_json(F.struct("results"))).alias("content"))
-    return review.parse_responses(responses, decisions.select("batch_no", "segment_id").distinct())
+    entry = F.to_json(F.struct("segment_id", F.expr(_KIND).alias("action"), "reason", F.expr(_CORRECTED).alias("corrected_ko")))
+    listed = decisions.groupBy("batch_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("decision_id", entry.alias("e")))), lambda x: x["e"]).alias("es"))
+    half = F.floor(F.size("es") / 2).cast("int")
+    cut = F.concat(F.array_join(F.slice("es", 1, half), ","), F.lit(","), F.substring(F.get("es", half), 1, 25))
+    late = F.col("batch_no") % 4 == 3
+    content = F.concat(F.lit('Here: {"results":['), F.when(late, cut).otherwise(F.concat(F.array_join("es", ","), F.lit("]}"))))
+    responses = listed.select("batch_no", content.alias("content"), F.when(late, "length").otherwise("stop").alias("finish_reason"))
+    return review.parse_responses(responses, decisions.select("batch_no", "segment_id").distinct(), finish="finish_reason")
+
+
+_TERM_BATCHES = f"""{S.TERMS}, nb AS (SELECT term_id, term_src, term_tgt, CAST((row_number() OVER (ORDER BY term_id) - 1) // 25 + 1 AS BIGINT) AS batch_no,
+  CASE WHEN length(term_src) >= 4 THEN 'KEEP_GAME_TERM' ELSE 'REMOVE_COMMON_WORD' END AS action, 'reason of ' || term_id AS reason FROM term)"""
+
+
+def _term_answers(spark: SparkSession, folder: str, spoiled: bool) -> tuple[DataFrame, DataFrame]:
+    """(responses, expected) of the glossary in batches of 25; with ``spoiled`` six of seven answers have a fault of their own."""
+    terms = review.with_batches(_terms(spark, folder), "term_id", 25)
+    kind = F.when(F.length("term_src") >= 4, review.KEEP_TERM).otherwise("REMOVE_COMMON_WORD")
+    fault = F.col("batch_no") % 7 if spoiled else F.lit(0)
+    entry = F.struct("term_id", kind.alias("action"), F.concat(F.lit("reason of "), "term_id").alias("reason"))
+    listed = terms.groupBy("batch_no").agg(F.array_sort(F.collect_list(entry)).alias("es"))
+    first = F.get("es", F.lit(0))
+    other = lambda term, action, reason: F.concat(F.array(F.struct(term.alias("term_id"), action.alias("action"), reason.alias("reason"))), F.slice("es", 2, F.greatest(F.size("es") - 1, F.lit(0))))
+    es = (
+        F.when(fault == 1, F.concat("es", F.slice("es", 1, 1))).when(fault == 2, F.slice("es", 1, F.size("es") - 1)).when(fault == 3, F.concat("es", F.array(F.struct(F.lit("x").alias("term_id"), first["action"].alias("action"), F.lit("x").alias("reason")))))
+        .when(fault == 4, other(first["term_id"], F.lit("MAYBE"), first["reason"])).when(fault == 5, other(first["term_id"], first["action"], F.lit(" "))).otherwise(F.col("es"))
+    )
+    content = F.when(fault == 6, "no answer").otherwise(F.to_json(F.struct(es.alias("results"))))
+    return listed.select("batch_no", content.alias("content")), terms.select("batch_no", "term_id")
+
+
+@query(f"""WITH {_TERM_BATCHES} SELECT DISTINCT batch_no, ['', 'twice', 'missing', 'unknown', 'invalid', 'without_reason', 'no_results'][batch_no % 7 + 1] AS errors FROM nb""")
+def l5_strict_errors(spark, folder):
+    """What makes answers of the glossary stage void, batch by batch."""
+    return review.strict_errors(*_term_answers(spark, folder, True)).select("batch_no", F.array_join("errors", ";").alias("errors"))
+
+
+@query(f"""WITH {_TERM_BATCHES} SELECT term_id AS original_term_id, action, CASE WHEN action = 'KEEP_GAME_TERM' THEN 'YES' ELSE 'NO' END AS keep, reason, term_src AS "zh-CN", term_tgt AS ko FROM nb""")
+def v7_term_audit(spark, folder):
+    """The glossary's audit from strictly parsed answers: which terms are kept."""
+    return review.term_audit(review.parse_strict(*_term_answers(spark, folder, False)).drop("batch_no"), _terms(spark, folder))
+
+
+_AUDIT = f"""{_OUTCOMES}, {_TERMS_OF}, listed AS (SELECT segment_id, array_to_string(list_transform(ts, lambda t: t.term_id || ':' || t."zh-CN" || '=>' || t.ko), '|') AS glossary_terms FROM held),
+audit AS (SELECT o.decision_id, o.segment_id AS original_segment_id, o.final_action, o.action AS llm_action, o.validation_status, d.reason, o.errors AS validation_errors, array_to_string(o.ph, ';') AS placeholder_tokens,
+  coalesce(l.glossary_terms, '') AS glossary_terms, CASE WHEN o.contaminated THEN 'YES' ELSE 'NO' END AS target_contamination, CASE WHEN o.structured THEN 'YES' ELSE 'NO' END AS structured_hint,
+  o.src AS "zh-CN", o.tgt AS original_ko, o.c AS corrected_ko, CASE o.final_action WHEN 'REMOVE' THEN '' WHEN 'REWRITE' THEN o.c ELSE o.tgt END AS final_ko
+  FROM outcome o JOIN decisions d ON o.decision_id = d.decision_id LEFT JOIN listed l ON o.segment_id = l.segment_id)"""
+
+
+def _audit(spark: SparkSession, folder: str) -> DataFrame:
+    return review.audit_rows(review.outcomes(_verdicts(spark, folder)))
+
+
+@query(f"WITH {_AUDIT} SELECT * FROM audit")
+def v6_audit_rows(spark, folder):
+    """The audit of all decisions."""
+    return _audit(spark, folder)
+
+
+@query(f"""WITH {_AUDIT} SELECT row_number() OVER (ORDER BY decision_id) AS removed_id, original_segment_id, validation_status AS remove_reason, llm_action, reason, "zh-CN", original_ko AS ko, corrected_ko FROM audit WHERE final_action = 'REMOVE'""")
+def v6_removed_rows(spark, folder):
+    """Removed segments, numbered."""
+    return review.project(_audit(spark, folder), "removed")
+
+
+@query(f"""WITH {_AUDIT} SELECT row_number() OVER (ORDER BY decision_id) AS rewrite_id, original_segment_id, reason, "zh-CN", original_ko, final_ko AS corrected_ko, glossary_terms FROM audit WHERE final_action = 'REWRITE'""")
+def v6_rewritten_rows(spark, folder):
+    """Accepted rewrites, numbered."""
+    return review.project(_audit(spark, folder), "rewritten")
+
+
+@query(f"""WITH {_AUDIT} SELECT row_number() OVER (ORDER BY decision_id) AS failed_id, original_segment_id, reason, validation_errors, "zh-CN", original_ko, corrected_ko, glossary_terms FROM audit WHERE validation_status LIKE 'REWRITE_REJECTED%'""")
+def v6_rewrite_failed_rows(spark, folder):
+    """Rejected rewrites, numbered, with the checks that they failed."""
+    return review.project(_audit(spark, folder), "rewrite_failed")
+
+
+@query(f"""WITH a AS ({SQL['a12_reason_warnings']}), b AS ({SQL['a15_feature_warnings']})
+SELECT 'batch ' || batch_no AS scope, 'reason_repetition_warning' AS warning, reason AS value, count, rate FROM a UNION ALL SELECT feature, warning, value, count, CAST(1.0 AS DOUBLE) FROM b""")
+def u1_all_warnings(spark, folder):
+    """Both kinds of warnings in one list."""
+    return review.all_warnings(a12_reason_warnings(spark, folder), a15_feature_warnings(spark, folder))
 
 
 _SPLIT = """placed AS (SELECT segment_id, row_number() OVER (ORDER BY md5('42|' || segment_id), segment_id) - 1 AS o, count(*) OVER () AS n FROM training_examples),

@@ -40,6 +40,77 @@ def read_rules(path: str) -> dict:
     return rules
 
 
+#: What a pattern of the rules writes otherwise than the JVM reads it.
+_OTHER_SYNTAX = ((r"(?P<", "(?<"), (r"\Z", r"\z"))
+
+
+def jvm_pattern(pattern: str) -> str:
+    """A pattern of a rule file as the JVM reads it; what cannot be said there is an error.
+
+    Named groups and the end anchor are written otherwise, named references and
+    conditions are refused, and the pattern must be well formed on this side.
+    """
+    import re
+
+    re.compile(pattern)
+    if re.search(r"\(\?P[=>]|\(\?\(", pattern):
+        raise ValueError(f"no JVM form of {pattern!r}")
+    for old, new in _OTHER_SYNTAX:
+        pattern = pattern.replace(old, new)
+    return pattern
+
+
+def read_patterns(path: str, key: str = "patterns") -> dict[str, str]:
+    """The named patterns of a rule file, each checked and translated once."""
+    found = read_rules(path).get(key)
+    if not isinstance(found, dict) or not all(isinstance(v, str) for v in found.values()):
+        raise ValueError(f"{path}: {key} is no object of patterns")
+    return {name: jvm_pattern(pattern) for name, pattern in found.items()}
+
+
+def read_lexicons(folder: str, names: dict[str, str]) -> dict[str, tuple[str, ...]]:
+    """Word lists of a folder by file; a file that is not there keeps the built-in list of that name.
+
+    ``names`` maps files to names in :mod:`loomline.functions.lexicons`.  Suffixes
+    come longest first, as the first one that fits is taken.
+    """
+    from loomline.functions import lexicons
+
+    out = {}
+    for file, name in names.items():
+        path = Path(folder) / file
+        words = tuple(read_words(str(path))) if path.exists() else getattr(lexicons, name)
+        out[name] = tuple(sorted(words, key=lambda w: -len(w))) if "SUFFIXES" in name else words
+    return out
+
+
+def read_manifest(path: str, required: tuple[str, ...] = ()) -> dict:
+    """A JSON manifest; a required entry that is missing or no filled text is an error."""
+    manifest = read_rules(path)
+    for name in required:
+        if not isinstance(manifest.get(name), str) or not manifest[name].strip():
+            raise ValueError(f"{path}: {name} is missing")
+    return manifest
+
+
+def manifest_path(path: str, manifest: dict, name: str) -> Path:
+    """A path that a manifest names; relative ones count from the manifest's folder."""
+    found = Path(manifest[name])
+    return found if found.is_absolute() else Path(path).resolve().parent / found
+
+
+def list_checkpoints(folder: str, prefix: str = "checkpoint-") -> list[Path]:
+    """Checkpoint folders in the order of their steps; other entries are left out."""
+    found = [p for p in Path(folder).iterdir() if p.is_dir() and p.name.startswith(prefix) and p.name[len(prefix) :].isdigit()]
+    return sorted(found, key=lambda p: int(p.name[len(prefix) :]))
+
+
+def latest_checkpoint(folder: str, prefix: str = "checkpoint-") -> Path | None:
+    """The checkpoint of the last step, or None."""
+    found = list_checkpoints(folder, prefix)
+    return found[-1] if found else None
+
+
 BATCH_OUTPUT = T.StructType([
     T.StructField("custom_id", T.StringType()),
     T.StructField("error", T.StringType()),

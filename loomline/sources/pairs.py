@@ -63,3 +63,45 @@ def translation_rows(df: DataFrame) -> DataFrame:
     require_columns(df, ["row_number", "segment_id", "source", "references", "candidates"])
     text = {"source": "source", "reference": "references", "candidate": "candidates"}
     return df.select("row_number", "segment_id", *(strip(F.col(f"`{old}`")).alias(new) for new, old in text.items()), "system")
+
+
+def multilingual_terms(df: DataFrame, languages: list[str], order: str, key: str = "term_id") -> DataFrame:
+    """(term_id, languages) of a glossary in several languages.
+
+    A row without an id gets its number in the order of a unique column, from 1;
+    a language that the table lacks is empty text.
+    """
+    from loomline.operators.review import with_ordinal
+
+    require_columns(df, [order])
+    rows = with_ordinal(df, order, "__row")
+    own = strip(F.col(f"`{key}`").cast("string")) if key in df.columns else F.lit("")
+    text = lambda c: strip(F.col(f"`{c}`").cast("string")) if c in df.columns else F.lit("")
+    return rows.select(F.when(own == "", (F.col("__row") + 1).cast("string")).otherwise(own).alias("term_id"), *(text(c).alias(c) for c in languages))
+
+
+def require_rows(df: DataFrame, name: str) -> DataFrame:
+    """The table itself; an empty one is an error.  One job that reads a single row."""
+    if df.isEmpty():
+        raise ValueError(f"{name} has no rows")
+    return df
+
+
+def training_pairs(df: DataFrame, key: str = "segment_id", source: str = "source_text", target: str = "target_text") -> DataFrame:
+    """(segment_id, src, tgt) of training examples under any column names; an empty field fails while the query runs."""
+    return scan(df, {"segment_id": key, "src": source, "tgt": target}, "fail")
+
+
+def inference_records(df: DataFrame, key: str = "segment_id", source: str = "zh", reference: str | None = "ko") -> DataFrame:
+    """(segment_id, source, references) to translate; without a reference column it is empty.  Ids and sources must be filled."""
+    filled_columns = scan(df, {"segment_id": key, "source": source}, "fail") if reference is None else scan(df, {"segment_id": key, "source": source, "references": reference})
+    if reference is None:
+        return filled_columns.withColumn("references", F.lit(""))
+    bad = (F.col("segment_id") == "") | (F.col("source") == "")
+    return filled_columns.withColumn("segment_id", F.when(bad, F.raise_error(F.concat(F.lit("empty field in row "), F.col("segment_id")))).otherwise(F.col("segment_id")))
+
+
+def split_records(df: DataFrame, split: str, column: str = "split", **names: str) -> DataFrame:
+    """inference_records of one split; an unknown split has no rows and is an error."""
+    require_columns(df, [column])
+    return inference_records(require_rows(df.where(F.col(f"`{column}`") == split), f"split {split}"), **names)

@@ -72,6 +72,62 @@ def write_reviews(folder: str, audit: DataFrame, reviews: dict[str, str]) -> Non
         written.where(condition).write.mode("overwrite").parquet(f"{folder}/{name}")
 
 
+#: Review files of the cleaning stage: name and condition on its audit.
+CLEANING_REVIEWS = {
+    "removed_markup_only": "action = 'REMOVE_MARKUP_ONLY'", "removed_structured_unparsed": "action = 'REMOVE_STRUCTURED_UNPARSED'", "removed_empty": "action = 'REMOVE_EMPTY'",
+    "removed_contaminated": "action = 'REMOVE_TARGET_LANGUAGE_CONTAMINATION'", "removed_fragments": "action = 'REMOVE_NON_SEGMENT_FRAGMENT'", "removed_term_like": "action = 'REMOVE_TERM_LIKE'",
+    "removed_exact_pairs": "reason = 'exact_glossary_pair'", "entity_review": "semantic_action = 'REVIEW_SEMANTIC_TERM_ENTITY'", "kept_placeholders": "reason = 'placeholder_kept'",
+    "kept_wrappers": "semantic_action = 'SKIP_STRUCTURE_WRAPPER'", "split_rows": "split_index > 0", "kept": "action = 'KEEP'",
+}
+
+#: Review files of the glossary stage.
+GLOSSARY_REVIEWS = {
+    "removed": "final_action = 'AUTO_REMOVE'", "split_compounds": "final_action = 'AUTO_SPLIT_COMPOUND'", "merged": "final_action = 'MERGED_DUPLICATE'", "kept": "final_action in ('AUTO_KEEP', 'KEEP_UNCERTAIN')",
+    "uncertain": "final_action = 'KEEP_UNCERTAIN'", "not_in_corpus": "product_score = 0",
+}
+
+#: Review files of the cross-check, of its terms and of its rows.
+CROSS_TERM_REVIEWS = {
+    "strong_terms": "term_action = 'STRONG_GLOSSARY_TERM'", "noise_terms": "term_action = 'AUTO_REMOVE_GLOSSARY_NOISE'", "review_terms": "term_action = 'TERM_NEEDS_REVIEW'",
+    "unenforceable_terms": "strict_action = 'AUTO_REMOVE_GLOSSARY_UNENFORCEABLE'",
+}
+CROSS_ROW_REVIEWS = {
+    "conflict_rows": "row_action = 'AUTO_REMOVE_SEGMENT_CONFLICT'", "review_rows": "row_action = 'ROW_NEEDS_REVIEW'", "noise_rows": "row_action = 'KEEP_AFTER_GLOSSARY_NOISE_REMOVAL'",
+    "strict_mismatch_rows": "strict_row_action = 'STRICT_REMOVE_SEGMENT_MISMATCH'",
+}
+
+#: Review files of the model stage.
+MODEL_REVIEWS = {
+    "removed": "final_action = 'REMOVE'", "rewritten": "final_action = 'REWRITE'", "rewrite_failed": "validation_status like 'REWRITE_REJECTED%'", "review": "final_action = 'REVIEW'",
+    "contaminated": "target_contamination = 'YES'", "structured": "structured_hint = 'YES'", "kept": "final_action = 'KEEP'",
+}
+
+
+def write_evaluation(folder: str, summary: DataFrame, per_row: DataFrame, sample: DataFrame) -> None:
+    """The reports of an evaluation: summary, one row for each translation, and the rows to look at first."""
+    write_csv(summary, f"{folder}/summary", summary.columns)
+    write_csv(per_row, f"{folder}/rows", per_row.columns)
+    write_csv(sample, f"{folder}/sample", sample.columns)
+
+
+#: Columns of a file of translations.
+GENERATION = ["segment_id", "source", "references", "candidates"]
+
+
+def write_generation(df: DataFrame, path: str) -> None:
+    """Translations as CSV with the columns of GENERATION."""
+    write_csv(df, path, GENERATION)
+
+
+def append_raw(answers: DataFrame, path: str, run: str, attempt: int) -> None:
+    """Adds raw requests and answers of one attempt to a table, with run and attempt, for later inspection.
+
+    Written before anything is parsed; partitioned by run and attempt, so that a repeated attempt replaces its own rows only.
+    """
+    stamped = answers.withColumns({"run": F.lit(run), "attempt": F.lit(attempt)})
+    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "attempt").parquet(path)
+
+
 def write_manifest(path: str, inputs: dict[str, str], counts: DataFrame, settings: dict) -> dict:
     """A JSON manifest: hashes of the input files, a one-row table of counts, settings and the time."""
     from datetime import datetime, timezone

@@ -57,8 +57,9 @@ def test_vectors(spark):
     assert got == {0: [0.6, 0.8], 1: [0.0, 0.0]}
     best = {r["id"]: r["similarity"] for r in glossary.max_similarity(df, "id", "v", df.where("id < 3"), "v").collect()}
     assert best == {1: 25.0, 2: 25.0, 3: 0.0}
-    with pytest.raises(ValueError):
-        glossary.max_similarity(df, "id", "v", df, "v", most=1)
+    blocked = {r["id"]: r["similarity"] for r in glossary.max_similarity(df, "id", "v", df.where("id < 3"), "v", block=1, slice_rows=1).collect()}
+    assert blocked == best
+    assert {r["similarity"] for r in glossary.max_similarity(df, "id", "v", df.limit(0), "v").collect()} == {None}
 
 
 def test_tuples_and_verdicts(spark):
