@@ -340,11 +340,11 @@ def max_similarity(items: DataFrame, key: str, vector: str, terms: DataFrame, te
         return items.select(key, F.lit(None).cast("double").alias("similarity"))
     named = items.select(key, F.col(vector).alias("v"))
     if len(rows) <= block:
-        shared = items.sparkSession.sparkContext.broadcast(np.array([r[0] for r in rows], np.float32).T)
+        shared = items.sparkSession.sparkContext.broadcast(np.array([r[0] for r in rows], np.float64).T)
 
         def best(batches):
             for frame in batches:
-                vectors = np.stack(frame["v"].to_numpy()) if len(frame) else np.zeros((0, shared.value.shape[0]), np.float32)
+                vectors = np.stack(frame["v"].to_numpy()) if len(frame) else np.zeros((0, shared.value.shape[0]))
                 yield pd.DataFrame({key: frame[key], "similarity": (vectors @ shared.value).max(axis=1).astype(float) if len(frame) else []})
 
         return named.mapInPandas(best, schema)
@@ -356,7 +356,7 @@ def max_similarity(items: DataFrame, key: str, vector: str, terms: DataFrame, te
     def best_of_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({key: left[key].iloc[:0], "similarity": np.zeros(0)})
-        found = np.stack(left["v"].to_numpy()).astype(np.float32) @ np.stack(right["t"].to_numpy()).astype(np.float32).T
+        found = np.stack(left["v"].to_numpy()).astype(np.float64) @ np.stack(right["t"].to_numpy()).astype(np.float64).T
         return pd.DataFrame({key: left[key], "similarity": found.max(axis=1).astype(float)})
 
     each = one.groupBy("__slice", "__block").cogroup(other.groupBy("__slice", "__block")).applyInPandas(best_of_block, schema)

@@ -29,29 +29,52 @@ def ranked(terms: DataFrame) -> DataFrame:
     return terms.withColumn("n", F.length("term_src")).withColumn("rank", F.row_number().over(order))
 
 
+#: Salts over which the texts of a key are spread where terms are not broadcast.
+SALTS = 16
+
+
 def candidates(texts: DataFrame, terms: DataFrame, text: str = "src", bound: int = MAX_BROADCAST) -> DataFrame:
     """Each text with each term that it contains.
 
     Texts meet terms by equal first characters: the distinct pairs of
     neighbouring characters of a text are joined with the first two of a term,
     and what meets is tested whole.  The terms are broadcast within the bound;
-    beyond, the same join shuffles.
+    beyond, numbers of texts meet terms over salted keys, and the texts come back
+    by their number, so that a frequent pair of characters copies no text.
     """
     shape = terms.limit(bound + 1).agg(F.count("*").alias("n"), F.min(F.length("term_src")).alias("least")).first()
     keyed = terms.withColumn("__key", F.substring("term_src", 1, 2))
     size = F.length(text)
-    keys = F.transform(F.sequence(F.lit(1), size), lambda p: F.substring(F.col(text), p, 2))
+    # Characters and their neighbours from two arrays: a substring at every place would walk the text each time.
+    letters = F.filter(F.split(F.col(text), ""), lambda c: c != "")
+    keys = F.zip_with(letters, F.slice(letters, 2, size), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
     if shape["least"] == 1 or shape["n"] > bound:  # terms of one character, or perhaps some
-        keys = F.concat(keys, F.transform(F.sequence(F.lit(1), size), lambda p: F.substring(F.col(text), p, 1)))
-    # Outer: else the optimiser makes the array twice, to drop the empty ones first.
-    met = texts.where(size > 0).withColumn("__key", F.explode_outer(F.array_distinct(keys)))
-    small = F.broadcast(keyed) if shape["n"] <= bound else keyed
-    return met.join(small, "__key").where(F.contains(F.col(text), F.col("term_src"))).drop("__key")
+        keys = F.concat(keys, letters)
+    some = texts.where(size > 0)
+    if shape["n"] <= bound:
+        # Outer: else the optimiser makes the array twice, to drop the empty ones first.
+        met = some.withColumn("__key", F.explode_outer(F.array_distinct(keys)))
+        return met.join(F.broadcast(keyed), "__key").where(F.contains(F.col(text), F.col("term_src"))).drop("__key")
+    from loomline.functions.lineage import checkpointed
+
+    numbered = checkpointed(some.withColumn("__row", F.monotonically_increasing_id()))
+    meeting = numbered.select("__row", F.pmod("__row", F.lit(SALTS)).cast("int").alias("__salt"), F.explode_outer(F.array_distinct(keys)).alias("__key"))
+    spread = keyed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    pairs = meeting.join(spread, ["__key", "__salt"]).drop("__key", "__salt")
+    return numbered.join(pairs, "__row").where(F.contains(F.col(text), F.col("term_src"))).drop("__row")
 
 
 def positions(text: Column, term: Column, size: Column) -> Column:
-    """All places, from 1, where a term begins in a text."""
-    return F.filter(F.sequence(F.lit(1), F.length(text) - size + 1), lambda p: F.substring(text, p, size) == term)
+    """All places, from 1, where a term begins in a text.
+
+    The text is cut before every place in one pass; the lengths of the parts add up to the places.
+    """
+    quoted = F.concat(F.lit("(?=\\Q"), F.replace(term, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E)"))
+    lengths = F.transform(F.split(text, quoted), F.length)
+    state = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("places"))
+    step = lambda s, n: F.struct((s["at"] + n).alias("at"), F.array_append(s["places"], s["at"] + n).alias("places"))
+    behind = F.aggregate(F.slice(lengths, 1, F.size(lengths) - 1), state, step, lambda s: s["places"])
+    return F.when(F.startswith(text, term), F.concat(F.array(F.lit(1)), behind)).otherwise(behind)
 
 
 def thinned(places: Column, size: Column) -> Column:

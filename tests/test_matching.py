@@ -62,3 +62,37 @@ def test_first_place_drops_and_first_free_retries(spark):
     assert [t["term_id"] for t in collect(M.first_place_terms(rows, terms), "terms")["x"][0]] == ["1"]
     assert M.find_matches(rows.limit(0), terms).count() == 0
     assert M.find_matches(rows, terms.limit(0)).count() == 0
+
+
+def test_terms_beyond_the_broadcast_bound_give_the_same(spark):
+    from loomline.operators import matching
+
+    texts = spark.createDataFrame([(str(i), "宝箱强化石宝箱" + "甲乙"[i % 2] * 3, "x") for i in range(40)] + [("long", "文" * 30_000 + "宝箱", "x"), ("none", "", "x")], "segment_id string, src string, tgt string")
+    terms = spark.createDataFrame([("1", "宝箱", "x"), ("2", "强化石", "y"), ("3", "甲", "x"), ("4", "乙乙", "x"), ("5", "文宝箱", "x")], "term_id string, term_src string, term_tgt string")
+    rows = lambda bound: sorted((r["segment_id"], r["term_id"]) for r in matching.candidates(texts, terms, bound=bound).collect())
+    assert rows(100) == rows(2) and ("long", "5") in rows(2) and len([r for r in rows(2) if r[1] == "4"]) == 20
+
+
+def test_more_terms_than_are_broadcast(spark):
+    from pyspark.sql import functions as F
+
+    from loomline.operators import matching
+
+    many = spark.range(matching.MAX_BROADCAST + 1).select(F.col("id").cast("string").alias("term_id"), F.concat(F.lit("词"), F.col("id").cast("string"), F.lit("尾")).alias("term_src"), F.lit("x").alias("term_tgt"))
+    texts = spark.createDataFrame([("a", "前词77尾后词100000尾"), ("b", "无")], "segment_id string, src string")
+    assert {(r["segment_id"], r["term_id"]) for r in matching.candidates(texts, many).collect()} == {("a", "77"), ("a", "100000")}
+
+
+def test_places_of_a_term(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from loomline.operators import matching
+
+    long = "文字" * 16_000 + "宝箱" + "文" * 10
+    rows = [("aaaa", "aa"), ("xaxax", "ax"), ("a.b.", "."), (r"q\Eq\E", r"\E"), ("甲乙甲", "甲"), ("甲", "甲乙"), (long, "宝箱"), ("𠀀a𠀀", "𠀀")]
+    df = spark.createDataFrame(rows, "t string, w string")
+    began = time.time()
+    got = [r[0] for r in df.select(matching.positions(F.col("t"), F.col("w"), F.length("w"))).collect()]
+    assert got == [[1, 2, 3], [2, 4], [2, 4], [2, 5], [1, 3], [], [32_001], [1, 3]] and time.time() - began < 20
