@@ -60,3 +60,29 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(leakage, "MAX_ITEMS", 4)
     assert {tuple(r) for r in leakage.find_leaks(docs, items).collect()} == whole >= {(i, i) for i in range(9)}
     assert leakage.find_leaks(docs.limit(0), items).count() == 0 == leakage.find_leaks(docs, items.limit(0)).count()
+
+
+def test_many_items_take_one_scan(spark, monkeypatch, capsys):
+    """Ten thousand items: every planted one is found, and the documents are read once."""
+    rng = random.Random(8)
+    sentence = lambda n: "".join(rng.choice(ZH) for _ in range(n))
+    items = [(i, sentence(rng.randint(40, 160))) for i in range(10_000)]
+    documents, expected = [], set()
+    for d in range(60):
+        i, item = rng.choice(items)
+        documents.append((d, sentence(300) + item[: max(1, int(len(item) * 0.7))] + sentence(500)))
+        expected.add((d, i))
+    docs = spark.createDataFrame([*documents, (0, documents[0][1]), (90, None), (91, "")], "doc_id long, text string")
+    bench = spark.createDataFrame([*items, (20_000, None), (20_001, "短")], "item_id long, text string")
+    scans = []
+    plain = leakage.join_leaks
+    monkeypatch.setattr(leakage, "join_leaks", lambda *a: scans.append(1) or plain(*a))
+    got = [tuple(r) for r in leakage.find_leaks(docs, bench).collect()]
+    assert scans == [1] and set(got) == expected and len(got) == len(expected) + 1  # the repeated row is reported twice
+
+
+def test_lead_ins_of_any_length(spark):
+    lead = "请" * 90 + "："
+    items = spark.createDataFrame([(i, lead + "".join(ZH[(7 * i + 13 * k * (i + 1)) % len(ZH)] for k in range(60))) for i in range(4)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, lead + "完全不同的内容" * 9), (2, items.first()["text"])], "doc_id long, text string")
+    assert {tuple(r) for r in leakage.find_leaks(docs, items).collect()} == {(2, 0)}
