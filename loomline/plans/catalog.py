@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomline.plans import corpus, packed, review, verdicts
+from loomline.plans import corpus, files, packed, review, verdicts
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**packed.QUERIES, **corpus.QUERIES, **verdicts.QUERIES, **review.QUERIES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**packed.QUERIES, **corpus.QUERIES, **verdicts.QUERIES, **review.QUERIES, **files.QUERIES}
 
-SQL: dict[str, str] = {**packed.SQL, **corpus.SQL, **verdicts.SQL, **review.SQL}
+SQL: dict[str, str] = {**packed.SQL, **corpus.SQL, **verdicts.SQL, **review.SQL, **files.SQL}
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
