@@ -410,3 +410,25 @@ def encode_documents(
 
     columns = [F.col(f"`{c}`") for c in keep]
     return df.select(*columns, F.col(f"`{text}`").alias("__text")).mapInArrow(encode, schema)
+
+
+def decode_documents(df: DataFrame, ids: str = "ids", out: str = "text", keep: list[str] | None = None, ranks: str = DEFAULT_RANKS) -> DataFrame:
+    """Adds ``out``, the text of the token ids, to the ``keep`` columns (all but ``ids`` by default).
+
+    The tokens' bytes go through the incremental decoder; bytes that make no
+    character count as U+FFFD.  Null and empty lists give the empty text; an id
+    that the vocabulary lacks is an error.
+    """
+    keep = [c for c in df.columns if c != ids] if keep is None else list(keep)
+    if out in keep:
+        raise ValueError(f"column {out} exists already")
+    shared = share_ranks(df.sparkSession, ranks)
+    schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(out, T.StringType(), False)])
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = machine(shared.value).tokens
+        for batch in batches:
+            texts = [Utf8Decoder().feed(b"".join(map(tokens.__getitem__, row or ())), final=True) for row in batch.column(len(keep)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(texts, pa.string())], names=[*keep, out])
+
+    return df.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{ids}`").alias("__ids")).mapInArrow(decode, schema)

@@ -81,6 +81,25 @@ def p5_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _overlap_classes(spark: SparkSession, folder: str) -> splits.Overlaps:
+    evaluation = table(spark, folder, "segment_rows", ["segment_id", "zh", "ko"])
+    training = table(spark, folder, "training_examples", ["segment_id", "source_text", "target_text"])
+    return splits.class_overlaps(evaluation, training, "segment_id", "segment_id", ["zh", "ko"], ["source_text", "target_text"])
+
+
+def p5_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Links between classes of equal texts of both splits, with their numbers of copies."""
+    links = _overlap_classes(spark, folder).links
+    return links.select("field", F.hex("eval_cls").alias("eval_class"), F.hex("train_cls").alias("train_class"), "distance", "coverage", "eval_copies", "train_copies")
+
+
+def p5_members(spark: SparkSession, folder: str) -> DataFrame:
+    """Class of every record's texts, of both splits."""
+    found = _overlap_classes(spark, folder)
+    side = lambda rows, name: rows.select(F.lit(name).alias("side"), "field", F.hex("cls").alias("class"), F.col("id").alias("record_id"))
+    return side(found.eval_members, "evaluation").unionAll(side(found.train_members, "training"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Segments that are copies of another one but for formatting."""
     return duplicates.list_copies(table(spark, folder, "segments", ["segment_id", "zh-CN", "ko"], spread=True), "segment_id", ["zh-CN", "ko"])
@@ -96,6 +115,11 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_documents(table(spark, folder, "documents", ["doc_id", "text"], spread=True))
 
 
+def p7_decoded(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded and decoded again: its text, the empty one for null."""
+    return bpe.decode_documents(p7_ids(spark, folder).select("doc_id", "ids"))
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with the test items that they leak."""
     return leakage.find_leaks(table(spark, folder, "documents", ["doc_id", "text"], spread=True), table(spark, folder, "benchmark"))
@@ -120,9 +144,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_report": p5_report,
+    "p5_links": p5_links,
+    "p5_members": p5_members,
     "p6_found": p6_found,
     "p6_copies": p6_copies,
     "p7_ids": p7_ids,
+    "p7_decoded": p7_decoded,
     "p8_found": p8_found,
     "p9_found": p9_found,
     "p9_pieces": p9_pieces,
@@ -165,4 +192,5 @@ _COPIES = f"""k AS (SELECT segment_id, {_canonical_sql('"zh-CN"')} AS a, {_canon
 SQL: dict[str, str] = {
     "p6_found": f"WITH {_COPIES} SELECT kept_id, segment_id AS copy_id FROM g WHERE segment_id <> kept_id",
     "p6_copies": f"WITH {_COPIES} SELECT kept_id, count(*) AS copies FROM g GROUP BY kept_id",
+    "p7_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }
