@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.functions.lineage import shared_folder
+from loomline.functions.text import BLANK
 from loomline.operators import providers, review, training
 from loomline.plans import sqlparts as S
 from loomline.plans.corpus import _segments, _terms
@@ -104,7 +105,7 @@ def _lengths():
     return lambda texts: [(len(t), len(t.split())) for t in texts]
 
 
-@query(f"WITH {S.ALL_SEGMENTS} SELECT segment_id, CAST(length(tgt) AS INTEGER) AS characters, CAST(len(list_filter(regexp_split_to_array(tgt, '\s+'), lambda w: w <> '')) AS INTEGER) AS words FROM seg")
+@query(f"WITH {S.ALL_SEGMENTS} SELECT segment_id, CAST(length(tgt) AS INTEGER) AS characters, CAST(len(list_filter(regexp_split_to_array(tgt, '{BLANK}+'), lambda w: w <> '')) AS INTEGER) AS words FROM seg")
 def g23_j10_distinct_cache(spark, folder):
     """A provider called once for each distinct text, joined back to all rows."""
     from pyspark.sql import types as T
