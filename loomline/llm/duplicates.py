@@ -35,8 +35,8 @@ WIDE_SIGNS, SIGNS = "：＝；｜，＋－％．／～、‐‑‒–—−", ":
 #: start where a run of letters does or the value before ends: linear time.
 LABELLED = r"(?:\G|(?<![\p{L}\p{N} ])) *+\p{L}[\p{L}\p{N} ]*+\s*[:=]\s*[+\-]?\d[\d.]*\s*%?"
 
-#: A value with a label of any kind.
-NAMED = r"^[^:=]*\p{L}[^:=]*[:=][^:=]*[\p{L}\p{N}][^:=]*$"
+#: A value with a label of any kind: one sign, a letter before it, a letter or digit behind it (each in linear time).
+NAMED = (r"^[^:=]*+[:=][^:=]*+$", r"^[^:=\p{L}]*+\p{L}", r"[:=][^:=\p{L}\p{N}]*+[\p{L}\p{N}]")
 
 
 def plain(text: str) -> str:
@@ -88,7 +88,7 @@ def canonical(column: Column) -> Column:
     is_list = text.rlike(r"[:=]\s*[+\-]?\d") & (F.size(items) > 1) & ~F.regexp_replace(text, LABELLED, "").rlike(r"[\p{L}\p{N}]")
     pieces = F.filter(F.when(text.rlike("[;|]"), F.split(text, "[;|]")).otherwise(F.split(text, ",")), lambda x: x.rlike(r"[\p{L}\p{N}]"))
     named = F.array_join(F.array_sort(F.transform(pieces, lambda x: F.concat_ws("=", bare(F.regexp_extract(x, "^([^:=]*)", 1)), bare(F.regexp_extract(x, "[:=](.*)$", 1))))), ";")
-    is_named = text.rlike("[:=]") & (F.size(pieces) > 1) & F.forall(pieces, lambda x: x.rlike(NAMED))
+    is_named = text.rlike("[:=]") & (F.size(pieces) > 1) & F.forall(pieces, lambda x: x.rlike(NAMED[0]) & x.rlike(NAMED[1]) & x.rlike(NAMED[2]))
     return F.when(text.rlike("[:=]"), F.when(is_list, listed).when(is_named, named).otherwise(bare(text))).otherwise(bare(text))
 
 
