@@ -14,7 +14,8 @@ the evaluation text so covered is reported.
 Equal texts are one class on each side, so copies meet once; they are expanded
 in the result only.  Frequent hashes are spread over salts whose number follows
 from the same fixed-size histogram on both sides; runs that no window of the
-other split keeps are left out by a fixed-size bit table before the join.
+other split keeps near their place are left out by a fixed-size bit table before
+the join.
 """
 
 from __future__ import annotations
@@ -42,6 +43,9 @@ HOT_CLASSES = 1000
 #: Members of a class that stay together when pairs become records.
 PER_SLOT = 4096
 
+#: Characters of a stretch of places in the table of runs kept; texts beyond the size mark their runs for all places.
+STRETCH, PLACED = 8, 512
+
 #: Windows that are laid out at once, and characters whose runs are.
 WINDOWS, SLICE = 64, 1 << 17
 
@@ -116,8 +120,8 @@ class Batch:
             self.hashes[length] = found ^ np.repeat(self.marks, self.sizes)
         return self.hashes[length]
 
-    def every_run(self, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hash, text number, place) of all runs that a longer text may keep; with ``table`` those in it only."""
+    def every_run(self, table: tuple[np.ndarray, bool] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, text number, place) of all runs that a longer text may keep; with ``table`` those only that it holds near their place."""
         needs: dict[int, list[int]] = {}
         for size in np.unique(self.sizes).tolist():
             for length in run_lengths(size, self.options):
@@ -131,7 +135,9 @@ class Batch:
             place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
             found = self.runs(length)[self.starts[row] + place]
             if table is not None:
-                held = in_table(table, found, self.options)
+                held = in_table(table[0], placed(found, place // STRETCH), self.options)
+                if table[1]:
+                    held |= in_table(table[0], found, self.options)
                 found, row, place = found[held], row[held], place[held]
             parts.append((found, row, place))
         if not parts:
@@ -184,6 +190,11 @@ class Batch:
         return tuple(np.concatenate(p) for p in zip(*parts))
 
 
+def placed(hashes: np.ndarray, stretch: np.ndarray) -> np.ndarray:
+    """Hash of a run in a stretch of places."""
+    return hashes ^ (stretch.astype(np.uint64) + np.uint64(1)) * np.uint64(0x94D049BB133111EB)
+
+
 def in_table(table: np.ndarray, hashes: np.ndarray, options: Winnowing) -> np.ndarray:
     """Whether each hash may be in a table of bits."""
     at = table_place(hashes, options)
@@ -218,22 +229,37 @@ def histograms(sides: list[DataFrame], options: Winnowing) -> list[np.ndarray]:
     return list(out.reshape(-1, options.buckets))
 
 
-def kept_table(longer: DataFrame, counts, options: Winnowing) -> np.ndarray:
-    """The table of bits of all runs that the windows of one side keep; its size is fixed."""
+def kept_table(longer: DataFrame, counts, options: Winnowing) -> tuple[np.ndarray, bool]:
+    """The table of bits of all runs that the windows of one side keep, in every
+    stretch of places where the other text may have them, and whether any is
+    marked for all places; its size is fixed."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << options.bits - 6, np.uint64)
+        bits, free = np.zeros(1 << options.bits - 6, np.uint64), False
         for batch in batches:
             for _, fields, texts in slices(batch):
-                at = table_place(np.unique(Batch(fields, texts, options).rarest_runs(counts.value)[0]), options)
+                own = Batch(fields, texts, options)
+                hashes, rows, places, numbers = own.rarest_runs(counts.value)
+                long = own.sizes[rows] > PLACED
+                free |= bool(long.any())
+                near = ~long
+                kept, first = hashes[near], np.maximum(places[near] - numbers[near], 0) // STRETCH
+                last = (places[near] + np.minimum(numbers[near], options.edits(own.sizes)[rows[near]] - numbers[near])) // STRETCH
+                n = last - first + 1
+                ends = np.cumsum(n)
+                stretch = np.repeat(first - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+                at = table_place(np.concatenate([placed(np.repeat(kept, n), stretch), hashes[long]]), options)
                 np.bitwise_or.at(bits, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
         used = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(bits[used].view(np.int64))], names=["word", "bits"])
+        if free:
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([1], pa.int64())], names=["word", "bits"])
 
     table = longer.select(F.lit(0).alias("none"), "field", "text").mapInArrow(mark, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words, found = table.column("word").to_numpy(), table.column("bits").to_numpy()
     out = np.zeros(1 << options.bits - 6, np.int64)
-    out[table.column("word").to_numpy()] = table.column("bits").to_numpy()
-    return out.view(np.uint64)
+    out[words[words >= 0]] = found[words >= 0]
+    return out.view(np.uint64), bool((words < 0).any())
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
