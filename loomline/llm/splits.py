@@ -1,21 +1,20 @@
 """Problem 5: records of evaluation splits that come again in the training split.
 
 Winnowing: the longer text of a pair is laid out in disjoint windows, one more
-than the edits it may have, and keeps one character run of each, those whose
-rolling hashes are the rarest in the other split.  An edit spoils one window at
-most, so one run at least stands unchanged in the other text, near the place
-that the edits before it allow: no near pair is lost, at any length.  The runs
-kept are joined with all runs of the other split; pairs whose lengths, places or
-character sets cannot belong to near-equal texts are dropped inside the join.
+than the edits it may have, and keeps one character run of each, those that are
+the rarest in the other split.  An edit spoils one window at most, so one run at
+least stands unchanged in the other text, near the place that the edits before
+it allow: no near pair is lost, at any length.  Runs never leave a task: texts of
+both splits meet in cells, and every cell indexes the runs of its shorter texts
+by their places, a slice at a time.  Pairs whose lengths, places, character sets
+or sets of character pairs cannot belong to near-equal texts are dropped there.
 The exact edit distance decides.  Of what is left all common runs are chained
 where they are collinear, and extended while characters agree; the share of
 the evaluation text so covered is reported.
 
 Equal texts are one class on each side, so copies meet once; they are expanded
-in the result only.  Frequent hashes are spread over salts whose number follows
-from the same fixed-size histogram on both sides; runs that no window of the
-other split keeps near their place are left out by a fixed-size bit table before
-the join.
+in the result only.  The driver gathers the numbers of characters and nothing
+else, and nothing is broadcast but a bounded table of the largest classes.
 """
 
 from __future__ import annotations
@@ -27,6 +26,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,11 +43,14 @@ HOT_CLASSES = 1000
 #: Members of a class that stay together when pairs become records.
 PER_SLOT = 4096
 
-#: Characters of a stretch of places in the table of runs kept; texts beyond the size mark their runs for all places.
-STRETCH, PLACED = 8, 512
+#: Texts beyond the size have each of their runs once in an index, for all places.
+PLACED = 512
 
-#: Windows that are laid out at once, and characters whose runs are.
-WINDOWS, SLICE = 64, 1 << 17
+#: Windows that are laid out at once, characters that are looked up, that are indexed and of a chunk, seeds that are compared, entries of an index's table.
+WINDOWS, SLICE, INDEXED, CHUNK, SEEDS, TABLE = 64, 1 << 17, 2 << 20, 8 << 20, 1 << 18, 1 << 22
+
+#: A split of so many characters is dealt out to so many cells at least.
+SPREAD, LEAST_CELLS = 500_000, 6
 
 
 @dataclass(frozen=True)
@@ -56,9 +59,8 @@ class Winnowing:
 
     distance: float = 0.2  # edits, as share of the longer text
     longest: int = 8  # characters of a run at most
-    buckets: int = 1 << 20  # of the histogram of hashes, for each split
-    bits: int = 25  # log2 of the size of the table of runs kept
-    per_salt: int = 4096  # rows of one hash that stay together
+    buckets: int = 1 << 21  # of the histogram of an index's hashes
+    per_salt: int = 40_000  # thousands of characters that one cell holds
 
     def edits(self, size):
         """Edits that the longer text of a pair may have."""
@@ -78,27 +80,38 @@ def run_lengths(size: int, options: Winnowing) -> tuple[int, ...]:
 
 
 def fold_records(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """(field, id, cls, text) of every text that is not empty once folded; ``cls`` is its 128-bit hash."""
+    """(field, cls, id) of every text that is not empty once folded; ``cls`` is its 128-bit hash."""
     schema = T.StructType([T.StructField("field", T.IntegerType()), T.StructField("id", df.schema[key].dataType), T.StructField("text", T.StringType())])
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(columns)):
-                points, starts = fold_joined(batch.column(i + 1).to_pylist())
-                rows = np.flatnonzero(np.diff(starts) > 0)
-                whole = points.astype("<u4").tobytes().decode("utf-32-le")
-                texts = [whole[a:b] for a, b in zip(starts[rows].tolist(), starts[rows + 1].tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(rows), i, np.int32)), batch.column(0).take(pa.array(rows)), pa.array(texts, pa.string())], names=schema.names
-                )
+                rows, texts = folded(batch.column(i + 1))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), i, np.int32)), batch.column(0).take(pa.array(rows)), texts], names=schema.names)
 
     rows = df.select(F.col(f"`{key}`"), *(F.col(f"`{c}`").cast("string").alias(f"__{i}") for i, c in enumerate(columns)))
-    return rows.mapInArrow(fold, schema).select("field", "id", F.unhex(F.md5("text")).alias("cls"), "text")
+    return rows.mapInArrow(fold, schema).select("field", F.unhex(F.md5("text")).alias("cls"), "id")
+
+
+def fold_texts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(field, text, copies) of the texts that are not empty once folded; those of one batch come once."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(columns)):
+                counts = folded(batch.column(i))[1].value_counts()
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(counts), i, np.int32)), counts.field("values"), counts.field("counts")], names=["field", "text", "copies"])
+
+    rows = df.select(*(F.col(f"`{c}`").cast("string").alias(f"__{i}") for i, c in enumerate(columns)))
+    return rows.mapInArrow(fold, "field int, text string, copies long")
 
 
-def text_classes(records: DataFrame) -> DataFrame:
-    """(field, cls, text, copies): every distinct text once."""
-    return records.groupBy("field", "cls").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+def folded(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(row numbers, folded texts) of the texts that are not empty once folded."""
+    points, starts = fold_joined(column.to_pylist())
+    rows = np.flatnonzero(np.diff(starts) > 0)
+    whole = points.astype("<u4").tobytes().decode("utf-32-le")
+    return rows, pa.array([whole[a:b] for a, b in zip(starts[rows].tolist(), starts[rows + 1].tolist())], pa.string())
 
 
 class Batch:
@@ -120,57 +133,43 @@ class Batch:
             self.hashes[length] = found ^ np.repeat(self.marks, self.sizes)
         return self.hashes[length]
 
-    def every_run(self, table: tuple[np.ndarray, bool] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hash, text number, place) of all runs that a longer text may keep; with ``table`` those only that it holds near their place."""
-        needs: dict[int, list[int]] = {}
-        for size in np.unique(self.sizes).tolist():
-            for length in run_lengths(size, self.options):
-                if length <= size:
-                    needs.setdefault(length, []).append(size)
-        parts = []
-        for length, sizes in needs.items():
-            rows = np.flatnonzero(np.isin(self.sizes, sizes))
-            counts = self.sizes[rows] - length + 1
-            row = np.repeat(rows, counts)
-            place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-            found = self.runs(length)[self.starts[row] + place]
-            if table is not None:
-                held = in_table(table[0], placed(found, place // STRETCH), self.options)
-                if table[1]:
-                    held |= in_table(table[0], found, self.options)
-                found, row, place = found[held], row[held], place[held]
-            parts.append((found, row, place))
-        if not parts:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return tuple(np.concatenate(p) for p in zip(*parts))
+    def every_run(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, text number, place) of all runs of a length in the texts of which a longer one may keep such runs."""
+        sizes = [n for n in np.unique(self.sizes).tolist() if n >= length and length in run_lengths(n, self.options)]
+        rows = np.flatnonzero(np.isin(self.sizes, sizes))
+        counts = self.sizes[rows] - length + 1
+        row = np.repeat(rows.astype(np.int32), counts)
+        place = np.arange(len(row), dtype=np.int32) - np.repeat((np.cumsum(counts) - counts).astype(np.int32), counts)
+        return self.runs(length)[self.starts[row] + place], row, place
 
-    def rarest_runs(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def rarest_runs(self, counts: np.ndarray, of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(hash, text number, place, number from 0) of the runs that the windows of every text keep.
 
         Of all ways to lay the windows out the one with the least sum of
         counts is taken, for so many windows at a time; of equal counts the
-        smaller hash.
+        smaller hash.  ``of`` are the texts to lay out, all if not given.
         """
         edits = self.options.edits(self.sizes)
+        if of is not None:
+            edits = np.where(np.isin(np.arange(len(edits)), of), edits, 0)
         lengths = self.options.run(self.sizes)
-        rows = np.flatnonzero(edits > 0)
-        layouts: dict[tuple[int, int, int], list[tuple[int, int, int]]] = {}
-        for row in rows.tolist():
-            m, k = int(edits[row]) + 1, int(lengths[row])
-            slack, at, done = int(self.sizes[row]) - m * k, 0, 0
+        layouts: list[tuple[int, int, int, np.ndarray, int, int]] = []
+        for size in np.unique(self.sizes[edits > 0]).tolist():
+            rows = np.flatnonzero((self.sizes == size) & (edits > 0))
+            m, k = int(edits[rows[0]]) + 1, int(lengths[rows[0]])
+            slack, at, done = size - m * k, 0, 0
             while done < m:
                 own = min(WINDOWS, m - done)
                 spare = slack * own // m
-                layouts.setdefault((k, own, spare), []).append((row, at, done))
+                layouts.append((k, own, spare, rows, at, done))
                 at += own * k + spare
                 done += own
         weights: dict[int, np.ndarray] = {}
         parts = []
-        for (k, m, spare), own in layouts.items():
+        for k, m, spare, row, at, done in layouts:
             if k not in weights:
                 h = self.runs(k)
                 weights[k] = counts[(h % np.uint64(self.options.buckets)).astype(np.int64)] + (h >> np.uint64(11)) / 2.0**53
-            row, at, done = np.array(own, np.int64).T
             base = self.starts[row] + at
             cost = weights[k][base[:, None] + np.arange(m * k + spare - k + 1)]
             best, back, steps = np.zeros((len(row), spare + 1)), [], np.arange(spare + 1)
@@ -184,171 +183,279 @@ class Batch:
             for j in range(m - 1, -1, -1):
                 used = back[j][np.arange(len(row)), used]
                 place = at + j * k + used
-                parts.append((self.runs(k)[self.starts[row] + place], row, place, done + j))
+                parts.append((self.runs(k)[self.starts[row] + place], row, place, np.full(len(row), done + j)))
         if not parts:
             return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
         return tuple(np.concatenate(p) for p in zip(*parts))
 
 
-def placed(hashes: np.ndarray, stretch: np.ndarray) -> np.ndarray:
-    """Hash of a run in a stretch of places."""
-    return hashes ^ (stretch.astype(np.uint64) + np.uint64(1)) * np.uint64(0x94D049BB133111EB)
-
+class Index:
+    """The runs of some texts, in the order of their hashes and places."""
+
+    def __init__(self, texts: list[str], options: Winnowing):
+        self.options, self.batch = options, Batch(np.zeros(len(texts), np.int64), texts, options)
+        self.letters, self.pairs = character_sets(self.batch.joined, self.batch.starts), None
+        self.tables: dict[tuple[int, bool], tuple] = {}
+        self.weights: dict[int, np.ndarray] = {}
+
+    def table(self, length: int, placed: bool):
+        """(number of every bucket, width, stretch, ends, rows, places, sizes, characters to the end) of the runs of a length, of the texts of up to PLACED characters or beyond."""
+        if (length, placed) not in self.tables:
+            hashes, rows, places = self.batch.every_run(length)
+            own = (self.batch.sizes[rows] <= PLACED) == placed
+            bucket, rows, places = (hashes[own] & np.uint64(self.options.buckets - 1)).astype(np.int32), rows[own], places[own]
+            del hashes, own
+            if not placed:
+                first = np.unique(bucket.astype(np.int64) * len(self.batch.sizes) + rows, return_index=True)[1]
+                bucket, rows, places = bucket[first], rows[first], np.zeros(len(first), np.int64)
+            used = np.bincount(bucket, minlength=self.options.buckets) > 0
+            number = np.where(used, np.cumsum(used) - 1, -1).astype(np.int32)
+            n, longest = int(used.sum()), int(places.max(initial=0)) + 1
+            stretch = max(1, -(-longest * n // TABLE))
+            width = -(-longest // stretch)
+            key = number[bucket].astype(np.int64) * width + places // stretch
+            order = np.argsort(key)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(key, minlength=n * width))]).astype(np.int32)
+            rows, places = rows[order].astype(np.int32), places[order]
+            kind, sizes = (np.int16 if placed else np.int32), self.batch.sizes[rows]
+            self.tables[length, placed] = number, width, stretch, ends, rows, places.astype(kind), sizes.astype(kind), (sizes - places).astype(kind)
+        return self.tables[length, placed]
+
+    def counts(self, length: int) -> np.ndarray:
+        """Numbers of the runs of a length by hash bucket."""
+        out = np.zeros(self.options.buckets, np.int64)
+        for placed in (True, False):
+            number, width, _, ends, *_ = self.table(length, placed)
+            used = np.flatnonzero(number >= 0)
+            at = number[used].astype(np.int64) * width
+            out[used] += ends[at + width] - ends[at]
+        return out
+
+    def near(self, other: Batch, equal_size: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(number in ``other``, number here) of pairs that share a run where near-equal texts may share it.
+
+        Texts of ``other`` are the longer ones.  Some run that one keeps has at
+        most as many edits before it as there are windows before it, and at most
+        as many behind it as there are windows behind; that bounds how far it may
+        move.
+        """
+        sizes, found = self.batch.sizes, [np.zeros(0, np.int64)]
+        allowed, lengths, total = self.options.edits(other.sizes), self.options.run(other.sizes), len(sizes)
+        letters = character_sets(other.joined, other.starts)
+        for length in np.unique(lengths[allowed > 0]).tolist():
+            own = np.flatnonzero((lengths == length) & (allowed > 0))
+            if length not in self.weights:
+                self.weights[length] = self.counts(length)
+            hashes, rows, places, numbers = other.rarest_runs(self.weights[length], own)
+            bucket = (hashes & np.uint64(self.options.buckets - 1)).astype(np.int64)
+            edits = allowed[rows]
+            for placed in (True, False):
+                number, width, stretch, ends, their_rows, their_places, their_sizes, their_tails = self.table(length, placed)
+                at = number[bucket].astype(np.int64)
+                met = np.flatnonzero(at >= 0)
+                if not placed and len(met):  # a run that a text keeps in many windows meets such texts once
+                    met = met[np.unique(rows[met] * self.options.buckets + bucket[met], return_index=True)[1]]
+                low = np.maximum(places[met] - numbers[met], 0) // stretch
+                high = (places[met] + np.minimum(numbers[met], edits[met] - numbers[met])) // stretch
+                if not placed:
+                    low, high = np.zeros(len(met), np.int64), np.zeros(len(met), np.int64)
+                begin = ends[at[met] * width + np.minimum(low, width)].astype(np.int64)
+                counts = ends[at[met] * width + np.minimum(high + 1, width)] - begin
+                met, begin, counts = met[counts > 0], begin[counts > 0], counts[counts > 0]
+                # Bounds of the other text's size, of a run's place, and of the characters from there to the text's end.
+                own, most, before = other.sizes[rows[met]], edits[met], numbers[met]
+                tail = own - places[met]
+                bounds = [(their_sizes, own - most, own - (0 if equal_size else 1))]
+                if placed:
+                    bounds.append((their_tails, tail - (most - before), tail + (most - before)))
+                    if stretch > 1:
+                        bounds.append((their_places, places[met] - before, places[met] + before))
+                kind = their_sizes.dtype
+                bounds = [(x, *(np.clip(b, -1, np.iinfo(kind).max).astype(kind) for b in both)) for x, *both in bounds]
+                sums, shift, start = np.cumsum(counts), begin - (np.cumsum(counts) - counts), 0
+                while start < len(met):
+                    done = int(sums[start - 1]) if start else 0
+                    stop = max(start + 1, int(np.searchsorted(sums, done + SEEDS, side="right")))
+                    n = counts[start:stop]
+                    seed = np.arange(done, int(sums[stop - 1])) + np.repeat(shift[start:stop], n)
+                    good = np.ones(len(seed), bool)
+                    for x, least, largest in bounds:
+                        x = x[seed]
+                        good &= (x >= np.repeat(least[start:stop], n)) & (x <= np.repeat(largest[start:stop], n))
+                    pick = np.flatnonzero(good)
+                    window = met[start + np.searchsorted(sums[start:stop], done + pick, side="right")]
+                    row, theirs = rows[window], their_rows[seed[pick]].astype(np.int64)
+                    start = stop
+                    good = within(letters[row], self.letters[theirs], edits[window])
+                    found.append(np.unique(row[good] * total + theirs[good]))
+        both = np.unique(np.concatenate(found))
+        row, theirs = both // max(total, 1), both % max(total, 1)
+        if len(both):
+            if self.pairs is None:
+                self.pairs = pair_sets(self.batch)
+            pairs = pair_sets(other)
+            good = within(pairs[row], self.pairs[theirs], 2 * allowed[row])
+            row, theirs = row[good], theirs[good]
+        return row, theirs
+
+
+def within(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Whether of two sets neither has more than so many members that the other lacks."""
+    lacks = lambda x, y: sum(np.bitwise_count(x[:, k] & ~y[:, k]).astype(np.int16) for k in range(x.shape[1]))
+    return (lacks(a, b) <= most) & (lacks(b, a) <= most)
+
+
+def pair_sets(batch: Batch) -> np.ndarray:
+    """The sets of all pairs of neighbouring characters, hashed to 256 bits; an edit changes two pairs at most."""
+    out = np.zeros((len(batch.sizes), 4), np.uint64)
+    hashes = batch.runs(2)
+    inner = np.ones(len(hashes), bool)
+    inner[batch.starts[1:] - 1] = False  # not across texts
+    bit = hashes >> np.uint64(56)
+    ones = np.where(inner, np.uint64(1) << (bit & np.uint64(63)), np.uint64(0))
+    for word in range(4):
+        out[:, word] = np.bitwise_or.reduceat(np.where(bit >> np.uint64(6) == word, ones, np.uint64(0)), batch.starts[:-1])
+    return out
+
+
+def copied(batch: pa.RecordBatch, begin: int, end: int) -> pa.RecordBatch:
+    """Rows of a batch with memory of their own; texts have 64-bit offsets."""
+    rows = batch.take(pa.array(np.arange(begin, end)))
+    return rows.set_column(0, "text", rows.column("text").cast(pa.large_string()))
+
+
+class Side:
+    """The distinct texts of one side of a cell, in the order of their sizes."""
+
+    def __init__(self, rows: list[pa.RecordBatch]):
+        self.texts = pa.concat_arrays([x.column("text") for x in rows])
+        code, copies = (np.concatenate([x.column(k).to_numpy() for x in rows]) for k in ("code", "copies"))
+        rows.clear()
+        sizes = pc.utf8_length(self.texts).to_numpy().astype(np.int64)
+        order = np.lexsort((code, sizes))
+        again = np.flatnonzero((sizes[order[1:]] == sizes[order[:-1]]) & (code[order[1:]] == code[order[:-1]])) + 1
+        fresh = np.ones(len(order), bool)
+        fresh[again] = pc.not_equal(self.texts.take(pa.array(order[again])), self.texts.take(pa.array(order[again - 1]))).to_numpy(zero_copy_only=False)
+        first = np.flatnonzero(fresh)
+        self.order, self.sizes, self.codes = order[first], sizes[order[first]], code[order[first]]
+        self.copies = np.zeros(len(order), np.int64)
+        self.copies[self.order] = np.add.reduceat(copies[order], first)
+
+    def slices(self, begin: int, end: int, most: int) -> Iterator[tuple[int, int]]:
+        """Bounds of stretches of texts with so many characters, or one text."""
+        sums = np.cumsum(self.sizes[begin:end])
+        at = begin
+        while at < end:
+            stop = begin + int(np.searchsorted(sums, (sums[at - begin - 1] if at > begin else 0) + most, side="right"))
+            stop = min(max(stop, at + 1), end)
+            yield at, stop
+            at = stop
+
+    def part(self, begin: int, end: int) -> list[str]:
+        return self.texts.take(pa.array(self.order[begin:end])).to_pylist()
+
+
+def equal_pairs(own: Side, other: Side) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of the texts that are equal."""
+    by_code = np.argsort(own.codes, kind="stable")
+    low, high = (np.searchsorted(own.codes[by_code], other.codes, side=x) for x in ("left", "right"))
+    rows = np.repeat(np.arange(len(low)), high - low)
+    theirs = by_code[np.arange(len(rows)) + np.repeat(low - (np.cumsum(high - low) - (high - low)), high - low)]
+    for i in range(0, len(rows), 10_000):
+        a, b = own.order[theirs[i : i + 10_000]], other.order[rows[i : i + 10_000]]
+        same = pc.equal(own.texts.take(pa.array(a)), other.texts.take(pa.array(b))).to_numpy(zero_copy_only=False)
+        yield a[same], b[same]
+
+
+def near_pairs(shorter: Side, longer: Side, equal_size: bool, options: Winnowing) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of texts of both sides that may be near-equal; every pair once."""
+    least = longer.sizes - options.edits(longer.sizes)  # sizes that a text may have beside each; they do not fall
+    for a, b in shorter.slices(0, len(shorter.sizes), INDEXED):
+        begin = int(np.searchsorted(longer.sizes, shorter.sizes[a], side="left" if equal_size else "right"))
+        end = int(np.searchsorted(least, shorter.sizes[b - 1], side="right"))
+        if begin >= end:
+            continue
+        index = Index(shorter.part(a, b), options)
+        for c, d in longer.slices(begin, end, SLICE):
+            rows, theirs = index.near(Batch(np.zeros(d - c, np.int64), longer.part(c, d), options), equal_size)
+            yield shorter.order[a + theirs], longer.order[c + rows]
 
-def in_table(table: np.ndarray, hashes: np.ndarray, options: Winnowing) -> np.ndarray:
-    """Whether each hash may be in a table of bits."""
-    at = table_place(hashes, options)
-    return (table[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
+def characters(df: DataFrame, columns: list[str]) -> list[int]:
+    """Number of characters of each column."""
+    return [n or 0 for n in df.agg(*(F.sum(F.length(F.col(f"`{c}`").cast("string"))).alias(f"n{i}") for i, c in enumerate(columns))).first()]
 
-def table_place(hashes: np.ndarray, options: Winnowing) -> np.ndarray:
-    return (hashes * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - options.bits)
 
+def parts(own: int, other: int, options: Winnowing) -> tuple[int, int]:
+    """In how many parts the sides are split; a cell holds its part of the first, and reads that of the second a chunk at a time."""
+    limit = options.per_salt * 1000
+    held = max(1, -(-own // limit))
+    return held, max(1, -(-min(LEAST_CELLS, 1 + other // SPREAD) // held), -(-other // (4 * limit)))
 
-def histograms(sides: list[DataFrame], options: Winnowing) -> list[np.ndarray]:
-    """Counts of all runs by hash bucket, for each side; their size is fixed."""
 
-    width = len(sides) * options.buckets
+def candidates(evaluation: DataFrame, training: DataFrame, split: list[tuple[int, int]], options: Winnowing) -> DataFrame:
+    """(field, a, b, eval_copies, train_copies) of equal texts and of texts that may be near-equal.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros(width, np.int64)
-        for batch in batches:
-            for side, fields, texts in slices(batch):
-                hashes, rows, _ = Batch(fields, texts, options).every_run()
-                np.add.at(totals, (hashes % np.uint64(options.buckets)).astype(np.int64) + side[rows].astype(np.int64) * options.buckets, 1)
-        used = np.flatnonzero(totals)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(totals[used], pa.int64())], names=["bucket", "n"])
-
-    both = None
-    for i, side in enumerate(sides):
-        part = side.select(F.lit(i).alias("side"), "field", "text")
-        both = part if both is None else both.unionAll(part)
-    table = both.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(width, np.int64)
-    out[table.column("bucket").to_numpy()] = table.column("n").to_numpy()
-    return list(out.reshape(-1, options.buckets))
-
-
-def kept_table(longer: DataFrame, counts, options: Winnowing) -> tuple[np.ndarray, bool]:
-    """The table of bits of all runs that the windows of one side keep, in every
-    stretch of places where the other text may have them, and whether any is
-    marked for all places; its size is fixed."""
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, free = np.zeros(1 << options.bits - 6, np.uint64), False
-        for batch in batches:
-            for _, fields, texts in slices(batch):
-                own = Batch(fields, texts, options)
-                hashes, rows, places, numbers = own.rarest_runs(counts.value)
-                long = own.sizes[rows] > PLACED
-                free |= bool(long.any())
-                near = ~long
-                kept, first = hashes[near], np.maximum(places[near] - numbers[near], 0) // STRETCH
-                last = (places[near] + np.minimum(numbers[near], options.edits(own.sizes)[rows[near]] - numbers[near])) // STRETCH
-                n = last - first + 1
-                ends = np.cumsum(n)
-                stretch = np.repeat(first - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-                at = table_place(np.concatenate([placed(np.repeat(kept, n), stretch), hashes[long]]), options)
-                np.bitwise_or.at(bits, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
-        used = np.flatnonzero(bits)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(bits[used].view(np.int64))], names=["word", "bits"])
-        if free:
-            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([1], pa.int64())], names=["word", "bits"])
-
-    table = longer.select(F.lit(0).alias("none"), "field", "text").mapInArrow(mark, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    words, found = table.column("word").to_numpy(), table.column("bits").to_numpy()
-    out = np.zeros(1 << options.bits - 6, np.int64)
-    out[words[words >= 0]] = found[words >= 0]
-    return out.view(np.uint64), bool((words < 0).any())
-
-
-def slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
-    """(code, field, text) columns of a batch, for so many characters at a time."""
-    codes, fields = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-    texts, begin, chars = batch.column(2).to_pylist(), 0, 0
-    for end in range(1, len(texts) + 1):
-        chars += len(texts[end - 1])
-        if end == len(texts) or chars + len(texts[end]) > SLICE:
-            yield codes[begin:end], fields[begin:end], texts[begin:end]
-            begin, chars = end, 0
-
-
-def fingerprints(classes: DataFrame, counts, options: Winnowing, table=None) -> DataFrame:
-    """(key, place, number, code, size, low, high) of the runs of one side.
-
-    Without ``table`` those that the windows of the texts keep, once for each
-    salt of their hash, unless the other side has none of them; with it all runs
-    that the table holds, with one salt each.  ``key`` is the hash with its salt,
-    ``counts`` the histogram of the side whose runs are all taken, ``low`` and
-    ``high`` a 128-bit set of the text's characters.  A run that a text repeats
-    comes once, at a place below zero.
+    Both sides are (field, text, copies), ``split`` the numbers of their parts for each field.  A text goes by its hash to one part of its side, which meets all
+    parts of the other side; a class is whole in its part.
     """
-    schema = "key long, place int, number int, code long, size int, low long, high long"
+    cells = sum(a * b for a, b in split)
+    number = lambda k: F.expr(f"element_at(array({', '.join(str(w[k]) for w in split)}), field + 1)")
+
+    def dealt(texts: DataFrame, k: int) -> DataFrame:
+        mine = F.pmod(F.xxhash64("text"), number(k)).cast("int")
+        texts = texts.withColumn("__mine", mine).withColumn("__theirs", F.explode(F.sequence(F.lit(0), number(1 - k) - 1)))
+        cell = ("__mine", "__theirs") if k == 0 else ("__theirs", "__mine")
+        return texts.select("field", F.col(cell[0]).alias("__a"), F.col(cell[1]).alias("__b"), F.lit(k).alias("side"), "text", "copies")
+
+    def pairs(own: Side, other: Side) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        yield from equal_pairs(own, other)
+        for a, b in near_pairs(own, other, True, options):
+            differ = pc.not_equal(own.texts.take(pa.array(a)), other.texts.take(pa.array(b))).to_numpy(zero_copy_only=False)
+            yield a[differ], b[differ]
+        for b, a in near_pairs(other, own, False, options):
+            yield a, b
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Training texts come behind those of evaluation, in the order of their sizes, equal ones together.
+        own, held, chars = None, [], 0
+
+        def against(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            other = Side(rows)
+            for a, b in pairs(own, other):
+                if len(a):
+                    texts = (x.texts.take(pa.array(at)).cast(pa.string()) for x, at in ((own, a), (other, b)))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), field, np.int32)), *texts, pa.array(own.copies[a]), pa.array(other.copies[b])], names=["field", "a", "b", "eval_copies", "train_copies"])
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for codes, fields, texts in slices(batch):
-                own = Batch(fields, texts, options)
-                if table is None:
-                    hashes, rows, places, numbers = own.rarest_runs(counts.value)
-                    met = counts.value[(hashes % np.uint64(options.buckets)).astype(np.int64)] > 0
-                    hashes, rows, places, numbers = hashes[met], rows[met], places[met], numbers[met]
-                else:
-                    hashes, rows, places = own.every_run(table.value)
-                    numbers = np.zeros(len(rows), np.int8)
-                order = np.lexsort((hashes, rows))
-                hashes, rows, places, numbers = hashes[order], rows[order], places[order], numbers[order]
-                fresh = np.ones(len(rows), bool)
-                fresh[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
-                places = np.where(fresh & np.append(fresh[1:], True), places, -1)[fresh]
-                hashes, rows, numbers = hashes[fresh], rows[fresh], numbers[fresh]
-                sets = character_sets(own.joined, own.starts)
-                salts = counts.value[(hashes % np.uint64(options.buckets)).astype(np.int64)] // options.per_salt + 1
-                if table is None:
-                    hashes, rows, places, numbers = (np.repeat(x, salts) for x in (hashes, rows, places, numbers))
-                    salt = np.arange(len(rows)) - np.repeat(np.cumsum(salts) - salts, salts)
-                else:
-                    salt = (rows * 7919 + places) % salts
-                keys = hashes ^ salt.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(keys.view(np.int64)), pa.array(places.astype(np.int32)), pa.array(numbers.astype(np.int32)),
-                        pa.array(codes[rows]), pa.array(own.sizes[rows].astype(np.int32)), pa.array(sets[rows, 0]), pa.array(sets[rows, 1]),
-                    ],
-                    names=["key", "place", "number", "code", "size", "low", "high"],
-                )
-
-    found = coded(classes).select("code", "field", "text").mapInArrow(pick, schema)
-    return found if table is None else found.drop("number")
-
-
-def coded(classes: DataFrame) -> DataFrame:
-    """Classes with ``code``, a 64-bit hash of their keys; of two that share it both are looked at."""
-    return classes.withColumn("code", F.xxhash64("field", "cls"))
-
-
-def candidates(longer: DataFrame, shorter: DataFrame, counts: np.ndarray, equal_size: bool, options: Winnowing) -> DataFrame:
-    """(long_code, short_code) of pairs that share a run where near-equal texts may share it.
-
-    ``counts`` is the histogram of ``shorter``.  Some run that is kept has at
-    most as many edits before it as there are windows before it, and at most as
-    many behind it as there are windows behind; that bounds how far it may move.
-    """
-    spark = longer.sparkSession
-    shared = spark.sparkContext.broadcast(counts)
-    table = spark.sparkContext.broadcast(kept_table(longer, shared, options))
-    a = fingerprints(longer, shared, options).alias("a")
-    b = fingerprints(shorter, shared, options, table).alias("b")
-    edits = F.floor(F.lit(options.distance) * F.col("a.size") + F.lit(1e-9)).cast("int")
-    differing = F.bit_count(F.col("a.low").bitwiseXOR(F.col("b.low"))) + F.bit_count(F.col("a.high").bitwiseXOR(F.col("b.high")))
-    moved, grown = F.col("a.place") - F.col("b.place"), F.col("a.size") - F.col("b.size")
-    placed = (F.least("a.place", "b.place") < 0) | ((F.abs(moved) <= F.col("a.number")) & (F.abs(grown - moved) <= edits - F.col("a.number")))
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (grown >= (0 if equal_size else 1)) & (grown <= edits) & placed & (differing <= 2 * edits))
-    return met.select(F.col("a.code").alias("long_code"), F.col("b.code").alias("short_code"))
+            field, side = batch.column("field")[0].as_py(), batch.column("side").to_numpy()
+            batch, first = batch.select(["text", "code", "copies"]), int(np.searchsorted(side, 1))
+            if own is None:
+                held += [copied(batch, 0, first)] * (first > 0)
+                if first == len(side):
+                    continue
+                if not held:
+                    return
+                own, held = Side(held), []
+            code = batch.column("code").to_numpy()
+            cut = int(np.flatnonzero(np.append(True, code[1:] != code[:-1]))[-1])
+            if chars > CHUNK and cut > first:
+                yield from against([*held, copied(batch, first, cut)])
+                held, chars, first = [], 0, cut
+            held.append(copied(batch, first, len(side)))
+            chars += pc.sum(pc.utf8_length(held[-1].column("text"))).as_py()
+        if own is not None:
+            yield from against(held)
+
+    meet.__annotations__ = {"batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
+    keys = ["field", "__a", "__b"]
+    both = dealt(evaluation, 0).unionAll(dealt(training, 1)).repartition(max(1, 2 * cells), *keys).withColumn("code", F.xxhash64("text"))
+    both = both.sortWithinPartitions(*keys, "side", F.length("text"), "code")
+    return both.groupBy(*keys).applyInArrow(meet, "field int, a string, b string, eval_copies long, train_copies long")
 
 
 def character_sets(joined: str, starts: np.ndarray) -> np.ndarray:
-    """Two int64 for each text: the set of its characters, hashed to 128 bits."""
+    """Two words for each text: the set of its characters, hashed to 128 bits."""
     points = code_points(joined).astype(np.uint64)
     bit = (points * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(57)
     ones = np.uint64(1) << (bit & np.uint64(63))
@@ -358,7 +465,7 @@ def character_sets(joined: str, starts: np.ndarray) -> np.ndarray:
             own = np.where(bit >> np.uint64(6) == half, ones, np.uint64(0))
             out[:, half] = np.bitwise_or.reduceat(own, np.minimum(starts[:-1], len(own) - 1))
         out[np.diff(starts) == 0] = 0
-    return out.view(np.int64)
+    return out
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -426,39 +533,34 @@ def common_runs(a: str, b: str, length: int) -> list[tuple[int, int]]:
     return [(p, q) for p in range(len(a) - length + 1) if (q := places.get(a[p : p + length])) is not None]
 
 
-def near_classes(evaluation: DataFrame, training: DataFrame, options: Winnowing) -> DataFrame:
-    """(field, eval_cls, train_cls, distance, coverage) of near-equal, unequal texts."""
-    of_evaluation, of_training = histograms([evaluation, training], options)
-    down = candidates(training, evaluation, of_evaluation, True, options).select(F.col("short_code").alias("eval_code"), F.col("long_code").alias("train_code"))
-    up = candidates(evaluation, training, of_training, False, options).select(F.col("long_code").alias("eval_code"), F.col("short_code").alias("train_code"))
-    pairs = down.unionAll(up).distinct()
-    a = coded(evaluation).select(F.col("code").alias("eval_code"), "field", F.col("cls").alias("eval_cls"), F.col("text").alias("a"))
-    b = coded(training).select(F.col("code").alias("train_code"), F.col("field").alias("__field"), F.col("cls").alias("train_cls"), F.col("text").alias("b"))
-    with_both = pairs.join(a, "eval_code").join(b, "train_code").where((F.col("field") == F.col("__field")) & (F.col("eval_cls") != F.col("train_cls")))
+def near_classes(evaluation: DataFrame, training: DataFrame, split: list[tuple[int, int]], options: Winnowing) -> DataFrame:
+    """(field, eval_cls, train_cls, distance, coverage, eval_copies, train_copies) of equal and near-equal texts."""
+    pairs = candidates(evaluation, training, split, options)
     # The banded distance in the JVM gives -1 beyond its bound; its cost is the
     # product of length and bound, so long texts go to the bit-parallel one.
     size = "greatest(length(a), length(b))"
-    banded = f"case when {size} <= {LONG_TEXT} then levenshtein(a, b, cast(floor({options.distance} * {size} + 1e-9) as int)) end"
-    near = with_both.withColumn("distance", F.expr(banded)).where("distance is null or distance >= 0")
-    schema = "field int, eval_cls binary, train_cls binary, distance int, coverage double"
+    banded = f"case when a = b then 0 when {size} <= {LONG_TEXT} then levenshtein(a, b, cast(floor({options.distance} * {size} + 1e-9) as int)) end"
+    near = pairs.withColumn("distance", F.expr(banded)).where("distance is null or distance >= 0")
+    schema = "field int, eval_cls binary, train_cls binary, distance int, coverage double, eval_copies long, train_copies long"
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             took, distances, coverages = [], [], []
-            for i, (distance, a, b) in enumerate(zip(*(batch.column(k).to_pylist() for k in (3, 4, 5)))):
+            for i, (distance, a, b) in enumerate(zip(*(batch.column(k).to_pylist() for k in ("distance", "a", "b")))):
                 distance = edit_distance(a, b) if distance is None else distance
                 longest = max(len(a), len(b))
                 if distance <= options.distance * longest + 1e-9:
                     took.append(i)
                     distances.append(distance)
-                    coverages.append(extended(a, b, chain(common_runs(a, b, int(options.run(longest))))) / len(a))
+                    coverages.append(extended(a, b, chain(common_runs(a, b, int(options.run(longest))))) / len(a) if distance else 1.0)
             rows = pa.array(took, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k).take(rows) for k in range(3)), pa.array(distances, pa.int32()), pa.array(coverages, pa.float64())],
-                names=["field", "eval_cls", "train_cls", "distance", "coverage"],
-            )
+            taken = {k: batch.column(k).take(rows) for k in ("field", "eval_cls", "train_cls", "eval_copies", "train_copies")}
+            taken |= {"distance": pa.array(distances, pa.int32()), "coverage": pa.array(coverages, pa.float64())}
+            names = ["field", "eval_cls", "train_cls", "distance", "coverage", "eval_copies", "train_copies"]
+            yield pa.RecordBatch.from_arrays([taken[k] for k in names], names=names)
 
-    return near.select("field", "eval_cls", "train_cls", "distance", "a", "b").mapInArrow(cover, schema)
+    cls = lambda text: F.unhex(F.md5(text))
+    return near.withColumns({"eval_cls": cls("a"), "train_cls": cls("b")}).mapInArrow(cover, schema)
 
 
 @dataclass(frozen=True)
@@ -468,8 +570,6 @@ class Overlaps:
     links: DataFrame  # field, eval_cls, train_cls, distance, coverage, eval_copies, train_copies
     eval_members: DataFrame  # field, cls, id
     train_members: DataFrame
-    eval_classes: DataFrame  # field, cls, text, copies
-    train_classes: DataFrame
 
 
 def class_overlaps(
@@ -478,20 +578,15 @@ def class_overlaps(
     """The links between equal and near-equal texts, one row for each pair of
     classes with its numbers of copies, and membership beside them: copies are
     not expanded into pairs.  Null, empty and blank texts are in no class."""
-    own = checkpointed(fold_records(evaluation, eval_key, eval_columns))
-    other = checkpointed(fold_records(training, train_key, train_columns))
-    own_classes, other_classes = checkpointed(text_classes(own)), checkpointed(text_classes(other))
-    near = near_classes(own_classes, other_classes, options)
-    equal = own_classes.select("field", "cls").join(other_classes.select("field", "cls"), ["field", "cls"])
-    equal = equal.select("field", F.col("cls").alias("eval_cls"), F.col("cls").alias("train_cls"), F.lit(0).alias("distance"), F.lit(1.0).alias("coverage"))
-    copies = lambda classes, side: classes.select("field", F.col("cls").alias(f"{side}_cls"), F.col("copies").alias(f"{side}_copies"))
-    links = near.unionByName(equal).join(copies(own_classes, "eval"), ["field", "eval_cls"]).join(copies(other_classes, "train"), ["field", "train_cls"])
-    drop = lambda records: records.select("field", "cls", "id")
-    return Overlaps(checkpointed(links), drop(own), drop(other), own_classes, other_classes)
-
-
-def hot_slots(classes: DataFrame, side: str) -> DataFrame:
-    """(field, cls, slots) of the largest classes, a bounded table: over how many slots their members go."""
+    own, other = characters(evaluation, eval_columns), characters(training, train_columns)
+    split = [parts(a, b, options) for a, b in zip(own, other)]
+    near = near_classes(fold_texts(evaluation, eval_columns), fold_texts(training, train_columns), split, options)
+    return Overlaps(checkpointed(near), fold_records(evaluation, eval_key, eval_columns), fold_records(training, train_key, train_columns))
+
+
+def hot_slots(links: DataFrame, side: str) -> DataFrame:
+    """(field, cls, slots) of the largest linked classes, a bounded table: over how many slots their members go."""
+    classes = links.select("field", F.col(f"{side}_cls").alias("cls"), F.col(f"{side}_copies").alias("copies")).distinct()
     hot = classes.where(F.col("copies") > PER_SLOT).orderBy(F.desc("copies"), "field", "cls").limit(HOT_CLASSES)
     slots = (F.col("copies") / PER_SLOT).cast("int") + 1
     return F.broadcast(hot.select("field", F.col("cls").alias(f"{side}_cls"), slots.alias(f"{side}_slots")))
@@ -513,8 +608,8 @@ def find_overlaps(
     # Copies of one text may fill both splits: members of the largest classes go
     # to slots by their ids, and links to all slots of both classes.
     links, members = found.links.select("field", "eval_cls", "train_cls", "distance", "coverage"), {}
-    for side, records, classes in (("eval", found.eval_members, found.eval_classes), ("train", found.train_members, found.train_classes)):
-        hot = hot_slots(classes, side)
+    for side, records in (("eval", found.eval_members), ("train", found.train_members)):
+        hot = hot_slots(found.links, side)
         slots = F.coalesce(f"{side}_slots", F.lit(1))
         rows = records.select("field", F.col("cls").alias(f"{side}_cls"), F.col("id").alias(f"{side}_id")).join(hot, ["field", f"{side}_cls"], "left")
         members[side] = rows.select("field", f"{side}_cls", f"{side}_id", F.pmod(F.xxhash64(f"{side}_id"), slots).cast("int").alias(f"{side}_slot"))
