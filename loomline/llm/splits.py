@@ -23,6 +23,7 @@ from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ PER_SLOT = 4096
 PLACED = 512
 
 #: Windows that are laid out at once, characters that are looked up, that are indexed and of a chunk, seeds that are compared, entries of an index's table.
-WINDOWS, SLICE, INDEXED, CHUNK, SEEDS, TABLE = 64, 1 << 17, 2 << 20, 8 << 20, 1 << 18, 1 << 22
+WINDOWS, SLICE, INDEXED, CHUNK, SEEDS, TABLE = 64, 1 << 17, 1 << 20, 6 << 20, 1 << 18, 1 << 21
 
 #: A split of so many characters is dealt out to so many cells at least.
 SPREAD, LEAST_CELLS = 500_000, 6
@@ -59,8 +60,8 @@ class Winnowing:
 
     distance: float = 0.2  # edits, as share of the longer text
     longest: int = 8  # characters of a run at most
-    buckets: int = 1 << 21  # of the histogram of an index's hashes
-    per_salt: int = 40_000  # thousands of characters that one cell holds
+    buckets: int = 1 << 20  # of the histogram of an index's hashes
+    per_salt: int = 32_000  # thousands of characters that one cell holds
 
     def edits(self, size):
         """Edits that the longer text of a pair may have."""
@@ -340,6 +341,7 @@ class Side:
         self.order, self.sizes, self.codes = order[first], sizes[order[first]], code[order[first]]
         self.copies = np.zeros(len(order), np.int64)
         self.copies[self.order] = np.add.reduceat(copies[order], first)
+        pa.default_memory_pool().release_unused()
 
     def slices(self, begin: int, end: int, most: int) -> Iterator[tuple[int, int]]:
         """Bounds of stretches of texts with so many characters, or one text."""
@@ -447,11 +449,23 @@ def candidates(evaluation: DataFrame, training: DataFrame, split: list[tuple[int
         if own is not None:
             yield from against(held)
 
-    meet.__annotations__ = {"batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, cell in groupby(by_cell(batches, keys), key=lambda x: x[0]):
+            yield from meet(batch for _, batch in cell)
+
     keys = ["field", "__a", "__b"]
     both = dealt(evaluation, 0).unionAll(dealt(training, 1)).repartition(max(1, 2 * cells), *keys).withColumn("code", F.xxhash64("text"))
-    both = both.sortWithinPartitions(*keys, "side", F.length("text"), "code")
-    return both.groupBy(*keys).applyInArrow(meet, "field int, a string, b string, eval_copies long, train_copies long")
+    return both.sortWithinPartitions(*keys, "side", F.length("text"), "code").mapInArrow(each, "field int, a string, b string, eval_copies long, train_copies long")
+
+
+def by_cell(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Batches cut where a key changes, with the keys; read one at a time."""
+    for batch in batches:
+        columns = [batch.column(k).to_numpy() for k in keys]
+        ends = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        for a, b in zip([0, *ends.tolist()], [*ends.tolist(), batch.num_rows]):
+            if a < b:
+                yield tuple(int(c[a]) for c in columns), batch.slice(a, b - a)
 
 
 def character_sets(joined: str, starts: np.ndarray) -> np.ndarray:
